@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock, clock
-from desklake.functions.formats import formats_or_parquet, formats_text, has_format, only_parquet
+from desklake.functions.formats import formats_or_parquet, formats_text, has_format, only_parquet, valid_date_format
 
 # Fixed value: the date format reported for tenants without one.
 REPORTED_DATE_FORMAT = "YYYY-MM-DD HH24:MI:SS"
@@ -226,3 +226,27 @@ def dialect_columns(config: DataFrame) -> DataFrame:
     }
     return each.select("tenant_id", "format", *[column.alias(name) for name, column in columns.items()])
 
+
+
+DIALECT_COLUMNS = ["format", "delimiter", "encoding", "quoting", "codec"]
+
+
+def writable() -> Column:
+    """Whether the dialect columns hold only words of the closed lists that can be written."""
+    csv = ((F.col("format") == V.CSV) & F.col("delimiter").isin(*V.ALLOWED_DELIMITERS)
+           & F.col("encoding").isin(*SPARK_ENCODINGS) & F.col("quoting").isin(*WRITABLE_QUOTING)
+           & valid_date_format(F.col("date_format")))
+    parquet = (F.col("format") == V.PARQUET) & F.col("codec").isin(*SPARK_CODECS)
+    return F.coalesce(csv | parquet, F.lit(False))
+
+
+def distinct_dialects(frame: DataFrame) -> list[Dialect]:
+    """The writable dialects that occur; the closed lists allow some fifty."""
+    rows = frame.where(writable()).select(*DIALECT_COLUMNS).distinct().collect()
+    return [Dialect(*row) for row in sorted(rows)]
+
+
+def is_dialect(dialect: Dialect) -> Column:
+    return (writable() & (F.col("format") == dialect.file_format) & (F.col("delimiter") == dialect.delimiter)
+            & (F.col("encoding") == dialect.encoding) & (F.col("quoting") == dialect.quoting)
+            & (F.col("codec") == dialect.codec))

@@ -340,3 +340,80 @@ _STATUS = """
     FROM marks m JOIN tenants n ON n.id = m.tenant_id"""
 ORACLE_SQL["watermark_status"] = over("marks", "tenants", sql=_STATUS)
 ORACLE_SQL["lagging_exports"] = over("marks", "tenants", sql=f"SELECT * FROM ({_STATUS}) WHERE hours_since_last_export > 6")
+
+# --- the stored lake ----------------------------------------------------------------------------
+
+_LAKE_ROWS = """
+    SELECT s.id, s.tenant_id AS tenant_key, s.created_at, s.finish_time, s.duration_minutes, s.sla_status, u.name AS requester_name,
+           rpad(strftime(s.created_at, '%A'), 9, ' ') AS created_day_name, f.format, '2001' AS year, '08' AS month, '02' AS day,
+           '20010802_000000' AS run
+    FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id LEFT JOIN users u ON u.id = s.requester_id"""
+_EXPORTED = """
+    SELECT s.tenant_id, f.format AS file_format, 'SUCCESS' AS status, COUNT(*) AS rows_affected, MAX(s.export_type) AS export_type,
+           MAX(s.created_at) AS last_exported_created_at
+    FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id GROUP BY 1, 2"""
+
+ORACLE_SQL.update({
+    "dq_isolation": over("tickets", sql="""
+        SELECT '0' AS tenant_key, tenant_id, COUNT(*) AS foreign_rows FROM tickets WHERE id % 97 = 0 AND tenant_id <> '0' GROUP BY 2"""),
+    "dedup_stats": over("tickets", sql="""
+        SELECT tenant_id, COUNT(*) + COUNT(*) FILTER (hour(created_at) = 13) AS rows_before, COUNT(*) AS rows_after,
+               COUNT(*) FILTER (hour(created_at) = 13) AS duplicates_removed FROM tickets GROUP BY 1"""),
+    "compaction_summary": over("runlog", sql="""
+        , each AS (
+            SELECT tenant_id, MAX(CASE WHEN status = 'SUCCESS' THEN 1 ELSE 0 END) AS done,
+                   COALESCE(SUM(files_deleted) FILTER (status = 'SUCCESS'), 0) AS fb,
+                   COALESCE(SUM(files_created) FILTER (status = 'SUCCESS'), 0) AS fa,
+                   COALESCE(SUM(duplicates_removed) FILTER (status = 'SUCCESS'), 0) AS dr
+            FROM runlog WHERE export_type = 'COMPACTION' AND tenant_id IS NOT NULL GROUP BY 1)
+        SELECT COUNT(*) AS tenants_total, CAST(SUM(done) AS BIGINT) AS tenants_compacted,
+               CAST(COUNT(*) - SUM(done) AS BIGINT) AS tenants_skipped, CAST(SUM(fb) AS BIGINT) AS files_before,
+               CAST(SUM(fa) AS BIGINT) AS files_after, CAST(SUM(dr) AS BIGINT) AS duplicates_removed,
+               ROUND(CAST((SUM(fb) - SUM(fa)) * 100.0 / SUM(fb) AS DOUBLE), 6) AS files_saved_percent FROM each"""),
+    "refresh_flat": ORACLE_SQL["tickets_flat"],
+    "export_run": over("slice", "formats", sql=f"""
+        SELECT *, 'tenant_' || tenant_id || '/tickets/format=' || file_format || '/year=2001/month=08/day=02/tickets_20010802_000000.'
+                  || file_format AS file_path FROM ({_EXPORTED})"""),
+    "lake_read_parquet": over("slice", "formats", "users", sql=f"SELECT * FROM ({_LAKE_ROWS}) WHERE format = 'parquet'"),
+    "lake_read_csv": over("slice", "formats", "users", sql=f"SELECT * FROM ({_LAKE_ROWS}) WHERE format = 'csv'"),
+    "watermark_after_export": over("slice", sql="""
+        , fresh AS (SELECT tenant_id, MAX(created_at) AS newest, COUNT(*) AS n, MAX(export_type) AS kind FROM slice GROUP BY 1),
+          again AS (
+            SELECT f.tenant_id, MAX(t.created_at) AS newest, COUNT(*) AS n
+            FROM fresh f JOIN tickets t ON t.tenant_id = f.tenant_id AND t.created_at > f.newest GROUP BY 1)
+        SELECT COALESCE(f.tenant_id, m.tenant_id) AS tenant_id,
+               COALESCE(a.newest, f.newest, m.last_exported_created_at) AS last_exported_created_at,
+               COALESCE(a.n, f.n, m.rows_exported) AS rows_exported,
+               CASE WHEN a.n IS NOT NULL THEN 'INCREMENTAL' ELSE COALESCE(f.kind, m.export_type) END AS export_type
+        FROM marks m FULL JOIN fresh f ON f.tenant_id = m.tenant_id LEFT JOIN again a ON a.tenant_id = f.tenant_id"""),
+    "runlog_append": over("slice", "formats", sql=f"""
+        SELECT 'export_tickets' AS view_name, status, file_format, export_type, 1 AS files_created, COUNT(*) AS entries,
+               CAST(SUM(rows_affected) AS BIGINT) AS rows_affected, COUNT(*) AS ids
+        FROM ({_EXPORTED}) GROUP BY 2, 3, 4
+        UNION ALL SELECT v, 'SUCCESS', 'parquet', NULL, 0, 1, (SELECT COUNT(*) FROM tickets), 1
+                  FROM (VALUES ('bi_tickets_flat'), ('ALL_VIEWS')) x(v)"""),
+    "lake_status_counts": over("tickets", sql="""
+        SELECT status AS ticket_status, COUNT(*) AS total FROM tickets WHERE created_at >= TIMESTAMP '1998-01-01' GROUP BY 1"""),
+    "compact": over("slice", "formats", sql="""
+        , present AS (
+            SELECT n.id AS tenant_id, f.format, (SELECT COUNT(*) FROM slice s WHERE s.tenant_id = n.id) AS part,
+                   (SELECT COUNT(*) FROM tickets t WHERE t.tenant_id = n.id AND f.format = 'parquet') AS whole
+            FROM tenants n JOIN formats f ON f.tenant_id = n.id)
+        SELECT tenant_id, format AS file_format, CASE WHEN part > 0 AND whole > 0 THEN 'success' ELSE 'skipped' END AS status,
+               CASE WHEN part = 0 AND whole = 0 THEN 'no_files' WHEN part = 0 OR whole = 0 THEN 'single_file' END AS reason,
+               CASE WHEN part > 0 AND whole > 0 THEN part + whole ELSE 0 END AS rows_before,
+               CASE WHEN part > 0 AND whole > 0 THEN whole ELSE 0 END AS rows_after,
+               CASE WHEN part > 0 AND whole > 0 THEN part ELSE 0 END AS duplicates_removed
+        FROM present"""),
+    "lake_after_compaction": over("tickets", "formats", sql="""
+        SELECT t.tenant_id AS tenant_key,
+               COUNT(*) * CASE WHEN f.tenant_id IS NULL THEN 2 ELSE 1 END AS rows, COUNT(*) AS ids,
+               CAST(CASE WHEN f.tenant_id IS NULL THEN 2 ELSE 1 END AS BIGINT) AS runs, MAX(t.created_at) AS newest
+        FROM tickets t LEFT JOIN formats f ON f.tenant_id = t.tenant_id AND f.format = 'parquet' GROUP BY t.tenant_id, f.tenant_id"""),
+    "file_inventory": over("slice", "formats", sql=f"""
+        SELECT tenant_id, file_format AS format, DATE '2001-08-02' AS file_day, CAST(1 AS BIGINT) AS folders, true AS all_filled
+        FROM ({_EXPORTED})"""),
+    "stream_export": over("slice", "formats", sql=f"""
+        SELECT tenant_id, file_format, status, rows_affected, export_type, TIMESTAMP '2001-08-02' AS refresh_timestamp
+        FROM ({_EXPORTED})"""),
+})

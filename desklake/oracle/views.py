@@ -83,13 +83,17 @@ VIEWS = {
     "new_marks": """
         SELECT s.tenant_id, MAX(s.created_at) AS last_exported_created_at, COUNT(*) AS rows_exported, MAX(s.export_type) AS export_type
         FROM slice s WHERE s.tenant_id IN (SELECT tenant_id FROM outcomes WHERE status = 'SUCCESS') GROUP BY s.tenant_id""",
+    # Formats per tenant: active settings with a list that is not empty, else parquet.
+    "formats": """
+        SELECT n.id AS tenant_id, unnest(CASE WHEN len(s.export_formats) > 0 THEN s.export_formats ELSE ['parquet'] END) AS format
+        FROM tenants n LEFT JOIN settings s ON s.tenant_id = n.id AND s.active""",
     "changes": """
         SELECT id AS tenant_id, ';' AS csv_delimiter, CASE WHEN CAST(id AS INT) % 2 = 0 THEN 'latin1' ELSE 'utf-8' END AS csv_encoding
         FROM tenants WHERE CAST(id AS INT) % 3 = 0""",
 }
 
 NEEDS = {"marks": ["tickets"], "measured": ["tickets"], "slice": ["measured", "marks"], "outcomes": ["tenants"],
-         "new_marks": ["slice", "outcomes"], "changes": ["tenants"]}
+         "new_marks": ["slice", "outcomes"], "changes": ["tenants"], "formats": ["tenants", "settings"]}
 
 
 def _closure(names: tuple[str, ...]) -> list[str]:

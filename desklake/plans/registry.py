@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,9 +11,13 @@ from pyspark.sql import functions as F
 from desklake import schemas
 from desklake.functions.clock import ago, clock
 from desklake.functions.names import lake_path, slug
-from desklake.operators import flat, incremental, quality, retention, settings, watermark
+from desklake.operators import (compaction, export, flat, incremental, quality, retention, runlog as logstore, settings,
+                                snapshot, watermark)
 from desklake.plans import access, alerts, runlog, tickets
+from desklake.session import shared_dir
 from desklake.sources.fixtures import AS_OF_LOG, AS_OF_TICKETS, HelpDesk
+from desklake.sources.lake import Lake, file_inventory as inventory_of, lake_read, register_tenants
+from desklake.streaming.export_stream import stream_export as follow_refreshes
 
 Query = Callable[[HelpDesk], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -463,3 +468,152 @@ def dq_keys(desk: HelpDesk) -> DataFrame:
 @query
 def dq_orphans(desk: HelpDesk) -> DataFrame:
     return quality.orphan_counts({"runlog": desk.runlog, "tickets": desk.tickets, "settings": desk.settings}, desk.tenants)
+
+
+@query
+def dq_isolation(desk: HelpDesk) -> DataFrame:
+    """Tickets filed by tenant, where some ids landed in the folder of tenant 0."""
+    misfiled = F.when(F.col("id") % 97 == 0, "0").otherwise(F.col("tenant_id"))
+    return quality.isolation_breaches(desk.tickets.select("id", "tenant_id", misfiled.alias("tenant_key")))
+
+
+@query
+def dedup_stats(desk: HelpDesk) -> DataFrame:
+    """Two exports that overlap in one hour of the day, compared row by row."""
+    rows = desk.tickets.select("id", "tenant_id", "title", "status", "created_at")
+    twice = rows.unionByName(rows.where(F.hour("created_at") == 13))
+    return compaction.dedup_stats(twice, ["tenant_id"], ["id", "title", "status", "created_at"])
+
+
+@query
+def compaction_summary(desk: HelpDesk) -> DataFrame:
+    """Totals over logged compactions."""
+    runs = desk.runlog.where((F.col("export_type") == "COMPACTION") & F.col("tenant_id").isNotNull())
+    results = runs.select(
+        "tenant_id", F.when(F.col("status") == "SUCCESS", "success").otherwise("error").alias("status"),
+        F.col("files_deleted").alias("files_before"), F.col("files_created").alias("files_after"), "duplicates_removed")
+    return compaction.compaction_summary(results)
+
+
+# --- the stored lake: each query writes one below the shared folder and reads it back ---------------
+
+RUN = datetime(2001, 8, 2, 0, 0, 0)
+RUN_DAY = "2001-08-02"
+
+
+def _lake(desk: HelpDesk) -> Lake:
+    """A lake with the snapshot, marks, settings and folders of every tenant."""
+    lake = Lake(desk.spark, shared_dir(desk.spark, "lake"))
+    snapshot.refresh_flat(lake, desk.tickets, desk.users, AS_OF_TICKETS, "refresh_1")
+    lake.marks.replace(desk.marks)
+    lake.settings.replace(desk.settings)
+    register_tenants(lake, desk.tenants.select(F.col("id").alias("tenant_id")))
+    return lake
+
+
+@query
+def refresh_flat(desk: HelpDesk) -> DataFrame:
+    """The wide view as read back from its stored version."""
+    return _lake(desk).snapshot.read()
+
+
+@query
+def snapshot_stats(desk: HelpDesk) -> DataFrame:
+    return snapshot.snapshot_stats(_lake(desk))
+
+
+@query
+def export_run(desk: HelpDesk) -> DataFrame:
+    lake = _lake(desk)
+    done = export.export_run(lake, lake.snapshot.read(), RUN)
+    return done.select("tenant_id", "file_format", "status", "rows_affected", "export_type", "last_exported_created_at", "file_path")
+
+
+@query
+def lake_read_parquet(desk: HelpDesk) -> DataFrame:
+    """Rows of an incremental export as found in its Parquet files."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    return lake_read(lake).select("id", "tenant_key", "created_at", "finish_time", "duration_minutes", "sla_status",
+                                  "requester_name", "created_day_name", "format", "year", "month", "day", "run")
+
+
+@query
+def lake_read_csv(desk: HelpDesk) -> DataFrame:
+    """The same from CSV files written with each tenant's delimiter, encoding and date format."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    return lake_read(lake, "csv").select("id", "tenant_key", "created_at", "finish_time", "duration_minutes", "sla_status",
+                                         "requester_name", "created_day_name", "format", "year", "month", "day", "run")
+
+
+@query
+def watermark_after_export(desk: HelpDesk) -> DataFrame:
+    """Stored marks after two runs, of which the second finds nothing new for tenants with a mark."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    export.export_run(lake, lake.snapshot.read(), RUN.replace(minute=15))
+    return lake.marks.read().select("tenant_id", "last_exported_created_at", "rows_exported", "export_type")
+
+
+@query
+def runlog_append(desk: HelpDesk) -> DataFrame:
+    """The run log of a refresh and an export, the export repeated with the same run time."""
+    lake, marks = _lake(desk), desk.marks
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    lake.marks.replace(marks)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    return (logstore.runlog_read(lake).groupBy("view_name", "status", "file_format", "export_type", "files_created")
+            .agg(F.count(F.lit(1)).alias("entries"), F.sum("rows_affected").alias("rows_affected"),
+                 F.count_distinct("id").alias("ids")))
+
+
+@query
+def lake_status_counts(desk: HelpDesk) -> DataFrame:
+    """Tickets by status since a date, counted from a full export."""
+    lake = _lake(desk)
+    export.export_full(lake, lake.snapshot.read(), RUN)
+    return tickets.status_counts_since(lake_read(lake), "1998-01-01 00:00:00")
+
+
+@query
+def compact(desk: HelpDesk) -> DataFrame:
+    """A day with an incremental and a full export: what compaction did per tenant and format."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    export.export_full(lake, lake.snapshot.read(), RUN.replace(minute=15))
+    done = compaction.compact(lake, RUN_DAY, RUN.replace(day=3))
+    return done.select("tenant_id", "file_format", "status", "reason", "rows_before", "rows_after", "duplicates_removed")
+
+
+@query
+def lake_after_compaction(desk: HelpDesk) -> DataFrame:
+    """Rows left in the Parquet files after compaction ran twice with a late file between."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    export.export_full(lake, lake.snapshot.read(), RUN.replace(minute=15))
+    compaction.compact(lake, RUN_DAY, RUN.replace(day=3))
+    export.export_full(lake, lake.snapshot.read(), RUN.replace(minute=30))
+    compaction.compact(lake, RUN_DAY, RUN.replace(day=3, hour=1))
+    return (lake_read(lake).groupBy("tenant_key")
+            .agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"), F.count_distinct("run").alias("runs"),
+                 F.max("created_at").alias("newest")))
+
+
+@query
+def file_inventory(desk: HelpDesk) -> DataFrame:
+    """Folders per tenant and format after an incremental export."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    return (inventory_of(lake, RUN_DAY).groupBy("tenant_id", "format", "file_day")
+            .agg(F.count_distinct("folder").alias("folders"), (F.min("size_bytes") > 0).alias("all_filled")))
+
+
+@query
+def stream_export(desk: HelpDesk) -> DataFrame:
+    """Exports that a stream of refresh signals set off, as logged."""
+    lake = _lake(desk)
+    for _ in range(2):  # the second drain finds no new signal
+        follow_refreshes(lake, f"{lake.root}/stream").awaitTermination()
+    exports = logstore.runlog_read(lake).where(F.col("view_name") == "export_tickets")
+    return exports.select("tenant_id", "file_format", "status", "rows_affected", "export_type", "refresh_timestamp")
