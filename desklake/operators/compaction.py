@@ -18,7 +18,7 @@ from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.numbers import six_places
 from desklake.operators.joins import is_small
-from desklake.operators.runlog import log_rows, runlog_append
+from desklake.operators.runlog import first_line, log_rows, runlog_append
 from desklake.operators.settings import Dialect, dialect_columns, distinct_dialects, export_config, is_dialect, writable
 from desklake.operators.writer import lake_rows, write_partitions
 from desklake.sources.lake import Lake, csv_stem, file_inventory, lake_read, lake_tenants
@@ -113,14 +113,18 @@ def compact(lake: Lake, day: str, run_ts: datetime, keys: list[str] | None = Non
                 for dialect in distinct_dialects(chosen)]
     _results(lake, plan, outcomes).write.mode("overwrite").parquet(f"{lake.root}/results/{name}")
     results = spark.read.parquet(f"{lake.root}/results/{name}")
-    lake.files.delete(staging)
+    if not _pending(lake, day):
+        lake.files.delete(staging)
     _log(lake, results, run_ts, name)
     return results
 
 
 def _compact_dialect(lake: Lake, day: str, name: str, groups: DataFrame, files: DataFrame, dialect: Dialect,
                      keys: list[str] | None) -> tuple[Dialect, str, str | None, float, DataFrame | None]:
-    """Stage, check and publish one dialect. Any failure before publishing leaves its inputs in place."""
+    """Stage, check and publish one dialect.
+
+    A failure before publishing leaves the inputs in place; one while publishing is made good by the next call.
+    """
     started = time.time()
     folder = f"{_staging(lake, day)}/{dialect.codec if dialect.file_format == V.PARQUET else csv_stem(dialect)}"
     try:
@@ -128,7 +132,7 @@ def _compact_dialect(lake: Lake, day: str, name: str, groups: DataFrame, files:
         publish(lake, folder)
         return dialect, "success", None, round(time.time() - started, 2), counts
     except Exception as error:
-        return dialect, "error", str(error).splitlines()[0][:500], round(time.time() - started, 2), None
+        return dialect, "error", first_line(error), round(time.time() - started, 2), None
 
 
 def _stage(lake: Lake, day: str, name: str, groups: DataFrame, files: DataFrame, dialect: Dialect,
@@ -167,8 +171,9 @@ def publish(lake: Lake, folder: str) -> None:
     with ThreadPoolExecutor(MOVERS) as pool:
         list(pool.map(lambda source: files.move(source, f"{lake.data}/{source.split(marker, 1)[1]}"), moves))
         inputs = lake.spark.read.parquet(f"{folder}/inputs")
-        for block in _blocks((row.folder for row in inputs.toLocalIterator())):
+        for block in _blocks(row.folder for row in inputs.toLocalIterator()):
             list(pool.map(files.delete, block))
+    files.delete(f"{folder}/{CHECKED}")
 
 
 def _blocks(items, size: int = 1000):
@@ -182,9 +187,13 @@ def _blocks(items, size: int = 1000):
         yield block
 
 
+def _pending(lake: Lake, day: str) -> list[str]:
+    return lake.files.matches(f"{_staging(lake, day)}/*/{CHECKED}")
+
+
 def finish_pending(lake: Lake, day: str) -> int:
     """Publish what an interrupted compaction had staged and checked; returns how many dialects."""
-    checked = lake.files.matches(f"{_staging(lake, day)}/*/{CHECKED}")
+    checked = _pending(lake, day)
     for path in checked:
         publish(lake, path.rsplit("/", 1)[0])
     return len(checked)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple
 from datetime import datetime
 
@@ -14,13 +15,15 @@ from desklake import vocabulary as V
 from desklake.functions.clock import Clock
 from desklake.functions.names import lake_path
 from desklake.operators import incremental, settings as options
-from desklake.operators.joins import join_per_tenant
-from desklake.operators.runlog import log_rows, runlog_append
+from desklake.operators.joins import is_small, join_per_tenant
+from desklake.operators.runlog import first_line, log_rows, runlog_append
 from desklake.operators.settings import Dialect
 from desklake.operators.watermark import watermark_upsert
 from desklake.operators.writer import lake_write
 from desklake.sources.lake import Lake, lake_read, lake_tenants
 
+WRITERS = 8
+
 
 def _attempt(job) -> tuple[str, float, str | None]:
     """Run one write; its failure becomes an outcome so that other dialects go on."""
@@ -29,7 +32,7 @@ def _attempt(job) -> tuple[str, float, str | None]:
         job()
         return V.SUCCESS, round(time.time() - started, 2), None
     except Exception as error:
-        return V.ERROR, round(time.time() - started, 2), str(error).splitlines()[0][:500]
+        return V.ERROR, round(time.time() - started, 2), first_line(error)
 
 
 def write_all(lake: Lake, rows: DataFrame, assignments: DataFrame, day: str, run: str) -> DataFrame:
@@ -38,12 +41,16 @@ def write_all(lake: Lake, rows: DataFrame, assignments: DataFrame, day: str, run
     ``assignments`` has a row per tenant and format with the dialect columns. Only dialects of the closed
     lists are gathered, some fifty at most; anything else is an error outcome without a job.
     """
-    outcomes = []
-    for dialect in options.distinct_dialects(assignments):
-        chosen = assignments.where(options.is_dialect(dialect))
-        mine = join_per_tenant(rows, chosen.select("tenant_id", F.col("date_format").alias("_date_format")), how="inner")
-        result = _attempt(lambda: lake_write(mine, lake.data, dialect, day, run, F.col("_date_format")))
-        outcomes.append((*astuple(dialect), *result))
+    small = is_small(assignments)
+
+    def write(dialect: Dialect) -> tuple:
+        chosen = assignments.where(options.is_dialect(dialect)).select("tenant_id", F.col("date_format").alias("_date_format"))
+        mine = join_per_tenant(rows, chosen, how="inner", small=small)
+        return *astuple(dialect), *_attempt(lambda: lake_write(mine, lake.data, dialect, day, run, F.col("_date_format")))
+
+    # Dialects are independent jobs; a small one need not wait for a large one.
+    with ThreadPoolExecutor(WRITERS) as pool:
+        outcomes = list(pool.map(write, options.distinct_dialects(assignments)))
     schema = ", ".join(f"{name} string" for name in options.DIALECT_COLUMNS)
     done = lake.spark.createDataFrame(outcomes, f"{schema}, status string, duration_seconds double, error_message string")
     able = F.col("_able")
@@ -85,13 +92,15 @@ def export_run(lake: Lake, flat: DataFrame, run_ts: datetime, as_of: Clock | Non
     folders = lake_tenants(lake)
     known = join_per_tenant(flat, folders, how="left_semi")
     taken = incremental.incremental_slice(known, lake.marks.read(), as_of or run_ts).persist(StorageLevel.MEMORY_AND_DISK)
+    totals = incremental.slice_totals(taken).persist(StorageLevel.MEMORY_AND_DISK)
+    config = options.export_config(totals, lake.settings.read())
+    assignments = options.dialect_columns(config).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        totals = incremental.slice_totals(taken).persist(StorageLevel.MEMORY_AND_DISK)
-        assignments = options.dialect_columns(options.export_config(totals, lake.settings.read()))
         outcomes = write_all(lake, taken, assignments, day, run)
         return _saved(lake, _finish(lake, totals, outcomes, run_ts, run, "export_tickets", "tickets"), run)
     finally:
-        taken.unpersist()
+        for kept in (assignments, totals, taken):
+            kept.unpersist()
 
 
 def export_full(lake: Lake, flat: DataFrame, run_ts: datetime, file_format: str = V.PARQUET) -> DataFrame:

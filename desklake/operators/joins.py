@@ -20,14 +20,16 @@ def is_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
 
 
 def join_per_tenant(facts: DataFrame, per_tenant: DataFrame, key: str = "tenant_id", how: str = "left",
-                    bound: DataFrame | None = None, spread_by: str = "id",
+                    bound: DataFrame | None = None, small: bool | None = None, spread_by: str = "id",
                     max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Join ``facts`` with a frame that has at most one row per ``key``.
 
-    ``bound`` names a frame already known to hold every key of ``per_tenant`` (the tenants table),
-    so that the size check need not run ``per_tenant`` itself.
+    The size check counts ``per_tenant``, or ``bound``, a frame known to hold all its keys that is cheaper
+    to count (the tenants table). ``small`` passes on the result of a check already made.
     """
-    if is_small(per_tenant if bound is None else bound, max_rows):
+    if small is None:
+        small = is_small(per_tenant if bound is None else bound, max_rows)
+    if small:
         return facts.join(F.broadcast(per_tenant), key, how)
     return salted_join(facts, per_tenant, key, how, spread_by)
 

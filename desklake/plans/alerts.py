@@ -13,76 +13,71 @@ from desklake.functions.numbers import six_places
 
 STREAK_LENGTH = 3
 GROWTH_LIMIT = 0.5
+LANES = 1000
 
 _PIECE = "job_id string, failed boolean, runs bigint, first_ts timestamp_ntz, last_ts timestamp_ntz"
 
 
-def _pieces(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Fold one sorted partition into its alternating stretches of equal job and outcome.
+def _pieces(batches: Iterator[pd.DataFrame], length: int) -> Iterator[pd.DataFrame]:
+    """Fold one sorted partition into its stretches of equal job and outcome.
 
-    Only the stretch still open is carried between batches. The first and the last stretch are marked,
-    as only these can continue in a neighbouring partition.
+    Only the stretch still open is carried between batches. The first and the last stretch are marked, as
+    only these can continue in a neighbouring partition; of the others, long enough failures go out.
     """
     carried, sequence = None, 0
 
-    def finished(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
+    def closed(rows: pd.DataFrame, last: bool) -> pd.DataFrame:
         nonlocal sequence
-        numbers = range(sequence, sequence + len(rows))
+        rows = rows.assign(piece=range(sequence, sequence + len(rows)))
         sequence += len(rows)
-        rows = rows.assign(piece=pd.Series(numbers, index=rows.index, dtype="int64"))
-        rows["edge"] = (rows["piece"] == 0) | (last & (rows["piece"] == sequence - 1))
-        return rows
+        edge = (rows["piece"] == 0) | (last & (rows["piece"] == sequence - 1))
+        return rows.assign(edge=edge)[edge | (rows["failed"] & (rows["runs"] >= length))]
 
     for batch in batches:
         if batch.empty:
             continue
-        job, failed = batch["job_id"], batch["failed"]
-        starts = (job != job.shift()) | (failed != failed.shift())
-        rows = (batch.assign(stretch=starts.cumsum()).groupby("stretch")
+        starts = (batch["job_id"] != batch["job_id"].shift()) | (batch["failed"] != batch["failed"].shift())
+        rows = (batch.groupby(starts.cumsum().rename("stretch"))
                 .agg(job_id=("job_id", "first"), failed=("failed", "first"), runs=("failed", "size"),
                      first_ts=("refresh_timestamp", "first"), last_ts=("refresh_timestamp", "last"))
                 .reset_index(drop=True))
         if carried is not None:
-            head = rows.iloc[0]
-            if head["job_id"] == carried["job_id"] and head["failed"] == carried["failed"]:
-                rows.loc[0, "runs"] += carried["runs"]
-                rows.loc[0, "first_ts"] = carried["first_ts"]
+            open_job, open_outcome = carried.loc[0, ["job_id", "failed"]]
+            if (rows.loc[0, "job_id"], rows.loc[0, "failed"]) == (open_job, open_outcome):
+                rows.loc[0, "runs"] += carried.loc[0, "runs"]
+                rows.loc[0, "first_ts"] = carried.loc[0, "first_ts"]
             else:
-                rows = pd.concat([carried.to_frame().T.astype(rows.dtypes.to_dict()), rows], ignore_index=True)
-        carried = rows.iloc[-1]
-        if len(rows) > 1:
-            yield finished(rows.iloc[:-1], last=False)
+                rows = pd.concat([carried, rows], ignore_index=True)
+        carried = rows.tail(1).reset_index(drop=True)
+        yield closed(rows.iloc[:-1], last=False)
     if carried is not None:
-        yield finished(carried.to_frame().T.infer_objects(), last=True)
+        yield closed(carried, last=True)
 
 
 def failure_streaks(log: DataFrame, length: int = STREAK_LENGTH, partitions: int | None = None) -> DataFrame:
     """Runs of at least ``length`` consecutive failures per job.
 
     There are few jobs and one may hold most of the log, so a window per job would put it into one task.
-    The log is range-partitioned by job and time instead; each partition folds to its stretches, and only
-    the two outermost of each partition are stitched with their neighbours in a window, at most
-    two rows per partition.
+    The log is range-partitioned by job and time instead and each partition folds to its stretches. Only
+    the two outermost of each partition are stitched with their neighbours in one window lane per job;
+    the others are complete and spread over many lanes.
     """
-    count = partitions or int(log.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = ["job_id", "refresh_timestamp", "id"]
     outcomes = log.where(F.col("job_id").isNotNull()).select(
-        "job_id", "refresh_timestamp", "id", F.col("status").isin(V.FAILED, V.ERROR).alias("failed"))
-    ordered = (outcomes.repartitionByRange(count, "job_id", "refresh_timestamp", "id")
-               .sortWithinPartitions("job_id", "refresh_timestamp", "id"))
-    pieces = (ordered.mapInPandas(_pieces, f"{_PIECE}, piece bigint, edge boolean")
+        *order, F.col("status").isin(V.FAILED, V.ERROR).alias("failed"))
+    ranged = outcomes.repartitionByRange(partitions, *order) if partitions else outcomes.repartitionByRange(*order)
+    pieces = (ranged.sortWithinPartitions(*order)
+              .mapInPandas(lambda batches: _pieces(batches, length), f"{_PIECE}, piece bigint, edge boolean")
               .withColumn("part", F.spark_partition_id()))
-    inner = pieces.where(~F.col("edge"))
-    along = Window.partitionBy("job_id").orderBy("part", "piece")
-    continues = (F.lag("failed").over(along) == F.col("failed")) & (F.lag("part").over(along) < F.col("part"))
-    edges = (pieces.where("edge").withColumn("starts", F.when(continues, 0).otherwise(1))
-             .withColumn("stretch", F.sum("starts").over(along)))
-    stitched = (edges.groupBy("job_id", "failed", "stretch")
-                .agg(F.sum("runs").alias("runs"), F.min("first_ts").alias("first_ts"), F.max("last_ts").alias("last_ts")))
-    columns = ["job_id", "runs", "first_ts", "last_ts"]
-    return (inner.where("failed").select(*columns).unionByName(stitched.where("failed").select(*columns))
-            .where(F.col("runs") >= length)
-            .select("job_id", F.col("runs").alias("failures"), F.col("first_ts").alias("first_failure"),
-                    F.col("last_ts").alias("last_failure"))
+    lanes = pieces.withColumn("lane", F.when(F.col("edge"), 0).otherwise(1 + F.pmod(F.xxhash64("part", "piece"), F.lit(LANES))))
+    along = Window.partitionBy("job_id", "lane").orderBy("part", "piece")
+    continues = F.col("edge") & (F.lag("failed").over(along) == F.col("failed")) & (F.lag("part").over(along) < F.col("part"))
+    stretches = (lanes.withColumn("starts", F.when(continues, 0).otherwise(1))
+                 .withColumn("stretch", F.sum("starts").over(along)))
+    return (stretches.groupBy("job_id", "lane", "stretch", "failed")
+            .agg(F.sum("runs").alias("failures"), F.min("first_ts").alias("first_failure"), F.max("last_ts").alias("last_failure"))
+            .where(F.col("failed") & (F.col("failures") >= length))
+            .select("job_id", "failures", "first_failure", "last_failure")
             .orderBy("job_id", "first_failure"))
 
 

@@ -21,8 +21,9 @@ from desklake.sources.versions import VersionedTable
 DELIMITER_WORDS = {",": "comma", ";": "semicolon", "|": "pipe", "\t": "tab"}
 
 # The reader hands an unquoted empty field over as the null word and a quoted one as the empty word; two
-# different words keep NULL and "" apart.
-EMPTY_IS_NULL = {"nullValue": "\u0001", "emptyValue": ""}
+# different words keep NULL and "" apart. With every field quoted the file itself cannot tell them apart,
+# and both are read as NULL.
+EMPTY_WORDS = {"minimal": {"nullValue": "\u0001", "emptyValue": ""}, "all": {"nullValue": "", "emptyValue": ""}}
 
 
 @dataclass
@@ -161,7 +162,7 @@ def _read_csv(lake: Lake, folders: list[str], dialect: Dialect) -> DataFrame:
     moments = [f.name for f in schemas.FLAT.fields if isinstance(f.dataType, T.TimestampNTZType)]
     as_text = T.StructType([T.StructField(f.name, T.StringType() if f.name in moments else f.dataType)
                             for f in schemas.LAKE.fields])
-    rows = (lake.spark.read.schema(as_text).options(**dialect.csv_options()).options(mode="FAILFAST", **EMPTY_IS_NULL)
+    rows = (lake.spark.read.schema(as_text).options(**dialect.csv_options()).options(mode="FAILFAST", **EMPTY_WORDS[dialect.quoting])
             .option("multiLine", "true").option("basePath", lake.data).option("pathGlobFilter", "*.csv").csv(folders))
     pattern = date_pattern(F.split("dialect", r"\.", 4)[3])
     return rows.withColumns({name: F.to_timestamp_ntz(F.col(name), pattern) for name in moments})
