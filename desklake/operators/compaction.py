@@ -11,6 +11,7 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -87,12 +88,6 @@ def _staging(lake: Lake, day: str) -> str:
     return f"{lake.root}/compaction/day={day}"
 
 
-def _pick(rows: DataFrame, groups: DataFrame) -> DataFrame:
-    """Rows of the chosen groups; their list is broadcast when its size is small."""
-    keys = groups.select(F.col("tenant_id").alias("tenant_key"), "format")
-    return rows.join(F.broadcast(keys) if is_small(keys) else keys, GROUP, "left_semi")
-
-
 def compact(lake: Lake, day: str, run_ts: datetime, keys: list[str] | None = None) -> DataFrame:
     """Compact every tenant and enabled format of ``day``; one result row each, skipped ones included.
 
@@ -139,20 +134,23 @@ def _stage(lake: Lake, day: str, name: str, groups: DataFrame, files: DataFrame,
            keys: list[str] | None, folder: str) -> DataFrame:
     """Write the merged rows and the list of input folders, and check that no row and no group is lost."""
     spark = lake.spark
-    inputs = _pick(files, groups).select("folder", *GROUP, "run").distinct()
-    listed = inputs.select(*GROUP, "run")
-    rows = lake_read(lake, dialect.file_format, day=day).join(
-        F.broadcast(listed) if is_small(listed) else listed, [*GROUP, "run"], "left_semi")
-    formats = groups.select(F.col("tenant_id").alias("tenant_key"), "format", F.col("date_format").alias("_date_format"))
-    merged = deduplicate(rows, keys).join(F.broadcast(formats) if is_small(formats) else formats, GROUP)
+    # One row per tenant, format and run of the day: broadcast when few, as they mostly are.
+    listed = files.select("folder", *GROUP, "run").distinct()
+    hint = F.broadcast if is_small(listed) else (lambda frame: frame)
+    formats = hint(groups.select(F.col("tenant_id").alias("tenant_key"), "format", F.col("date_format").alias("_date_format")))
+    inputs = listed.join(formats, GROUP, "left_semi")
+    rows = lake_read(lake, dialect.file_format, day=day).join(hint(inputs.select(*GROUP, "run")), [*GROUP, "run"], "left_semi")
+    merged = deduplicate(rows, keys).join(formats, GROUP)
     shaped = lake_rows(merged, dialect, day, name, F.col("_date_format"), folder_of="tenant_key")
+    before = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows_before")).persist(StorageLevel.MEMORY_AND_DISK)
     counted = Observation()
-    write_partitions(shaped.observe(counted, F.count(F.lit(1)).alias("rows")), f"{folder}/data", dialect)
+    write_partitions(shaped.observe(counted, F.count(F.lit(1)).alias("rows")), f"{folder}/data", dialect,
+                     counts=before.select("tenant_key", F.col("rows_before").alias("n")))
     staged = Lake(spark, folder)
-    before = rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows_before"))
     after = lake_read(staged, dialect.file_format).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows_after"))
     made = file_inventory(staged, day).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("files_after"))
     before.join(after, GROUP, "left").join(made, GROUP, "left").write.parquet(f"{folder}/counts")
+    before.unpersist()
     counts = spark.read.parquet(f"{folder}/counts")
     lost = F.col("rows_after").isNull() | (F.col("rows_after") > F.col("rows_before"))
     check = counts.agg(F.sum("rows_after").alias("rows"), F.count_if(lost).alias("wrong")).first()

@@ -64,19 +64,23 @@ def write_all(lake: Lake, rows: DataFrame, assignments: DataFrame, day: str, run
 
 
 def _finish(lake: Lake, totals: DataFrame, outcomes: DataFrame, run_ts: datetime, run: str, job_id: str, stem: str) -> DataFrame:
-    """Log every outcome, then move the marks: data, log and mark are written in this order."""
+    """Store and log every outcome, then move the marks: data, log and mark are written in this order."""
     good = F.col("status") == V.SUCCESS
-    results = (outcomes.join(totals, "tenant_id")
-               .withColumns({"rows_affected": F.when(good, F.col("rows_exported")).otherwise(F.lit(0)),
-                             "file_path": lake_path(F.col("tenant_id"), F.col("file_format"), F.lit(str(run_ts)).cast("timestamp_ntz"), stem)}))
-    events = results.select("tenant_id", "file_format", "status", "rows_affected", "duration_seconds", "error_message",
-                            "export_type", "file_path", F.lit(1).alias("files_created"))
+    when = F.lit(str(run_ts)).cast("timestamp_ntz")
+    results = outcomes.join(totals, "tenant_id").withColumns({
+        "rows_affected": F.when(good, F.col("rows_exported")).otherwise(F.lit(0)),
+        "file_path": lake_path(F.col("tenant_id"), F.col("file_format"), when, stem)})
+    folder = f"{lake.root}/results/{run}"
+    results.write.mode("overwrite").parquet(folder)
+    stored = lake.spark.read.schema(results.schema).parquet(folder)
+    events = stored.select("tenant_id", "file_format", "status", "rows_affected", "duration_seconds", "error_message",
+                           "export_type", "file_path", F.lit(1).alias("files_created"))
     runlog_append(lake, log_rows(events, run, run_ts, job_id, view_name=job_id, task_id=job_id,
                                  export_destination=V.EXPORT_DESTINATION, store_account=V.DEFAULT_ACCOUNT,
                                  container=V.DEFAULT_CONTAINER), f"{job_id}_{run}")
-    updates = incremental.next_watermark(totals, outcomes)
+    updates = incremental.next_watermark(stored.select("tenant_id", "last_exported_created_at", "rows_exported", "export_type").distinct(), stored)
     lake.marks.replace(watermark_upsert(lake.marks.read(), updates, run_ts))
-    return results
+    return stored
 
 
 def _run_name(run_ts: datetime, prefix: str = "") -> tuple[str, str]:
@@ -97,7 +101,7 @@ def export_run(lake: Lake, flat: DataFrame, run_ts: datetime, as_of: Clock | Non
     assignments = options.dialect_columns(config).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         outcomes = write_all(lake, taken, assignments, day, run)
-        return _saved(lake, _finish(lake, totals, outcomes, run_ts, run, "export_tickets", "tickets"), run)
+        return _finish(lake, totals, outcomes, run_ts, run, "export_tickets", "tickets")
     finally:
         for kept in (assignments, totals, taken):
             kept.unpersist()
@@ -115,14 +119,7 @@ def export_full(lake: Lake, flat: DataFrame, run_ts: datetime, file_format: str
     result = _attempt(lambda: lake_write(taken, lake.data, Dialect(file_format), day, run))
     outcomes = totals.select("tenant_id", F.lit(file_format).alias("file_format"), F.lit(result[0]).alias("status"),
                              F.lit(result[1]).alias("duration_seconds"), F.lit(result[2]).cast("string").alias("error_message"))
-    return _saved(lake, _finish(lake, totals, outcomes, run_ts, run, "export_initial", "tickets_full"), run)
-
-
-def _saved(lake: Lake, results: DataFrame, run: str) -> DataFrame:
-    """Results as a stored table, independent of what produced them."""
-    folder = f"{lake.root}/results/{run}"
-    results.write.mode("overwrite").parquet(folder)
-    return lake.spark.read.schema(results.schema).parquet(folder)
+    return _finish(lake, totals, outcomes, run_ts, run, "export_initial", "tickets_full")
 
 
 def export_replay(lake: Lake, failed: DataFrame, run_ts: datetime, file_format: str, dialect: Dialect) -> DataFrame:

@@ -11,7 +11,6 @@ from desklake import vocabulary as V
 from desklake.functions.clock import Clock, clock
 from desklake.functions.numbers import format_bytes
 from desklake.operators.flat import tickets_flat
-from desklake.operators.quality import duplicate_ids
 from desklake.operators.runlog import log_rows, runlog_append
 from desklake.sources.lake import Lake
 from desklake.sources.versions import VersionedTable
@@ -39,9 +38,9 @@ def refresh_flat(lake: Lake, tickets: DataFrame, users: DataFrame, as_of: Clock,
     """
     started = time.time()
     folder = lake.snapshot.stage(clustered(tickets_flat(tickets, users, as_of)))
-    written = lake.spark.read.schema(lake.snapshot.schema).parquet(folder)
-    rows = written.count()
-    repeated = duplicate_ids(written.select("id")).limit(1).count()
+    written = lake.spark.read.schema("id bigint").parquet(folder)
+    per_id = written.groupBy("id").agg(F.count(F.lit(1)).alias("copies"))
+    rows, repeated = per_id.agg(F.coalesce(F.sum("copies"), F.lit(0)), F.count_if(F.col("copies") > 1)).first()
     seconds = round(time.time() - started, 2)
     status, error = (V.FAILED, "repeated ticket ids") if repeated else (V.SUCCESS, None)
     if not repeated:

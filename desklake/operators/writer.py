@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -9,6 +12,7 @@ from pyspark.sql import types as T
 from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.formats import date_pattern
+from desklake.operators.joins import BROADCAST_ROWS, salted_join
 from desklake.operators.settings import Dialect
 from desklake.sources.lake import dialect_folder
 
@@ -31,16 +35,41 @@ def lake_rows(rows: DataFrame, dialect: Dialect, day: str, run: str, date_format
         F.lit(date).alias("day"), F.lit(run).alias("run"))
 
 
-def write_partitions(rows: DataFrame, folder: str, dialect: Dialect, rows_per_file: int = ROWS_PER_FILE) -> None:
-    """Write rows that carry their partition values; a repeated run replaces exactly its own folders.
+def spread(rows: DataFrame, rows_per_file: int, counts: DataFrame | None = None) -> DataFrame:
+    """Rows gathered so that a small tenant is in one task and a large one in as many as it needs files.
 
-    The rebalance gathers each tenant into few tasks and splits tenants that are larger than a task
-    should be, by the sizes measured at run time, so neither many small files nor one huge task results.
+    The number of files of a tenant follows from its row count, ``counts`` if given (an upper bound will do),
+    so a tenant of any size is divided evenly and its neighbours are not cut up with it.
     """
+    if counts is None:
+        counts = rows.groupBy("tenant_key").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        large = F.col("n") > rows_per_file
+        total, tenants, many = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.count_if(large)).first()
+        files = F.lit(1)
+        if many:
+            split = counts.where(large).select("tenant_key", F.ceil(F.col("n") / rows_per_file).alias("_files"))
+            if many > BROADCAST_ROWS:
+                rows = salted_join(rows, split, "tenant_key", "left", "id")
+            else:
+                # At most ``many`` rows, which was just counted; frozen here as the counts are released.
+                listed = rows.sparkSession.createDataFrame(split.collect(), split.schema)
+                rows = rows.join(F.broadcast(listed), "tenant_key", "left")
+            files = F.coalesce("_files", F.lit(1))
+    finally:
+        counts.unpersist()
+    tasks = max(2 * math.ceil(total / rows_per_file), min(rows.sparkSession.sparkContext.defaultParallelism, tenants), 1)
+    return rows.repartition(tasks, "tenant_key", F.pmod(F.xxhash64("id"), files)).select(*schemas.LAKE.names)
+
+
+def write_partitions(rows: DataFrame, folder: str, dialect: Dialect, rows_per_file: int = ROWS_PER_FILE,
+                     counts: DataFrame | None = None) -> None:
+    """Write rows that carry their partition values; a repeated run replaces exactly its own folders."""
     options = dialect.writer_options()
-    (rows.hint("rebalance", "tenant_key")
+    (spread(rows, rows_per_file, counts)
      .sortWithinPartitions(*schemas.LAKE_PARTITIONS, "created_at", "id")
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", rows_per_file)
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 2 * rows_per_file)
      .options(**options).partitionBy(*schemas.LAKE_PARTITIONS).format(dialect.file_format).save(folder))
 
 

@@ -17,6 +17,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    # Recording a Python stack trace per column expression takes longer than planning the query.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 

@@ -16,6 +16,15 @@ from desklake.functions.clock import add_minutes, as_date, clock
 AS_OF_TICKETS = "2001-08-02 00:00:00"
 AS_OF_LOG = "2024-01-31 00:00:00"
 
+# The columns the views need. A declared schema saves the job that would read file footers to infer one.
+COLUMNS = {
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz, o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_quantity double",
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double",
+}
+
 
 def _pick(key: Column, choices: dict, other=None) -> Column:
     chosen = None
@@ -33,7 +42,7 @@ class HelpDesk:
     folder: str
 
     def _table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self.spark.read.schema(COLUMNS[name]).parquet(f"{self.folder}/{name}.parquet")
 
     @cached_property
     def tenants(self) -> DataFrame:
