@@ -370,7 +370,23 @@ ORACLE_SQL.update({
                CAST(COUNT(*) - SUM(done) AS BIGINT) AS tenants_skipped, CAST(SUM(fb) AS BIGINT) AS files_before,
                CAST(SUM(fa) AS BIGINT) AS files_after, CAST(SUM(dr) AS BIGINT) AS duplicates_removed,
                ROUND(CAST((SUM(fb) - SUM(fa)) * 100.0 / SUM(fb) AS DOUBLE), 6) AS files_saved_percent FROM each"""),
+    "drop_orphans": over("runlog", "tenants", sql="""
+        SELECT tenant_id, COUNT(*) AS rows, MAX(refresh_timestamp) AS newest
+        FROM runlog WHERE tenant_id IN (SELECT id FROM tenants) GROUP BY 1"""),
     "refresh_flat": ORACLE_SQL["tickets_flat"],
+    "read_flat": over("measured", "users", sql="""
+        SELECT m.tenant_id, m.id, m.created_at, m.sla_status, u.name AS requester_name
+        FROM measured m LEFT JOIN users u ON u.id = m.requester_id"""),
+    "lake_tenants": over("tenants", sql="SELECT id AS tenant_id FROM tenants"),
+    "lake_combine": over("slice", "formats", sql="""
+        SELECT t.tenant_id,
+               COUNT(*) + (SELECT COUNT(*) FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id
+                           WHERE f.format = 'parquet' AND s.tenant_id = t.tenant_id) AS rows, COUNT(*) AS ids
+        FROM tickets t GROUP BY t.tenant_id"""),
+    "export_replay": over("slice", "formats", sql="""
+        SELECT s.tenant_id, COUNT(*) AS rows, MAX(s.created_at) AS newest
+        FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id AND f.format = 'parquet'
+        WHERE CAST(s.tenant_id AS INT) % 5 = 1 GROUP BY 1"""),
     "export_run": over("slice", "formats", sql=f"""
         SELECT *, 'tenant_' || tenant_id || '/tickets/format=' || file_format || '/year=2001/month=08/day=02/tickets_20010802_000000.'
                   || file_format AS file_path FROM ({_EXPORTED})"""),

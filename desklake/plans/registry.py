@@ -16,7 +16,9 @@ from desklake.operators import (compaction, export, flat, incremental, quality,
 from desklake.plans import access, alerts, runlog, tickets
 from desklake.session import shared_dir
 from desklake.sources.fixtures import AS_OF_LOG, AS_OF_TICKETS, HelpDesk
-from desklake.sources.lake import Lake, file_inventory as inventory_of, lake_read, register_tenants
+from desklake.sources.lake import (Lake, file_inventory as inventory_of, lake_combine as combined, lake_read,
+                                   lake_tenants as tenant_folders, register_tenants)
+from desklake.sources.relational import read_flat as sorted_flat
 from desklake.streaming.export_stream import stream_export as follow_refreshes
 
 Query = Callable[[HelpDesk], DataFrame]
@@ -470,6 +472,13 @@ def dq_orphans(desk: HelpDesk) -> DataFrame:
     return quality.orphan_counts({"runlog": desk.runlog, "tickets": desk.tickets, "settings": desk.settings}, desk.tenants)
 
 
+@query
+def drop_orphans(desk: HelpDesk) -> DataFrame:
+    """Log rows of existing tenants, as a cascading delete would leave them."""
+    kept = quality.drop_orphans(desk.runlog, desk.tenants)
+    return kept.groupBy("tenant_id").agg(F.count(F.lit(1)).alias("rows"), F.max("refresh_timestamp").alias("newest"))
+
+
 @query
 def dq_isolation(desk: HelpDesk) -> DataFrame:
     """Tickets filed by tenant, where some ids landed in the folder of tenant 0."""
@@ -517,6 +526,37 @@ def refresh_flat(desk: HelpDesk) -> DataFrame:
     return _lake(desk).snapshot.read()
 
 
+@query
+def read_flat(desk: HelpDesk) -> DataFrame:
+    """Every row of the stored wide view in its export order, with the columns that identify it."""
+    return sorted_flat(_lake(desk)).select("tenant_id", "id", "created_at", "sla_status", "requester_name")
+
+
+@query
+def lake_tenants(desk: HelpDesk) -> DataFrame:
+    return tenant_folders(_lake(desk))
+
+
+@query
+def lake_combine(desk: HelpDesk) -> DataFrame:
+    """All Parquet files of a lake as one table, whatever folders they lie in; CSV files are passed over."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    export.export_full(lake, lake.snapshot.read(), RUN.replace(minute=15))
+    return combined(desk.spark, lake.data).groupBy("tenant_id").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"))
+
+
+@query
+def export_replay(desk: HelpDesk) -> DataFrame:
+    """Slices of one run written again as CSV for tenants whose CSV counts as failed."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    failed = desk.tenants.where(F.col("id").cast("int") % 5 == 1).select(F.col("id").alias("tenant_id"))
+    export.export_replay(lake, failed, RUN, "csv", settings.Dialect("csv", delimiter="|"))
+    mine = lake_read(lake, "csv").where(F.col("dialect").startswith("pipe"))
+    return mine.groupBy("tenant_id").agg(F.count(F.lit(1)).alias("rows"), F.max("created_at").alias("newest"))
+
+
 @query
 def snapshot_stats(desk: HelpDesk) -> DataFrame:
     return snapshot.snapshot_stats(_lake(desk))

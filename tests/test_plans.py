@@ -17,7 +17,8 @@ from desklake.sources import lake as L
 from desklake.sources.fixtures import HelpDesk
 
 STORED = {"refresh_flat", "snapshot_stats", "export_run", "lake_read_parquet", "lake_read_csv", "watermark_after_export",
-          "runlog_append", "lake_status_counts", "compact", "lake_after_compaction", "file_inventory", "stream_export"}
+          "runlog_append", "lake_status_counts", "compact", "lake_after_compaction", "file_inventory", "stream_export",
+          "read_flat", "lake_tenants", "lake_combine", "export_replay"}
 
 
 def plan(frame) -> str:

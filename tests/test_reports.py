@@ -72,3 +72,25 @@ def test_quality(spark):
     keys = quality.key_violations({"t": (frame, "tenant_key"), "empty": (frame.limit(0), "tenant_id")}).collect()
     assert [tuple(r) for r in keys] == [("empty", 0, 0, 0), ("t", 4, 1, 1)]
     assert {r.tenant_id for r in quality.drop_orphans(frame, tenants(spark, a="A", b="B")).collect()} == {"a", "b"}
+
+
+def test_sql_names(spark):
+    from builders import T0, flat, marks, settings, ticket, tickets
+    from desklake.plans.views import register_views
+    runs = log(spark, (1, "j", "SUCCESS", "a"), (2, "j", "ERROR", "a")).withColumns({
+        "export_type": F.lit("COMPACTION"), "error_message": F.lit("e"), "task_id": F.lit("t"), "file_path": F.lit("p"),
+        "files_deleted": F.lit(1), "duplicates_removed": F.lit(0)})
+    names = register_views(tenants(spark, a="A"), tickets(spark, ticket(1)), flat(spark, ticket(1)), runs, marks(spark, a=T0),
+                           settings(spark, ("a", ["csv"], {})), NOW)
+    for name in names:
+        assert spark.sql(f"SELECT * FROM {name}").count() >= 1, name
+    assert spark.sql("SELECT tenant_id FROM vw_export_watermark_status WHERE hours_since_last_export > 1").count() == 1
+
+
+def test_jdbc_options():
+    from desklake.sources.relational import jdbc_options
+    assert "numPartitions" not in jdbc_options("jdbc:x", "t")
+    split = jdbc_options("jdbc:x", "t", lower=1, upper=100, partitions=4, user="u")
+    assert (split["partitionColumn"], split["numPartitions"], split["user"]) == ("id", "4", "u")
+    with pytest.raises(ValueError):
+        jdbc_options("jdbc:x", "t", partitions=4)
