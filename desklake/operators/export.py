@@ -35,10 +35,14 @@ def _attempt(job) -> tuple[str, float, str | None]:
         return V.ERROR, round(time.time() - started, 2), first_line(error)
 
 
-def write_all(lake: Lake, rows: DataFrame, assignments: DataFrame, day: str, run: str) -> DataFrame:
+def _counts(totals: DataFrame) -> DataFrame:
+    return totals.select(F.col("tenant_id").alias("tenant_key"), F.col("rows_exported").alias("n"))
+
+
+def write_all(lake: Lake, rows: DataFrame, totals: DataFrame, assignments: DataFrame, day: str, run: str) -> DataFrame:
     """Write the rows of every tenant in each of its formats; one outcome per tenant and format.
 
-    ``assignments`` has a row per tenant and format with the dialect columns. Only dialects of the closed
+    ``totals`` has the row count per tenant, ``assignments`` a row per tenant and format with the dialect columns. Only dialects of the closed
     lists are gathered, some fifty at most; anything else is an error outcome without a job.
     """
     small = is_small(assignments)
@@ -46,7 +50,9 @@ def write_all(lake: Lake, rows: DataFrame, assignments: DataFrame, day: str, run
     def write(dialect: Dialect) -> tuple:
         chosen = assignments.where(options.is_dialect(dialect)).select("tenant_id", F.col("date_format").alias("_date_format"))
         mine = join_per_tenant(rows, chosen, how="inner", small=small)
-        return *astuple(dialect), *_attempt(lambda: lake_write(mine, lake.data, dialect, day, run, F.col("_date_format")))
+        counts = _counts(totals.join(chosen, "tenant_id", "left_semi"))
+        return *astuple(dialect), *_attempt(
+            lambda: lake_write(mine, lake.data, dialect, day, run, F.col("_date_format"), counts))
 
     # Dialects are independent jobs; a small one need not wait for a large one.
     with ThreadPoolExecutor(WRITERS) as pool:
@@ -100,7 +106,7 @@ def export_run(lake: Lake, flat: DataFrame, run_ts: datetime, as_of: Clock | Non
     config = options.export_config(totals, lake.settings.read())
     assignments = options.dialect_columns(config).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        outcomes = write_all(lake, taken, assignments, day, run)
+        outcomes = write_all(lake, taken, totals, assignments, day, run)
         return _finish(lake, totals, outcomes, run_ts, run, "export_tickets", "tickets")
     finally:
         for kept in (assignments, totals, taken):
@@ -110,16 +116,21 @@ def export_run(lake: Lake, flat: DataFrame, run_ts: datetime, as_of: Clock | Non
 def export_full(lake: Lake, flat: DataFrame, run_ts: datetime, file_format: str = V.PARQUET) -> DataFrame:
     """All rows of every tenant with a folder, in one format with default options; sets marks and logs.
 
-    The source is read again for the totals, which need two columns, rather than kept: it may be all history.
+    The source is read twice, the first time for the totals, which need two columns, rather than kept: it
+    may be all history.
     """
     Dialect(file_format).writer_options()
     day, run = _run_name(run_ts, "full_")
     taken = incremental.full_slice(flat, lake_tenants(lake))
-    totals = incremental.slice_totals(taken)
-    result = _attempt(lambda: lake_write(taken, lake.data, Dialect(file_format), day, run))
-    outcomes = totals.select("tenant_id", F.lit(file_format).alias("file_format"), F.lit(result[0]).alias("status"),
-                             F.lit(result[1]).alias("duration_seconds"), F.lit(result[2]).cast("string").alias("error_message"))
-    return _finish(lake, totals, outcomes, run_ts, run, "export_initial", "tickets_full")
+    totals = incremental.slice_totals(taken).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        status, seconds, error = _attempt(
+            lambda: lake_write(taken, lake.data, Dialect(file_format), day, run, counts=_counts(totals)))
+        outcomes = totals.select("tenant_id", F.lit(file_format).alias("file_format"), F.lit(status).alias("status"),
+                                 F.lit(seconds).alias("duration_seconds"), F.lit(error).cast("string").alias("error_message"))
+        return _finish(lake, totals, outcomes, run_ts, run, "export_initial", "tickets_full")
+    finally:
+        totals.unpersist()
 
 
 def export_replay(lake: Lake, failed: DataFrame, run_ts: datetime, file_format: str, dialect: Dialect) -> DataFrame:

@@ -73,6 +73,7 @@ def write_partitions(rows: DataFrame, folder: str, dialect: Dialect, rows_per_fi
      .options(**options).partitionBy(*schemas.LAKE_PARTITIONS).format(dialect.file_format).save(folder))
 
 
-def lake_write(rows: DataFrame, folder: str, dialect: Dialect, day: str, run: str, date_format: Column | None = None) -> None:
+def lake_write(rows: DataFrame, folder: str, dialect: Dialect, day: str, run: str, date_format: Column | None = None,
+               counts: DataFrame | None = None) -> None:
     dialect.writer_options()  # refuse unsupported words before any job starts
-    write_partitions(lake_rows(rows, dialect, day, run, date_format), folder, dialect)
+    write_partitions(lake_rows(rows, dialect, day, run, date_format), folder, dialect, counts=counts)

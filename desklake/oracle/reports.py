@@ -256,15 +256,15 @@ ORACLE_SQL = {
               FROM tenants LEFT JOIN marks ON tenant_id = id)
         WHERE last_export < TIMESTAMP '2001-08-01 22:00:00'"""),
     "tenant_reconciliation": over("tenants", "tickets", sql="""
-        , folders AS (SELECT CAST(CAST(id AS INT) * 2 AS VARCHAR) AS tenant_id FROM tenants WHERE CAST(id AS INT) < 20),
-          counts AS (SELECT tenant_id, COUNT(*) AS n FROM tickets WHERE title = '1-URGENT' GROUP BY 1)
+        , folders AS (SELECT CAST(CAST(id AS INT) * 2 AS VARCHAR) AS tenant_id FROM tenants),
+          counts AS (SELECT tenant_id, COUNT(*) AS n FROM tickets GROUP BY 1)
         SELECT COALESCE(f.tenant_id, c.tenant_id) AS tenant_id,
                CASE WHEN c.tenant_id IS NULL THEN 'lake_only' WHEN f.tenant_id IS NULL THEN 'source_only' ELSE 'both' END AS presence,
                COALESCE(n, 0) AS tickets
         FROM folders f FULL JOIN counts c ON c.tenant_id = f.tenant_id"""),
     "export_full": over("tickets", sql="""
         SELECT tenant_id, 'FULL' AS export_type, COUNT(*) AS rows, MAX(created_at) AS newest
-        FROM tickets WHERE CAST(tenant_id AS INT) % 2 = 0 GROUP BY 1"""),
+        FROM tickets GROUP BY 1"""),
     # files
     "compaction_candidates": over("inventory", sql="""
         SELECT tenant_id, format, day, COUNT(*) AS files, CAST(SUM(size_bytes) AS BIGINT) AS total_bytes,
@@ -320,8 +320,8 @@ ORACLE_SQL = {
         SELECT *, denied > 0 AS any_denied, requests > 10 * (SELECT AVG(requests) FROM hourly) AS high_volume
         FROM hourly WHERE denied > 0 OR requests > 10 * (SELECT AVG(requests) FROM hourly)"""),
     # data quality
-    "dq_duplicate_ids": over("tickets", sql="""
-        SELECT id, CAST(2 AS BIGINT) AS copies FROM tickets WHERE hour(created_at) = 13"""),
+    "dq_duplicate_ids": over("tickets", "runlog", sql="""
+        SELECT t.id, CAST(2 AS BIGINT) AS copies FROM tickets t JOIN runlog r ON r.id = t.id"""),
     "dq_keys": over("users", "tenants", "runlog", "marks", sql="\n        UNION ALL ".join(
         f"SELECT '{name}' AS table_name, COUNT(*) AS total_rows, COUNT(*) - COUNT({key}) AS null_keys, "
         f"COUNT({key}) - COUNT(DISTINCT {key}) AS repeated_keys FROM {view}"
@@ -357,7 +357,7 @@ ORACLE_SQL.update({
     "dq_isolation": over("tickets", sql="""
         SELECT '0' AS tenant_key, tenant_id, COUNT(*) AS foreign_rows FROM tickets WHERE id % 97 = 0 AND tenant_id <> '0' GROUP BY 2"""),
     "dedup_stats": over("tickets", sql="""
-        SELECT tenant_id, COUNT(*) + COUNT(*) FILTER (hour(created_at) = 13) AS rows_before, COUNT(*) AS rows_after,
+        SELECT tenant_id, 2 * COUNT(*) AS rows_before, 2 * COUNT(*) - COUNT(*) FILTER (hour(created_at) = 13) AS rows_after,
                COUNT(*) FILTER (hour(created_at) = 13) AS duplicates_removed FROM tickets GROUP BY 1"""),
     "compaction_summary": over("runlog", sql="""
         , each AS (

@@ -382,16 +382,15 @@ def missed_rows(desk: HelpDesk) -> DataFrame:
 
 @query
 def tenant_reconciliation(desk: HelpDesk) -> DataFrame:
-    """Lake folders of the first twenty tenants and of a foreign one against tenants with urgent tickets."""
-    n = F.col("id").cast("int")
-    folders = desk.tenants.where(n < 20).select((n * 2).cast("string").alias("tenant_id"))
-    return incremental.tenant_reconciliation(folders, desk.tickets.where(F.col("title") == "1-URGENT"))
+    """Lake folders named with twice each tenant's number against the tenants that have tickets."""
+    folders = desk.tenants.select((F.col("id").cast("int") * 2).cast("string").alias("tenant_id"))
+    return incremental.tenant_reconciliation(folders, desk.tickets)
 
 
 @query
 def export_full(desk: HelpDesk) -> DataFrame:
     """Rows per tenant that a full export writes."""
-    folders = desk.tenants.where(F.col("id").cast("int") % 2 == 0).select(F.col("id").alias("tenant_id"))
+    folders = desk.tenants.select(F.col("id").alias("tenant_id"))
     taken = incremental.full_slice(_flat(desk), folders)
     return taken.groupBy("tenant_id", "export_type").agg(F.count(F.lit(1)).alias("rows"), F.max("created_at").alias("newest"))
 
@@ -454,10 +453,9 @@ def access_alerts(desk: HelpDesk) -> DataFrame:
 
 @query
 def dq_duplicate_ids(desk: HelpDesk) -> DataFrame:
-    """Two exports that overlap in one hour of the day hold some ids twice."""
-    ids = desk.tickets.select("id", "created_at")
-    twice = ids.unionByName(ids.where(F.hour("created_at") == 13))
-    return quality.duplicate_ids(twice)
+    """Ids of the log and of the tickets in one table: those that both use are held twice."""
+    ids = desk.tickets.select("id").unionByName(desk.runlog.select("id"))
+    return quality.duplicate_ids(ids)
 
 
 @query
@@ -488,9 +486,10 @@ def dq_isolation(desk: HelpDesk) -> DataFrame:
 
 @query
 def dedup_stats(desk: HelpDesk) -> DataFrame:
-    """Two exports that overlap in one hour of the day, compared row by row."""
+    """Two full exports; between them every ticket was renamed that was not created in one hour of the day."""
     rows = desk.tickets.select("id", "tenant_id", "title", "status", "created_at")
-    twice = rows.unionByName(rows.where(F.hour("created_at") == 13))
+    renamed = rows.withColumn("title", F.when(F.hour("created_at") == 13, F.col("title")).otherwise(F.upper(F.concat("title", F.lit("!")))))
+    twice = rows.unionByName(renamed)
     return compaction.dedup_stats(twice, ["tenant_id"], ["id", "title", "status", "created_at"])
 
 
