@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from desklake import schemas
-from desklake.functions.clock import ago, clock
+from desklake.functions.clock import clock
 from desklake.functions.names import lake_path, slug
 from desklake.operators import (compaction, export, flat, incremental, quality, retention, runlog as logstore, settings,
                                 snapshot, watermark)

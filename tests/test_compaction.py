@@ -7,7 +7,6 @@ from builders import MINUTE, T0, flat, rows_by, settings, ticket
 from desklake.operators import compaction, retention, runlog
 from desklake.operators.settings import Dialect
 from desklake.operators.writer import lake_write, write_partitions, lake_rows
-from desklake.plans.runlog import compaction_history
 from desklake.sources import lake as L
 
 DAY = "2026-01-05"

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import MINUTE, T0, flat, marks, rows_by, settings, ticket, users
-from desklake.operators import compaction, export, runlog, snapshot
+from desklake.operators import export, runlog, snapshot
 from desklake.operators.settings import Dialect
 from desklake.operators.writer import lake_write
 from desklake.sources import lake as L
