@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from desklake.llm.common import BLANKS, ascii_lower, stored
+from desklake.llm.common import BLANKS, ascii_lower, let, stored
 
 FANOUT = 4
 BATCH_BYTES = 256 << 20
@@ -78,41 +78,65 @@ def _counts(keyed: DataFrame) -> DataFrame:
 
 
 def drop_lines(docs: DataFrame, keyed: DataFrame, frequent: DataFrame, least_chars: int) -> DataFrame:
-    """All columns of ``docs`` plus n_lines, n_dropped and kept_text, without lines whose key is in ``frequent``.
+    """All columns of ``docs`` and a struct ``lines`` of n_lines, n_dropped and kept_text, without lines whose key is in ``frequent``.
 
     Documents meet their frequent keys over doc_id; rows that share an id share the list, which is right as a frequent key goes
-    from every document.
+    from every document. A column of the input called ``lines`` or ``frequent_keys`` or ``listed_id`` must be renamed before.
     """
-    lines = keyed.select("doc_id", F.explode("keys").alias("key"))
-    found = lines.join(frequent.select("key"), "key", "left_semi")
+    opened = keyed.select("doc_id", F.explode("keys").alias("key"))
+    found = opened.join(frequent.select("key"), "key", "left_semi")
     listed = found.groupBy("doc_id").agg(F.collect_set("key").alias("frequent_keys"))
     listed = listed.select(F.col("doc_id").alias("listed_id"), "frequent_keys")
     text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.join(listed, F.col("doc_id").eqNullSafe(F.col("listed_id")), "left").drop("listed_id")
+    joined = docs.join(listed, F.col("doc_id").eqNullSafe(F.col("listed_id")), "left")
 
     def kept(line: Column) -> Column:
         bare = F.btrim(ascii_lower(line), F.lit(BLANKS))
         return (F.char_length(bare) < least_chars) | ~F.array_contains(F.col("frequent_keys"), F.md5(bare))
-    left = F.filter(F.split(text, "\n"), kept)
-    both = joined.withColumn("kept_lines", F.when(F.col("frequent_keys").isNotNull(), left))
-    n_lines = F.size(F.split(text, "\n")).cast("long")
-    return both.withColumn("n_lines", n_lines).withColumn(
-        "n_dropped", F.when(F.col("kept_lines").isNull(), F.lit(0).cast("long")).otherwise(n_lines - F.size("kept_lines"))).withColumn(
-        "kept_text", F.coalesce(F.array_join("kept_lines", "\n"), text)).drop("frequent_keys", "kept_lines")
 
+    def result(all_lines: Column, left: Column) -> Column:
+        return F.struct(F.size(all_lines).cast("long").alias("n_lines"), (F.size(all_lines) - F.size(left)).cast("long").alias("n_dropped"),
+                        F.array_join(left, "\n").alias("kept_text"))
 
-def dedup(docs: DataFrame, least_chars: int = 1, least_documents: int = 10, batch_bytes: int = BATCH_BYTES) -> DataFrame:
-    """doc_id, text, n_lines, n_dropped and kept_text of all documents; lines in ``least_documents`` or more are dropped."""
-    source = docs.select("doc_id", "text")
-    total = source.select(F.sum(F.octet_length("text"))).first()[0] or 0
+    touched = let(F.split(text, "\n"), lambda every: let(F.filter(every, kept), lambda left: result(every, left)))
+    whole = F.struct(F.size(F.split(text, "\n")).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), text.alias("kept_text"))
+    return joined.withColumn("lines", F.when(F.col("frequent_keys").isNotNull(), touched).otherwise(whole)).drop("frequent_keys", "listed_id")
+
+
+def _frequent(docs: DataFrame, least_chars: int, least_documents: int, batch_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """The keys of every document, and those that enough documents hold, by way of the runs of all batches."""
+    total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     batches = max(1, min(MOST_BATCHES, -(-total // batch_bytes)))
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
-    keyed = stored(_keyed(source, least_chars).withColumn("batch", batch), "line-keys", "batch")
+    keyed = stored(_keyed(docs, least_chars).withColumn("batch", batch), "line-keys", "batch")
     runs = LineRuns()
     for number in range(batches):
         runs.add(_counts(keyed.where(F.col("batch") == number)))
-    frequent = runs.counts().where(F.col("documents") >= least_documents)
-    return drop_lines(source, keyed, frequent, least_chars)
+    return keyed, runs.counts().where(F.col("documents") >= least_documents)
+
+
+def dedup(docs: DataFrame, least_chars: int = 1, least_documents: int = 10, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """doc_id, n_lines, n_dropped and kept_text of all documents; lines in ``least_documents`` or more are dropped."""
+    source = docs.select("doc_id", "text")
+    keyed, frequent = _frequent(source, least_chars, least_documents, batch_bytes)
+    return drop_lines(source, keyed, frequent, least_chars).select("doc_id", "lines.*")
+
+
+def without_frequent_lines(docs: DataFrame, least_chars: int = 1, least_documents: int = 10, batch_bytes: int = BATCH_BYTES) -> DataFrame:
+    """All documents with all their columns; text, and n_chars if present, without the frequent lines. A null text stays null."""
+    source = docs.select("doc_id", "text", F.struct(*docs.columns).alias("row"))
+    keyed, frequent = _frequent(docs.select("doc_id", "text"), least_chars, least_documents, batch_bytes)
+    done = drop_lines(source, keyed, frequent, least_chars)
+    changed = F.col("lines.n_dropped") > 0
+
+    def column(name: str) -> Column:
+        old = F.col("row").getField(name)
+        if name == "text":
+            return F.when(changed, F.col("lines.kept_text")).otherwise(old).alias(name)
+        if name == "n_chars":
+            return F.when(changed, F.char_length("lines.kept_text").cast(docs.schema[name].dataType)).otherwise(old).alias(name)
+        return old.alias(name)
+    return done.select(*[column(name) for name in docs.columns])
 
 
 def dedup_batch(docs: DataFrame, runs: LineRuns, least_chars: int = 1, least_documents: int = 10) -> DataFrame:
@@ -122,4 +146,4 @@ def dedup_batch(docs: DataFrame, runs: LineRuns, least_chars: int = 1, least_doc
     earlier, own = runs.counts(), _counts(keyed)
     runs.add(own)
     so_far = own if earlier is None else earlier.unionByName(own).groupBy("key").agg(F.sum("documents").alias("documents"))
-    return drop_lines(source, keyed, so_far.where(F.col("documents") >= least_documents), least_chars)
+    return drop_lines(source, keyed, so_far.where(F.col("documents") >= least_documents), least_chars).select("doc_id", "lines.*")

@@ -5,15 +5,51 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from desklake.llm import chat_format, decontaminate, line_dedup, quality_rules, sharding
+from desklake.llm import (chat_format, decontaminate, jaccard_join, language_id, line_dedup, packing, quality_rules, sharding,
+                          suffix_dedup, url_filter)
 from desklake.llm.common import table
 
+RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
+         url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
+VOCABULARY = "byte_bpe_50k"
+
+
+def vocabulary_files() -> tuple[str, str]:
+    """The vocabulary for ``tokenizers`` and the same as ranks, where the installed package has them."""
+    import public_tokenizers
+    return public_tokenizers.path(f"{VOCABULARY}.json"), public_tokenizers.path(f"{VOCABULARY}.tiktoken")
+
+
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = suffix_dedup.remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 3 == 1
+    model = language_id.fit(docs.where(~held_out).select("doc_id", "text", "lang"))
+    found = language_id.predict(docs.select("doc_id", "text"), model)
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"))
+
 
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     placed = sharding.assign(table(spark, sf_dir, "documents"), sharding.balanced_tree(regions=3, racks=2, shards=4))
     return placed.withColumn("law", F.lit("key"))
 
 
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), *vocabulary_files())
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(table(spark, sf_dir, "pages"), RULES).drop("trust", "distrust")
+
+
 def op7_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations")
     quoted = "</s>[INST] ok [/INST]"
@@ -40,4 +76,5 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {query.__name__: query for query in (
-    op4_sharding, op7_chat_format, op8_decontaminate, op9_line_dedup, op10_quality_rules)}
+    op1_suffix_dedup, op2_language_id, op3_jaccard_join, op4_sharding, op5_best_fit_packing, op6_url_filter, op7_chat_format,
+    op8_decontaminate, op9_line_dedup, op10_quality_rules)}
