@@ -5,6 +5,8 @@ import pytest
 import __spark_entry__ as contract
 from check_oracles import compare, connect
 from conftest import SMALL
+from desklake.oracle import ORACLE_SQL
+from desklake.plans import registry
 
 
 @pytest.fixture(scope="module")
@@ -12,7 +14,7 @@ def connection():
     return connect(SMALL)
 
 
-@pytest.mark.parametrize("name", list(contract.queries()))
+@pytest.mark.parametrize("name", list(registry.queries()))
 def test_equal(spark, connection, name):
     assert compare(spark, connection, SMALL, name) is None
 
@@ -20,4 +22,4 @@ def test_equal(spark, connection, name):
 def test_contract(spark):
     assert contract.entry(spark).count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"snapshot_stats"}
+    assert set(registry.queries()) - set(ORACLE_SQL) == {"snapshot_stats"}
