@@ -1,7 +1,7 @@
 """Documents in chunks, and the exchange that tells each chunk which of its keys other documents hold too.
 
 A chunk is all documents whose id hashes to one number; its size in bytes is a parameter, so the work of a task does not depend on how
-much data there is. Keys (64-bit hashes of text parts) are exchanged as blobs, one per chunk and bucket: 22 bits of each key beside
+much data there is. Keys (64-bit hashes of text parts) are exchanged as blobs, one per chunk and bucket: 26 bits of each key beside
 the bucket, sorted, as differences. A key that meets another in these bits counts as shared; users compare the text itself later, so
 this costs a few needless comparisons and never a result. A key leaves a chunk once, so one that stands in a third of all
 documents is at most one entry per chunk.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 CHUNK_BYTES = 8 << 20
 BUCKET_KEYS = 500_000
-BITS = 22
+BITS = 26
 LAST_ID = np.iinfo(np.int64).max  # stands for a null id
 
 _CODEC = "zstd"
@@ -131,15 +131,14 @@ def shared_keys(chunked: DataFrame, keys_of: Callable[[Texts], tuple[np.ndarray,
         parts = [unpack_sorted(blob) for blob in rows.column("keys").to_pylist()]
         several = np.concatenate([np.unpackbits(unpack(blob, np.uint8), count=len(part))
                                   for part, blob in zip(parts, rows.column("several").to_pylist())])
-        keys = np.concatenate(parts)
-        count = np.bincount(keys, minlength=1 << BITS)
-        held = count + (np.bincount(keys, weights=several, minlength=1 << BITS) > 0)
-        level = np.minimum(held, 255).astype(np.uint8)
-        shared = [part[held[part] >= 2] for part in parts]
-        rest = [(chunk, part) for chunk, part in zip(chunks, shared) if len(part)]
+        _, where, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
+        count[where[several > 0]] += 1
+        level = np.minimum(count[where], 255).astype(np.uint8)
+        level = np.split(level, np.cumsum([len(part) for part in parts])[:-1])
+        rest = [(chunk, part[own >= 2], own[own >= 2]) for chunk, part, own in zip(chunks, parts, level) if own.max(initial=0) >= 2]
         return pa.table({"chunk": pa.array([x[0] for x in rest], pa.int64()), "bucket": pa.array([bucket] * len(rest), pa.int64()),
                          "keys": pa.array([pack_sorted(x[1]) for x in rest], pa.binary()),
-                         "levels": pa.array([pack(level[x[1]]) for x in rest], pa.binary())})
+                         "levels": pa.array([pack(x[2]) for x in rest], pa.binary())})
 
     left = chunked.groupBy("chunk").applyInArrow(leave, "bucket long, chunk long, keys binary, several binary")
     return left.groupBy("bucket").applyInArrow(meet, "chunk long, bucket long, keys binary, levels binary")

@@ -230,7 +230,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, chunk_bytes: int = chunks.
         return key, texts.ids[document] if len(document) else document
 
     def leave(rows: pa.Table, known: pa.Table) -> pa.Table:
-        """Segments with a shared key go to their bucket, the first of equal ones only; the others are decided here."""
+        """Segments with a shared key go to their bucket; those with an equal in an earlier document of the chunk are decided here."""
         if not rows.num_rows:
             return _sent([])
         texts, chunk = Texts(rows), rows.column("chunk")[0].as_py()
@@ -239,24 +239,22 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, chunk_bytes: int = chunks.
         key, start, size, ids = key[held], start[held], size[held], texts.ids[document[held]]
         by = np.argsort(key, kind="stable")
         key, start, size, ids = key[by], start[by], size[by], ids[by]
-        first = np.zeros(len(key), bool)
         late = np.zeros(len(key), bool)
         for x, y in _slabs(key, SORTED_AT_ONCE):
             strings = cut_out(texts.data, start[x:y], size[x:y] + span - 1, width)
             order, group = deep_shallow(strings)
             late[x:y] = ids[x:y] > smallest(order, group, ids[x:y])
-            head = np.flatnonzero(np.diff(group, prepend=-1))
-            # of equal segments with the smallest id, all travel together as the verdict holds for each: one is not enough
-            first[x:y] = ~late[x:y]
-            del strings, head
-        out = [(b, chunk, 1, pack(start[late][own].astype(np.int64)), pack(size[late][own].astype(np.uint8)), b"", b"", b"")
-               for b, own in _by_bucket(np.full(int(late.sum()), chunk % buckets), buckets)]
-        key, start, size, ids = key[first], start[first], size[first], ids[first]
+        out = []
+        if late.any():
+            out.append((chunk % buckets, chunk, 1, *_ranges(start[late], size[late]), b"", b"", b""))
+        by = np.flatnonzero(~late)
+        by = by[np.argsort(start[by], kind="stable")]
+        key, start, size, ids = key[by], start[by], size[by], ids[by]
         for b, own in _by_bucket(chunks.split_key(key, buckets)[0], buckets):
             length = size[own] + span - 1
             place = np.repeat(start[own] - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
-            out.append((b, chunk, 0, pack(start[own].astype(np.int64)), pack(size[own].astype(np.uint8)), pack(key[own]),
-                        pack(ids[own]), pack(texts.data[place])))
+            out.append((b, chunk, 0, *_ranges(start[own], size[own]), pack((key[own] >> np.uint64(32)).astype(np.uint32)),
+                        pack(np.diff(ids[own], prepend=0)), pack(texts.data[place])))
         return _sent(out)
 
     def meet(rows: pa.Table) -> pa.Table:
@@ -265,11 +263,12 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, chunk_bytes: int = chunks.
         for number in range(rows.num_rows):
             chunk, kind, start, size, key, ids, text = (rows.column(c)[number].as_py() for c in
                                                         ("chunk", "kind", "start", "size", "key", "ids", "text"))
-            start, size = unpack(start, np.int64), unpack(size, np.uint8).astype(np.int64)
             if kind:
-                out.append((chunk, pack(start), pack(start + size + span - 1)))
+                out.append((chunk, start, size))
             else:
-                parts.append((np.full(len(start), chunk), start, size, unpack(key, np.uint64), unpack(ids, np.int64), unpack(text, np.uint8)))
+                start, size = _unpack_ranges(start, size)
+                parts.append((np.full(len(start), chunk), start, size, unpack(key, np.uint32), np.cumsum(unpack(ids, np.int64)),
+                              unpack(text, np.uint8)))
         if not parts:
             return _told(out)
         chunk, start, size, key, ids, text = (np.concatenate(x) for x in zip(*parts))
@@ -282,7 +281,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, chunk_bytes: int = chunks.
             order, group = deep_shallow(cut_out(text, place[own], length[own], width))
             least = smallest(order, group, ids[own])
             late = ids[own] > least
-            gone.append((chunk[own[late]], start[own[late]], start[own[late]] + length[own[late]]))
+            gone.append((chunk[own[late]], start[own[late]], size[own[late]]))
             # What is left is compared window by window, one segment for its equals, where a hash has several different ones.
             distinct = order[np.flatnonzero(np.diff(group, prepend=-1))]
             kinds, where, count = np.unique(key[own[distinct]], return_inverse=True, return_counts=True)
@@ -309,12 +308,12 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, chunk_bytes: int = chunks.
                 kept = kept[np.isin(rank[kept], np.fromiter(verdict, np.int64))]
                 pairs = [(i, w) for i in kept for w in verdict[int(rank[i])]]
                 i, w = (np.array(v, np.int64) for v in zip(*pairs))
-                gone.append((chunk[own[i]], start[own[i]] + w, start[own[i]] + w + span))
-        chunk, start, end = (np.concatenate(x) for x in zip(*gone))
-        by = np.argsort(chunk, kind="stable")
+                gone.append((chunk[own[i]], start[own[i]] + w, np.ones(len(i), np.int64)))
+        chunk, start, size = (np.concatenate(x) for x in zip(*gone))
+        by = np.lexsort((start, chunk))
         heads = np.flatnonzero(np.diff(chunk[by], prepend=-1))
         for x, y in zip(heads, np.append(heads[1:], len(by))):
-            out.append((int(chunk[by[x]]), pack(start[by[x:y]]), pack(end[by[x:y]])))
+            out.append((int(chunk[by[x]]), *_ranges(start[by[x:y]], size[by[x:y]])))
         return _told(out)
 
     def finish(rows: pa.Table, told: pa.Table) -> pa.Table:
@@ -323,9 +322,10 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, chunk_bytes: int = chunks.
         texts = Texts(rows)
         n = len(texts.data)
         edge = np.zeros(n + 1, np.int32)
-        for start, end in zip(told.column("start").to_pylist(), told.column("end").to_pylist()):
-            edge += np.bincount(unpack(start, np.int64), minlength=n + 1).astype(np.int32)
-            edge -= np.bincount(unpack(end, np.int64), minlength=n + 1).astype(np.int32)
+        for start, size in zip(told.column("start").to_pylist(), told.column("size").to_pylist()):
+            start, size = _unpack_ranges(start, size)
+            np.add.at(edge, start, 1)
+            np.add.at(edge, start + size + span - 1, -1)
         gone = np.cumsum(edge)[:n] > 0
         opens = gone.copy()
         opens[1:] &= ~gone[:-1]
@@ -340,7 +340,7 @@ def remove_repeats(docs: DataFrame, span: int = SPAN, chunk_bytes: int = chunks.
     known = chunks.shared_keys(chunked, keys_of, buckets)
     sent = chunked.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
         leave, "bucket long, chunk long, kind long, start binary, size binary, key binary, ids binary, text binary")
-    told = sent.groupBy("bucket").applyInArrow(meet, "chunk long, start binary, end binary")
+    told = sent.groupBy("bucket").applyInArrow(meet, "chunk long, start binary, size binary")
     return chunked.groupBy("chunk").cogroup(told.groupBy("chunk")).applyInArrow(
         finish, "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary")
 
@@ -358,12 +358,22 @@ def _table(rows: list[tuple], names: str, longs: int) -> pa.Table:
                      for i, (name, values) in enumerate(zip(names.split(), columns))})
 
 
+def _ranges(start: np.ndarray, size: np.ndarray) -> tuple[bytes, bytes]:
+    """Where segments start and how many windows they have, in order of start."""
+    by = np.argsort(start, kind="stable")
+    return chunks.pack_sorted(start[by].astype(np.uint32)), pack(size[by].astype(np.uint8))
+
+
+def _unpack_ranges(start: bytes, size: bytes) -> tuple[np.ndarray, np.ndarray]:
+    return chunks.unpack_sorted(start).astype(np.int64), unpack(size, np.uint8).astype(np.int64)
+
+
 def _sent(rows: list[tuple]) -> pa.Table:
     return _table(rows, "bucket chunk kind start size key ids text", 3)
 
 
 def _told(rows: list[tuple]) -> pa.Table:
-    return _table(rows, "chunk start end", 1)
+    return _table(rows, "chunk start size", 1)
 
 
 def _result(ids, n_bytes, removed, spans, kept) -> pa.Table:
