@@ -4,8 +4,8 @@
    similarity asks of its whole set has no link (``chunks.shared_keys`` finds them). The rest are candidates, with their shared
    shingles ordered rarest first.
 2. Candidates with the same shared shingles and set size are one class: whatever links with one links with all.
-3. Two classes that link share a shingle among their first few (prefix filter). Each class is held against one centre per shingle
-   it is filed under, and verified links make groups of similar classes: their connected components.
+3. Two classes that link share a shingle among their first few (prefix filter). Each class is held against the centre it meets under
+   most of these shingles, and verified links make groups of similar classes: their connected components.
 4. Token-group matrix: each group stores the union of its shingles. A class that meets another group under a prefix shingle is a query
    to it; the query's overlap with the group's union bounds its overlap with any member, and only groups where the bound reaches
    the similarity are opened and compared member by member. Links inside a group are not looked for: they change nothing.
@@ -31,6 +31,7 @@ from desklake.llm.graph import components
 
 SHINGLE, PERCENT = 5, 75
 SLICE_BYTES = 256 << 10
+CENTRES = ("m", "-n")  # what the centre under a shingle has most of, round by round
 
 _RANDOM = np.random.default_rng(3)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
@@ -180,19 +181,30 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
     def fits(n: str, m: str, o: str, p: str) -> Column:
         return _similar(F.least(F.col(m), F.col(p)), F.col(n), F.col(o), percent)
 
-    # Stars: the class whose set is smallest under each shingle is its centre; of its centres a class takes the one met most often.
-    centre = filed.groupBy("token").agg(F.min(F.struct("n", "class", "m")).alias("c"), F.count(F.lit(1)).alias("k")).where("k > 1")
-    met = filed.join(centre.select("token", F.col("c.class").alias("v"), F.col("c.n").alias("n_v"), F.col("c.m").alias("m_v")), "token")
-    met = met.where((F.col("class") != F.col("v")) & fits("n", "m", "n_v", "m_v"))
-    voted = met.groupBy(F.col("class").alias("u"), "v").agg(F.count(F.lit(1)).alias("votes"))
-    chosen = voted.groupBy("u").agg(F.max(F.struct("votes", "v")).alias("best")).select("u", F.col("best.v").alias("v"))
-    links = stored(_verified(chosen, classes, percent), "star-links")
+    # Stars: under each shingle one class is the centre, and a class is held against the centre of another group that it meets most
+    # often. The first centres have the most shared shingles (originals have more than their edited copies), the next the smallest
+    # set.
+    links, grouped = None, filed.withColumn("group", F.col("class"))
+    for by in CENTRES:
+        seat = F.expr(by)
+        centre = grouped.groupBy("token").agg(F.max_by(F.struct("class", "n", "m", "group"), F.struct(seat, "class")).alias("c"),
+                                              F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b")
+        met = grouped.join(centre.select("token", F.col("c.class").alias("v"), F.col("c.n").alias("n_v"), F.col("c.m").alias("m_v"),
+                                         F.col("c.group").alias("other")), "token")
+        met = met.where((F.col("group") != F.col("other")) & fits("n", "m", "n_v", "m_v"))
+        voted = met.groupBy(F.col("class").alias("u"), "v").agg(F.count(F.lit(1)).alias("votes"))
+        chosen = stored(voted.groupBy("u").agg(F.max(F.struct("votes", "v")).alias("best")).select("u", F.col("best.v").alias("v")), "stars")
+        if chosen.isEmpty():
+            break
+        found = _verified(chosen, classes, percent)
+        links = stored(found if links is None else links.unionByName(found), "star-links")
+        root = components(links)
+        grouped = stored(filed.join(root.select(F.col("node").alias("class"), "root"), "class", "left").withColumn(
+            "group", F.coalesce("root", "class")).drop("root"), "grouped-prefixes")
+    if links is None:
+        return _verified(filed.select(F.col("class").alias("u"), F.col("class").alias("v")).limit(0), classes, percent)
 
     # Groups, and the queries that meet another group under a shingle.
-    root = components(links)
-    grouped = filed.join(root.select(F.col("node").alias("class"), "root"), "class", "left").withColumn(
-        "group", F.coalesce("root", "class")).drop("root")
-    grouped = stored(grouped, "grouped-prefixes")
     mixed = grouped.groupBy("token").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("token")
     part = grouped.join(mixed, "token", "left_semi")
     sides = part.groupBy("token", "group").agg(F.min("n").alias("n_least"), F.max("m").alias("m_most"))
