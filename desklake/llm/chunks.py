@@ -102,8 +102,8 @@ def bucket_count(keys: float) -> int:
 def shared_keys(chunked: DataFrame, keys_of: Callable[[Texts], tuple[np.ndarray, np.ndarray]], buckets: int) -> DataFrame:
     """chunk, bucket, keys and levels: the keys of a chunk that at least two documents hold.
 
-    ``keys_of`` gives a chunk's keys and, for each, the number of its document. A level is the number of chunks with the key,
-    at most 255, the same wherever the key stands.
+    ``keys_of`` gives a chunk's keys and, for each, the number of its document. A level grows with
+    the logarithm of how often the key was met and is the same wherever the key stands.
     """
     def leave(rows: pa.Table) -> pa.Table:
         texts = Texts(rows)
@@ -113,34 +113,34 @@ def shared_keys(chunked: DataFrame, keys_of: Callable[[Texts], tuple[np.ndarray,
         order = np.argsort(whole, kind="stable")
         whole, documents = whole[order], documents[order]
         first = np.flatnonzero(np.diff(whole, prepend=-1))
-        several = np.zeros(len(first), np.uint8)
-        if len(first):
-            several = (np.minimum.reduceat(documents, first) != np.maximum.reduceat(documents, first)).astype(np.uint8)
+        times = np.zeros(len(first), np.uint8)
+        if len(first):  # how often a key of several documents stands here, else 1
+            several = np.minimum.reduceat(documents, first) != np.maximum.reduceat(documents, first)
+            times = np.where(several, np.minimum(np.diff(first, append=len(whole)), 255), 1).astype(np.uint8)
         whole = whole[first]
         edges = np.searchsorted(whole, np.arange(buckets + 1, dtype=np.int64) << BITS)
         mask = (1 << BITS) - 1
-        own = [(b, pack_sorted((whole[x:y] & mask).astype(np.uint32)), pack(np.packbits(several[x:y])))
+        own = [(b, pack_sorted((whole[x:y] & mask).astype(np.uint32)), pack(times[x:y]))
                for b, (x, y) in enumerate(zip(edges[:-1], edges[1:])) if y > x]
         chunk = rows.column("chunk")[0].as_py()
         return pa.table({"bucket": pa.array([x[0] for x in own], pa.int64()), "chunk": pa.array([chunk] * len(own), pa.int64()),
-                         "keys": pa.array([x[1] for x in own], pa.binary()), "several": pa.array([x[2] for x in own], pa.binary())})
+                         "keys": pa.array([x[1] for x in own], pa.binary()), "times": pa.array([x[2] for x in own], pa.binary())})
 
     def meet(rows: pa.Table) -> pa.Table:
         bucket = rows.column("bucket")[0].as_py()
         chunks = rows.column("chunk").to_pylist()
         parts = [unpack_sorted(blob) for blob in rows.column("keys").to_pylist()]
-        several = np.concatenate([np.unpackbits(unpack(blob, np.uint8), count=len(part))
-                                  for part, blob in zip(parts, rows.column("several").to_pylist())])
-        _, where, count = np.unique(np.concatenate(parts), return_inverse=True, return_counts=True)
-        count[where[several > 0]] += 1
-        level = np.minimum(count[where], 255).astype(np.uint8)
+        times = np.concatenate([unpack(blob, np.uint8) for blob in rows.column("times").to_pylist()])
+        _, where = np.unique(np.concatenate(parts), return_inverse=True)
+        held = np.bincount(where, weights=times)
+        level = np.where(held >= 2, np.minimum(8 * np.log2(np.maximum(held, 2)), 255), 0).astype(np.uint8)[where]
         level = np.split(level, np.cumsum([len(part) for part in parts])[:-1])
-        rest = [(chunk, part[own >= 2], own[own >= 2]) for chunk, part, own in zip(chunks, parts, level) if own.max(initial=0) >= 2]
+        rest = [(chunk, part[own > 0], own[own > 0]) for chunk, part, own in zip(chunks, parts, level) if own.any()]
         return pa.table({"chunk": pa.array([x[0] for x in rest], pa.int64()), "bucket": pa.array([bucket] * len(rest), pa.int64()),
                          "keys": pa.array([pack_sorted(x[1]) for x in rest], pa.binary()),
                          "levels": pa.array([pack(x[2]) for x in rest], pa.binary())})
 
-    left = chunked.groupBy("chunk").applyInArrow(leave, "bucket long, chunk long, keys binary, several binary")
+    left = chunked.groupBy("chunk").applyInArrow(leave, "bucket long, chunk long, keys binary, times binary")
     return left.groupBy("bucket").applyInArrow(meet, "chunk long, bucket long, keys binary, levels binary")
 
 

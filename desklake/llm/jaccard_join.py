@@ -4,7 +4,7 @@
    similarity asks of its whole set has no link (``chunks.shared_keys`` finds them). The rest are candidates, with their shared
    shingles ordered rarest first.
 2. Candidates with the same shared shingles and set size are one class: whatever links with one links with all.
-3. Two classes that link share a shingle among their first few (prefix filter). Each class is held against the centre it meets under
+3. Two classes that link share a shingle among their first few (prefix filter; fewer in the smaller set of the two). Each class is held against the centre it meets under
    most of these shingles, and verified links make groups of similar classes: their connected components.
 4. Token-group matrix: each group stores the union of its shingles. A class that meets another group under a prefix shingle is a query
    to it; the query's overlap with the group's union bounds its overlap with any member, and only groups where the bound reaches
@@ -176,7 +176,11 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
     """
     size = F.size("tokens")
     least = F.floor((F.col("n") * percent + 99) / 100).cast("int")  # overlap that any link of this class has at least
-    filed = stored(classes.select("class", "n", size.alias("m"), F.explode(F.slice("tokens", 1, size - least + 1)).alias("token")), "prefixes")
+    small = F.floor((F.col("n") * 2 * percent + 99 + percent) / (100 + percent)).cast("int")  # the same with a partner no smaller than it
+    filed = classes.select("class", "n", size.alias("m"), small.alias("small"), F.posexplode(F.slice("tokens", 1, size - least + 1)).alias("at", "token"))
+    # rest: how much two sets can share from here on; lower: whether a smaller set still has to be found here.
+    filed = stored(filed.select("class", "n", "m", "token", (F.col("m") - F.col("at")).alias("rest"),
+                                (F.col("at") <= F.col("m") - F.col("small")).alias("lower")), "prefixes")
 
     def fits(n: str, m: str, o: str, p: str) -> Column:
         return _similar(F.least(F.col(m), F.col(p)), F.col(n), F.col(o), percent)
@@ -207,10 +211,10 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
     # Groups, and the queries that meet another group under a shingle.
     mixed = grouped.groupBy("token").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("token")
     part = grouped.join(mixed, "token", "left_semi")
-    sides = part.groupBy("token", "group").agg(F.min("n").alias("n_least"), F.max("m").alias("m_most"))
+    sides = part.where("lower").groupBy("token", "group").agg(F.min("n").alias("n_least"), F.max("rest").alias("rest_most"))
     ask = part.alias("q").join(sides.alias("g"), "token").where(
-        (F.col("q.group") != F.col("g.group"))
-        & _similar(F.least(F.col("q.m"), F.col("g.m_most")), F.col("q.n"), F.col("g.n_least"), percent))
+        (F.col("q.group") != F.col("g.group")) & (F.col("g.n_least") <= F.col("q.n"))
+        & _similar(F.least(F.col("q.rest"), F.col("g.rest_most")), F.col("q.n"), F.col("g.n_least"), percent))
     ask = stored(ask.select(F.col("q.class").alias("class"), F.col("g.group").alias("group")).distinct(), "group-queries")
     member = classes.join(root.select(F.col("node").alias("class"), "root"), "class", "left").select(
         F.coalesce("root", "class").alias("group"), "class", "n", "tokens")
@@ -223,9 +227,10 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
 
     # Members of an opened group that are filed under a shingle of the query.
     asking = part.join(opened.withColumnRenamed("group", "other"), "class").select(
-        F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("m").alias("m_u"), "token", F.col("other").alias("group"))
-    pairs = asking.join(part.select(F.col("class").alias("v"), "n", "m", "token", "group"), ["token", "group"]).where(
-        fits("n_u", "m_u", "n", "m")).select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+        F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("rest").alias("rest_u"), "token", F.col("other").alias("group"))
+    pairs = asking.join(part.where("lower").select(F.col("class").alias("v"), "n", "rest", "token", "group"), ["token", "group"]).where(
+        (F.col("n") <= F.col("n_u")) & fits("n_u", "rest_u", "n", "rest")).select(
+        F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
     return links.unionByName(_verified(pairs, classes, percent))
 
 
