@@ -33,6 +33,8 @@ SHINGLE, PERCENT = 5, 75
 SLICE_BYTES = 256 << 10
 CENTRES = ("m", "-n")  # what the centre under a shingle has most of, round by round
 
+BROADCAST_ROWS = 200_000  # of two class numbers each
+
 _RANDOM = np.random.default_rng(3)
 _BYTE = _RANDOM.integers(1, 1 << 63, 256, dtype=np.uint64)
 _BYTE[65:91] = _BYTE[97:123]  # A-Z count as a-z
@@ -161,11 +163,17 @@ def _similar(common: Column, n: Column, m: Column, percent: int) -> Column:
     return common * 100 >= (n + m - common) * percent
 
 
+def _few(frame: DataFrame) -> DataFrame:
+    """A stored frame, broadcast when its counted rows are few enough."""
+    return F.broadcast(frame) if frame.count() <= BROADCAST_ROWS else frame
+
+
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (u, v) of classes that are similar."""
-    left = sets.select(F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("tokens").alias("t_u"))
-    right = sets.select(F.col("class").alias("v"), F.col("n").alias("n_v"), F.col("tokens").alias("t_v"))
-    both = pairs.select("u", "v").join(left, "u").join(right, "v")
+    """The pairs (u, v) of classes that are similar. ``pairs`` is stored; only the shingles of its classes are moved."""
+    asked = _few(pairs.select("u", "v"))
+    left = sets.select(F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("tokens").alias("t_u")).join(asked, "u")
+    right = sets.select(F.col("class").alias("v"), F.col("n").alias("n_v"), F.col("tokens").alias("t_v")).join(asked, "v")
+    both = left.join(right, ["u", "v"])
     return both.where(_similar(F.size(F.array_intersect("t_u", "t_v")), F.col("n_u"), F.col("n_v"), percent)).select("u", "v")
 
 
@@ -221,7 +229,7 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
     wanted = ask.select("group").distinct()
     union = member.join(wanted, "group", "left_semi").select("group", F.explode("tokens").alias("token")).groupBy("group").agg(
         F.collect_set("token").alias("union"))
-    bounded = ask.join(classes, "class").join(union, "group").where(
+    bounded = _few(ask).join(classes, "class").join(union, "group").where(
         F.size(F.array_intersect("tokens", "union")) * 100 >= F.col("n") * percent).select("class", "group")
     opened = stored(bounded, "opened-groups")
 
@@ -231,7 +239,7 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
     pairs = asking.join(part.where("lower").select(F.col("class").alias("v"), "n", "rest", "token", "group"), ["token", "group"]).where(
         (F.col("n") <= F.col("n_u")) & fits("n_u", "rest_u", "n", "rest")).select(
         F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
-    return links.unionByName(_verified(pairs, classes, percent))
+    return links.unionByName(_verified(stored(pairs, "member-pairs"), classes, percent))
 
 
 def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, chunk_bytes: int = chunks.CHUNK_BYTES) -> DataFrame:
