@@ -223,19 +223,20 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
     ask = part.alias("q").join(sides.alias("g"), "token").where(
         (F.col("q.group") != F.col("g.group")) & (F.col("g.n_least") <= F.col("q.n"))
         & _similar(F.least(F.col("q.rest"), F.col("g.rest_most")), F.col("q.n"), F.col("g.n_least"), percent))
-    ask = stored(ask.select(F.col("q.class").alias("class"), F.col("g.group").alias("group")).distinct(), "group-queries")
+    ask = stored(ask.select("q.token", F.col("q.class").alias("class"), F.col("q.n").alias("n_u"), F.col("q.rest").alias("rest_u"),
+                            F.col("g.group").alias("group")), "group-meetings")
+    queries = stored(ask.select("class", "group").distinct(), "group-queries")
     member = classes.join(root.select(F.col("node").alias("class"), "root"), "class", "left").select(
         F.coalesce("root", "class").alias("group"), "class", "n", "tokens")
-    wanted = ask.select("group").distinct()
+    wanted = queries.select("group").distinct()
     union = member.join(wanted, "group", "left_semi").select("group", F.explode("tokens").alias("token")).groupBy("group").agg(
         F.collect_set("token").alias("union"))
-    bounded = _few(ask).join(classes, "class").join(union, "group").where(
+    bounded = _few(queries).join(classes, "class").join(union, "group").where(
         F.size(F.array_intersect("tokens", "union")) * 100 >= F.col("n") * percent).select("class", "group")
     opened = stored(bounded, "opened-groups")
 
     # Members of an opened group that are filed under a shingle of the query.
-    asking = part.join(opened.withColumnRenamed("group", "other"), "class").select(
-        F.col("class").alias("u"), F.col("n").alias("n_u"), F.col("rest").alias("rest_u"), "token", F.col("other").alias("group"))
+    asking = ask.join(opened, ["class", "group"], "left_semi").withColumnRenamed("class", "u")
     pairs = asking.join(part.where("lower").select(F.col("class").alias("v"), "n", "rest", "token", "group"), ["token", "group"]).where(
         (F.col("n") <= F.col("n_u")) & fits("n_u", "rest_u", "n", "rest")).select(
         F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
