@@ -19,7 +19,7 @@ from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.numbers import six_places
 from desklake.operators.joins import is_small
-from desklake.operators.runlog import first_line, log_rows, runlog_append
+from desklake.operators.runlog import error_text, log_rows, runlog_append
 from desklake.operators.settings import Dialect, dialect_columns, distinct_dialects, export_config, is_dialect, writable
 from desklake.operators.writer import lake_rows, write_partitions
 from desklake.sources.lake import Lake, csv_stem, file_inventory, lake_read, lake_tenants
@@ -127,7 +127,7 @@ def _compact_dialect(lake: Lake, day: str, name: str, groups: DataFrame, files:
         publish(lake, folder)
         return dialect, "success", None, round(time.time() - started, 2), counts
     except Exception as error:
-        return dialect, "error", first_line(error), round(time.time() - started, 2), None
+        return dialect, "error", error_text(error), round(time.time() - started, 2), None
 
 
 def _stage(lake: Lake, day: str, name: str, groups: DataFrame, files: DataFrame, dialect: Dialect,

@@ -16,7 +16,7 @@ from desklake.functions.clock import Clock
 from desklake.functions.names import lake_path
 from desklake.operators import incremental, settings as options
 from desklake.operators.joins import is_small, join_per_tenant
-from desklake.operators.runlog import first_line, log_rows, runlog_append
+from desklake.operators.runlog import error_text, log_rows, runlog_append
 from desklake.operators.settings import Dialect
 from desklake.operators.watermark import watermark_upsert
 from desklake.operators.writer import lake_write
@@ -32,7 +32,7 @@ def _attempt(job) -> tuple[str, float, str | None]:
         job()
         return V.SUCCESS, round(time.time() - started, 2), None
     except Exception as error:
-        return V.ERROR, round(time.time() - started, 2), first_line(error)
+        return V.ERROR, round(time.time() - started, 2), error_text(error)
 
 
 def _counts(totals: DataFrame) -> DataFrame:

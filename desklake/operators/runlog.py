@@ -15,9 +15,9 @@ LOG_PARTITIONS = ["log_day", "run_id"]
 STORED = T.StructType(schemas.RUN_LOG.fields + [T.StructField(name, T.StringType()) for name in LOG_PARTITIONS])
 
 
-def first_line(error: Exception) -> str:
-    """The start of an error message, or its kind when it has none."""
-    return (str(error).strip() or type(error).__name__).splitlines()[0][:500]
+def error_text(error: Exception) -> str:
+    """The whole error message, or its kind when it has none; causes stand below the first line."""
+    return str(error).strip() or type(error).__name__
 
 
 def log_rows(events: DataFrame, run_id: str, at: Clock, job_id: str, **fixed) -> DataFrame:

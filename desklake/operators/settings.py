@@ -47,13 +47,14 @@ def settings_enable_csv(settings: DataFrame, changes: DataFrame, at: Clock, by:
 
     ``changes`` has tenant_id and may have csv_delimiter and csv_encoding. Existing rows get csv once, become
     active and keep their other options; absent rows are inserted with parquet and csv. With ``tenants``
-    given, changes for unknown tenants are left out.
+    given, changes for unknown tenants are left out. Of several changes for one tenant the greatest delimiter, then encoding, counts.
     """
     wanted = changes if tenants is None else changes.join(_tenant_names(tenants), "tenant_id", "left_semi")
     wanted = wanted.select(
         "tenant_id",
         *[(F.coalesce(F.col(name), F.lit(DEFAULTS[name])) if name in changes.columns else F.lit(DEFAULTS[name])).alias(name)
           for name in ("csv_delimiter", "csv_encoding")])
+    wanted = wanted.groupBy("tenant_id").agg(F.max(F.struct("csv_delimiter", "csv_encoding")).alias("options")).select("tenant_id", "options.*")
     current = schemas.evolve(settings, schemas.SETTINGS)
     asked = wanted.select("tenant_id", F.col("csv_delimiter").alias("_delimiter"), F.col("csv_encoding").alias("_encoding"))
     touched = F.col("_delimiter").isNotNull()
@@ -75,7 +76,7 @@ def settings_enable_csv(settings: DataFrame, changes: DataFrame, at: Clock, by:
 def settings_disable_csv(settings: DataFrame, changes: DataFrame, at: Clock, by: str = "desklake") -> DataFrame:
     """All settings after removing csv for the tenants in ``changes``; the list may become empty."""
     current = schemas.evolve(settings, schemas.SETTINGS)
-    asked = changes.select("tenant_id", F.lit(True).alias("_asked"))
+    asked = changes.select("tenant_id", F.lit(True).alias("_asked")).distinct()
     touched = F.col("_asked").isNotNull()
     return current.join(asked, "tenant_id", "left").withColumns({
         "export_formats": F.when(touched, F.array_remove("export_formats", V.CSV)).otherwise(F.col("export_formats")),

@@ -55,10 +55,10 @@ def watermark_reset(marks: DataFrame, tenant_ids: list[str], as_of: Clock,
 
 
 def watermark_upsert(marks: DataFrame, updates: DataFrame, at: Clock) -> DataFrame:
-    """All marks after one export: ``updates`` win, other tenants keep theirs, notes and creation stay."""
+    """All marks after one export: ``updates`` win (the latest of a tenant), other tenants keep theirs, notes and creation stay."""
     now = clock(at)
     old = _marks(marks).select("tenant_id", F.struct([c for c in schemas.WATERMARK.names if c != "tenant_id"]).alias("old"))
-    new = updates.select("tenant_id", F.struct("last_exported_created_at", "rows_exported", "export_type").alias("new"))
+    new = updates.groupBy("tenant_id").agg(F.max(F.struct("last_exported_created_at", "rows_exported", "export_type")).alias("new"))
     changed = F.col("new").isNotNull()
 
     def pick(name: str) -> Column:

@@ -84,3 +84,11 @@ def test_bootstrap_inserts_only_absent(spark):
     stored = settings(spark, ("a", ["csv"], {}))
     got = rows_by(S.settings_bootstrap(tenants(spark, a="A", b="B"), stored, T0), "tenant_id", "export_formats", "created_by")
     assert got == {"a": (["csv"], None), "b": (["parquet"], "desklake")}
+
+
+def test_a_tenant_named_twice_keeps_one_row(spark):
+    changes = spark.createDataFrame([("x", ";"), ("x", "|"), ("y", ";"), ("y", ";")], "tenant_id string, csv_delimiter string")
+    once = S.settings_enable_csv(settings(spark, ("old", [], {})).where("tenant_id <> 'old'"), changes, T0)
+    assert sorted((r.tenant_id, r.csv_delimiter) for r in once.collect()) == [("x", "|"), ("y", ";")]
+    assert S.settings_enable_csv(once, changes, T0).count() == 2
+    assert S.settings_disable_csv(once, changes, T0).count() == 2
