@@ -6,11 +6,13 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import astuple
 from datetime import datetime
+from functools import reduce
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock
 from desklake.functions.names import lake_path
@@ -21,6 +23,7 @@ from desklake.operators.settings import Dialect
 from desklake.operators.watermark import watermark_upsert
 from desklake.operators.writer import lake_write
 from desklake.sources.lake import Lake, lake_read, lake_tenants
+from desklake.sources.versions import VersionedTable
 
 WRITERS = 8
 
@@ -70,42 +73,57 @@ def write_all(lake: Lake, rows: DataFrame, totals: DataFrame, assignments: DataF
 
 
 def _finish(lake: Lake, totals: DataFrame, outcomes: DataFrame, run_ts: datetime, run: str, job_id: str, stem: str) -> DataFrame:
-    """Store and log every outcome, then move the marks: data, log and mark are written in this order."""
+    """Store and log every outcome, then move the marks: data, log and mark are written in this order.
+
+    Outcomes that the run stored earlier for tenants not in ``totals`` stay, in the results and in the log.
+    """
     good = F.col("status") == V.SUCCESS
     when = F.lit(str(run_ts)).cast("timestamp_ntz")
     results = outcomes.join(totals, "tenant_id").withColumns({
         "rows_affected": F.when(good, F.col("rows_exported")).otherwise(F.lit(0)),
         "file_path": lake_path(F.col("tenant_id"), F.col("file_format"), when, stem)})
-    folder = f"{lake.root}/results/{run}"
-    results.write.mode("overwrite").parquet(folder)
-    stored = lake.spark.read.schema(results.schema).parquet(folder)
+    kept = _results(lake, run)
+    earlier = kept.read().join(totals.select("tenant_id"), "tenant_id", "left_anti")
+    kept.replace(earlier.unionByName(results))
+    stored = kept.read()
     events = stored.select("tenant_id", "file_format", "status", "rows_affected", "duration_seconds", "error_message",
                            "export_type", "file_path", F.lit(1).alias("files_created"))
     runlog_append(lake, log_rows(events, run, run_ts, job_id, view_name=job_id, task_id=job_id,
                                  export_destination=V.EXPORT_DESTINATION, store_account=V.DEFAULT_ACCOUNT,
                                  container=V.DEFAULT_CONTAINER), f"{job_id}_{run}")
-    updates = incremental.next_watermark(stored.select("tenant_id", "last_exported_created_at", "rows_exported", "export_type").distinct(), stored)
+    done = stored.join(totals.select("tenant_id"), "tenant_id", "left_semi")
+    updates = incremental.next_watermark(done.select("tenant_id", "last_exported_created_at", "rows_exported", "export_type").distinct(), done)
     lake.marks.replace(watermark_upsert(lake.marks.read(), updates, run_ts))
     return stored
 
 
-def _run_name(run_ts: datetime, prefix: str = "") -> tuple[str, str]:
-    return run_ts.strftime("%Y-%m-%d"), prefix + run_ts.strftime("%Y%m%d_%H%M%S")
+def _run_name(run_ts: datetime, prefix: str = "", part: int = 1) -> tuple[str, str]:
+    name = prefix + run_ts.strftime("%Y%m%d_%H%M%S")
+    return run_ts.strftime("%Y-%m-%d"), name if part == 1 else f"{name}_{part}"
 
 
-def export_run(lake: Lake, flat: DataFrame, run_ts: datetime, as_of: Clock | None = None) -> DataFrame:
-    """Incremental export for every tenant with a folder; returns one row per tenant and format written.
+def _results(lake: Lake, run: str) -> VersionedTable:
+    return VersionedTable(lake.spark, f"{lake.root}/results/{run}", schemas.EXPORT_RESULTS)
 
-    Tenants with nothing new appear nowhere. A repeated run with the same ``run_ts`` replaces its own files.
-    """
-    day, run = _run_name(run_ts)
-    folders = lake_tenants(lake)
-    known = join_per_tenant(flat, folders, how="left_semi")
-    taken = incremental.incremental_slice(known, lake.marks.read(), as_of or run_ts).persist(StorageLevel.MEMORY_AND_DISK)
+
+def _bounds(lake: Lake, run: str) -> VersionedTable:
+    return VersionedTable(lake.spark, f"{lake.root}/bounds/{run}", schemas.EXPORT_BOUNDS)
+
+
+def _export(lake: Lake, taken: DataFrame, marks: DataFrame, run_ts: datetime, part: int) -> DataFrame:
+    """Write one slice under the name of its run and part, whose bounds are stored before any data."""
+    day, run = _run_name(run_ts, part=part)
+    taken = taken.persist(StorageLevel.MEMORY_AND_DISK)
     totals = incremental.slice_totals(taken).persist(StorageLevel.MEMORY_AND_DISK)
     config = options.export_config(totals, lake.settings.read())
     assignments = options.dialect_columns(config).persist(StorageLevel.MEMORY_AND_DISK)
+    bounds = _bounds(lake, run)
     try:
+        if totals.isEmpty() and part > 1:
+            return _results(lake, run).read()
+        if not bounds.exists() and not totals.isEmpty():
+            lower = marks.select("tenant_id", F.col("last_exported_created_at").alias("lower"))
+            bounds.replace(totals.select("tenant_id", F.col("last_exported_created_at").alias("upper")).join(lower, "tenant_id", "left"))
         outcomes = write_all(lake, taken, totals, assignments, day, run)
         return _finish(lake, totals, outcomes, run_ts, run, "export_tickets", "tickets")
     finally:
@@ -113,6 +131,41 @@ def export_run(lake: Lake, flat: DataFrame, run_ts: datetime, as_of: Clock | Non
             kept.unpersist()
 
 
+def _finish_part(lake: Lake, known: DataFrame, run_ts: datetime, as_of: Clock, part: int) -> None:
+    """Write again, within its stored bounds, what a part took for tenants whose mark has not reached them."""
+    now = lake.marks.read().select("tenant_id", F.col("last_exported_created_at").alias("mark"))
+    behind = F.col("mark").isNull() | (F.col("mark") < F.col("upper"))
+    unfinished = _bounds(lake, _run_name(run_ts, part=part)[1]).read().join(now, "tenant_id", "left").where(behind).select(
+        "tenant_id", F.when(F.col("lower").isNotNull(), F.least("lower", "mark")).alias("lower"), "upper").persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if unfinished.isEmpty():
+            return
+        marks = unfinished.where("lower IS NOT NULL").select("tenant_id", F.col("lower").alias("last_exported_created_at"))
+        rows = join_per_tenant(known, unfinished.select("tenant_id", F.col("upper").alias("_upper")), how="inner")
+        rows = rows.where(F.coalesce(F.col("created_at") <= F.col("_upper"), F.lit(True))).drop("_upper")
+        _export(lake, incremental.incremental_slice(rows, marks, as_of), marks, run_ts, part)
+    finally:
+        unfinished.unpersist()
+
+
+def export_run(lake: Lake, flat: DataFrame, run_ts: datetime, as_of: Clock | None = None) -> DataFrame:
+    """Incremental export for every tenant with a folder; returns one row per tenant and format written under ``run_ts``.
+
+    Tenants with nothing new appear nowhere. Called again with the same ``run_ts``, it first writes once more what an earlier call
+    left unfinished, within the bounds that call had stored; rows beyond them go to a further part with a name of its own, so
+    no file of a finished part is replaced. With nothing left to do it writes nothing and returns the stored results.
+    """
+    known = join_per_tenant(flat, lake_tenants(lake), how="left_semi")
+    parts = 0
+    while _bounds(lake, _run_name(run_ts, part=parts + 1)[1]).exists():
+        parts += 1
+        _finish_part(lake, known, run_ts, as_of or run_ts, parts)
+    marks = lake.marks.read()
+    fresh = _export(lake, incremental.incremental_slice(known, marks, as_of or run_ts), marks, run_ts, parts + 1)
+    earlier = [_results(lake, _run_name(run_ts, part=part)[1]).read() for part in range(1, parts + 1)]
+    return reduce(DataFrame.unionByName, [*earlier, fresh])
+
+
 def export_full(lake: Lake, flat: DataFrame, run_ts: datetime, file_format: str = V.PARQUET) -> DataFrame:
     """All rows of every tenant with a folder, in one format with default options; sets marks and logs.
 
@@ -133,12 +186,12 @@ def export_full(lake: Lake, flat: DataFrame, run_ts: datetime, file_format: str
         totals.unpersist()
 
 
-def export_replay(lake: Lake, failed: DataFrame, run_ts: datetime, file_format: str, dialect: Dialect) -> DataFrame:
-    """Write the slices of one run again in a format that had failed, for the tenants in ``failed``.
+def export_replay(lake: Lake, failed: DataFrame, run_ts: datetime, file_format: str, dialect: Dialect, part: int = 1) -> DataFrame:
+    """Write the slices of one run (or a later part of it) again in a format that had failed, for the tenants in ``failed``.
 
     The mark moved because another format succeeded, so the rows are taken from that format's files.
     """
-    day, run = _run_name(run_ts)
+    day, run = _run_name(run_ts, part=part)
     other = V.PARQUET if file_format == V.CSV else V.CSV
     rows = lake_read(lake, other, day=day, run=run)
     mine = join_per_tenant(rows, failed.select("tenant_id").distinct(), how="left_semi")

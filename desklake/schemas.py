@@ -47,6 +47,11 @@ RUN_LOG = _schema("""id BIGINT, refresh_timestamp TIMESTAMP_NTZ, view_name STRIN
 WATERMARK = _schema("""tenant_id STRING, last_exported_created_at TIMESTAMP_NTZ, last_export_success_at TIMESTAMP_NTZ,
     rows_exported BIGINT, export_type STRING, notes STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ""")
 
+# What an export run took per tenant (created after ``lower``, NULL in a first export, up to ``upper``), and what became of it.
+EXPORT_BOUNDS = _schema("tenant_id STRING, lower TIMESTAMP_NTZ, upper TIMESTAMP_NTZ")
+EXPORT_RESULTS = _schema("""tenant_id STRING, file_format STRING, status STRING, duration_seconds DOUBLE, error_message STRING,
+    rows_exported BIGINT, last_exported_created_at TIMESTAMP_NTZ, export_type STRING, rows_affected BIGINT, file_path STRING""")
+
 SETTINGS = _schema("""tenant_id STRING, export_formats STRINGS, csv_delimiter STRING, csv_encoding STRING,
     csv_quoting STRING, csv_date_format STRING, parquet_compression STRING, parquet_engine STRING, active BOOLEAN,
     notes STRING, created_at TIMESTAMP_NTZ, updated_at TIMESTAMP_NTZ, created_by STRING, updated_by STRING""")

@@ -22,8 +22,8 @@ def refresh_signals(lake: Lake) -> DataFrame:
 def stream_export(lake: Lake, checkpoint: str, available_now: bool = True, every: str = "1 minute") -> StreamingQuery:
     """Export after refreshes. ``available_now`` drains what is there and stops.
 
-    Several refreshes in one batch need only one export, from the newest. Its clock names the run, so a
-    batch that is repeated after a crash replaces its own files.
+    Several refreshes in one batch need only one export, from the newest. Its clock names the run: a
+    batch that is repeated after a crash completes it, and a later refresh with the same clock adds a part to it.
     """
     def export_newest(signals: DataFrame, _batch: int) -> None:
         newest = signals.agg(F.max_by(F.struct("as_of", "folder"), F.struct("as_of", "folder")).alias("s")).select("s.*").first()

@@ -64,6 +64,46 @@ def test_repeated_run_replaces_its_files(spark, lake):
     assert runlog.runlog_read(lake).count() == 1
 
 
+def test_repeated_run_keeps_what_it_exported(spark, lake):
+    prepared(lake, "a", "b", known=marks(spark, a=T0, b=T0))
+    first, late = [ticket(1, created=T0 + MINUTE), ticket(2, tenant="b", created=T0 + MINUTE)], ticket(3, created=T0 + 2 * MINUTE)
+    export.export_run(lake, flat(spark, *first), RUN)
+    done = export.export_run(lake, flat(spark, *first, late), RUN)
+    assert sorted((r.tenant_id, r.rows_affected) for r in done.collect()) == [("a", 1), ("a", 1), ("b", 1)]
+    name = "20260105_091500"
+    assert rows_by(L.lake_read(lake), "id", "run") == {1: name, 2: name, 3: f"{name}_2"}
+    assert runlog.runlog_read(lake).agg(F.count("id"), F.sum("rows_affected")).first() == (3, 3)
+    # Nothing is left to do: the stored results come back and nothing is written.
+    again = export.export_run(lake, flat(spark, *first, late), RUN)
+    assert sorted(again.collect()) == sorted(done.collect())
+    assert L.lake_read(lake).count() == 3 and runlog.runlog_read(lake).count() == 3
+    assert rows_by(lake.marks.read(), "tenant_id", "last_exported_created_at") == {"a": T0 + 2 * MINUTE, "b": T0 + MINUTE}
+
+
+def test_unfinished_run_is_completed_within_its_bounds(spark, lake):
+    prepared(lake, "a", "b", known=marks(spark, a=T0, b=T0))
+    first = [ticket(1, created=T0 + MINUTE), ticket(2, tenant="b", created=T0 + MINUTE)]
+    export.export_run(lake, flat(spark, *first), RUN)
+    lake.marks.replace(marks(spark, a=T0 + MINUTE, b=T0))  # the mark of b was not moved
+    export.export_run(lake, flat(spark, *first, ticket(3, tenant="b", created=T0 + 2 * MINUTE)), RUN)
+    name = "20260105_091500"
+    assert rows_by(L.lake_read(lake), "id", "run") == {1: name, 2: name, 3: f"{name}_2"}
+    assert runlog.runlog_read(lake).count() == 3
+
+
+def test_run_that_stopped_before_its_results(spark, lake, monkeypatch):
+    prepared(lake, "a", known=marks(spark, a=T0))
+    rows = flat(spark, ticket(1, created=T0 + MINUTE))
+    with monkeypatch.context() as broken:
+        broken.setattr(export, "_finish", None)
+        with pytest.raises(TypeError):
+            export.export_run(lake, rows, RUN)
+    assert runlog.runlog_read(lake).count() == 0
+    done = export.export_run(lake, rows, RUN)
+    assert [(r.tenant_id, r.rows_affected) for r in done.collect()] == [("a", 1)]
+    assert L.lake_read(lake).count() == 1 and runlog.runlog_read(lake).count() == 1
+
+
 @pytest.mark.parametrize("codec", ["snappy", "gzip", "zstd", "lz4", "none"])
 def test_parquet_codecs(spark, lake, codec):
     rows = flat(spark, ticket(1), ticket(2, tenant="b/c:d"))
