@@ -226,11 +226,11 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
     ask = stored(ask.select("q.token", F.col("q.class").alias("class"), F.col("q.n").alias("n_u"), F.col("q.rest").alias("rest_u"),
                             F.col("g.group").alias("group")), "group-meetings")
     queries = stored(ask.select("class", "group").distinct(), "group-queries")
-    member = classes.join(root.select(F.col("node").alias("class"), "root"), "class", "left").select(
-        F.coalesce("root", "class").alias("group"), "class", "n", "tokens")
-    wanted = queries.select("group").distinct()
-    union = member.join(wanted, "group", "left_semi").select("group", F.explode("tokens").alias("token")).groupBy("group").agg(
-        F.collect_set("token").alias("union"))
+    member = classes.select("class").join(root.select(F.col("node").alias("class"), "root"), "class", "left").select(
+        F.coalesce("root", "class").alias("group"), "class")
+    wanted = stored(member.join(queries.select("group").distinct(), "group", "left_semi"), "wanted-members")
+    union = classes.select("class", "tokens").join(_few(wanted), "class").select("group", F.explode("tokens").alias("token")).groupBy(
+        "group").agg(F.collect_set("token").alias("union"))
     bounded = _few(queries).join(classes, "class").join(union, "group").where(
         F.size(F.array_intersect("tokens", "union")) * 100 >= F.col("n") * percent).select("class", "group")
     opened = stored(bounded, "opened-groups")
@@ -251,10 +251,11 @@ def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT,
     classes = stored(candidates.groupBy("class").agg(
         F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens"), F.min(known_id).alias("least_id")), "classes")
     root = components(class_links(classes.select("class", "n", "tokens"), percent))
-    linked = classes.join(root.select(F.col("node").alias("class"), "root"), "class", "left")
     # Members of a class without outside links are linked with each other only if their shared part alone is enough.
     tight = _similar(F.size("tokens"), F.col("n"), F.col("n"), percent)
-    told = linked.where(F.col("root").isNotNull() | tight).select(
+    linked = classes.select("class", "least_id", tight.alias("tight")).join(
+        root.select(F.col("node").alias("class"), "root"), "class", "left")
+    told = linked.where(F.col("root").isNotNull() | F.col("tight")).select(
         "class", F.coalesce("root", "class").alias("root"), "least_id")
     smallest = told.groupBy("root").agg(F.min("least_id").alias("component"))
     per_class = told.join(smallest, "root").select("class", "component")
