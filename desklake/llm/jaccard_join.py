@@ -187,8 +187,11 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
     small = F.floor((F.col("n") * 2 * percent + 99 + percent) / (100 + percent)).cast("int")  # the same with a partner no smaller than it
     filed = classes.select("class", "n", size.alias("m"), small.alias("small"), F.posexplode(F.slice("tokens", 1, size - least + 1)).alias("at", "token"))
     # rest: how much two sets can share from here on; lower: whether a smaller set still has to be found here.
-    filed = stored(filed.select("class", "n", "m", "token", (F.col("m") - F.col("at")).alias("rest"),
-                                (F.col("at") <= F.col("m") - F.col("small")).alias("lower")), "prefixes")
+    filed = filed.select("class", "n", "m", "token", (F.col("m") - F.col("at")).alias("rest"),
+                         (F.col("at") <= F.col("m") - F.col("small")).alias("lower"))
+    # A shingle that one class is filed under makes no pair; after equal sets have become one class, most are of this kind.
+    several = filed.groupBy("token").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("token")
+    filed = stored(filed.join(several, "token", "left_semi").select(*filed.columns), "prefixes")
 
     def fits(n: str, m: str, o: str, p: str) -> Column:
         return _similar(F.least(F.col(m), F.col(p)), F.col(n), F.col(o), percent)
