@@ -67,7 +67,7 @@ def _prints(hashes: Column, shorter: list[int]) -> Column:
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """doc_id, n_words, n_hit (words in shared windows) and the item_ids of those windows, sorted as text."""
+    """doc_id, text_hash, n_words, n_hit (words in shared windows) and the item_ids of those windows, sorted as text."""
     windows = stored(benchmark_windows(benchmark), "benchmark-windows")
     count = windows.count()
     small = F.broadcast if count <= BROADCAST_ROWS else lambda frame: frame
@@ -104,7 +104,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     both = hit.join(items, [hit[k].eqNullSafe(items[k]) for k in key]).select(
         hit["doc_id"].alias("hit_id"), hit["text_hash"].alias("hit_hash"), "n_hit", "items")
     return base.join(both, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")), "left").select(
-        "doc_id", "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
+        *key, "n_words", F.coalesce("n_hit", F.lit(0).cast("long")).alias("n_hit"),
         F.coalesce("items", F.array().cast("array<string>")).alias("items"))
 
 
@@ -115,6 +115,7 @@ def _cover(state: Column, window: Column) -> Column:
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without a hit, with all their columns."""
-    hit = decontaminate(docs, benchmark).where(F.col("n_hit") > 0).select(F.col("doc_id").alias("hit_id")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")), "left_anti")
+    """The documents without a hit, with all their columns. Each row goes or stays by its own text, whoever shares its id."""
+    hit = decontaminate(docs, benchmark).where(F.col("n_hit") > 0).select(
+        F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_hash")), "left_anti")
