@@ -113,7 +113,7 @@ def _all_shingles(texts: Texts, size: int):
 
 
 def shingle_sets(docs: DataFrame, size: int, percent: int, chunk_bytes: int) -> DataFrame:
-    """Per document: n_shingles, and for candidates the class (16 bytes) and shared shingles, rarest first."""
+    """Per document: the MD5 of its text, n_shingles, and for candidates the class (16 bytes) and shared shingles, rarest first."""
     chunked, total = chunks.in_chunks(docs, chunk_bytes)
     buckets = chunks.bucket_count(total / 6)
 
@@ -126,8 +126,9 @@ def shingle_sets(docs: DataFrame, size: int, percent: int, chunk_bytes: int) ->
 
     def sets(rows: pa.Table, known: pa.Table) -> pa.Table:
         if not rows.num_rows:
-            return _sets([], [], [], [])
+            return _sets([], [], [], [], [])
         texts, shared = Texts(rows), Shared(known, buckets)
+        prints = [hashlib.md5(texts.data[x:y], usedforsecurity=False).digest() for x, y in zip(texts.bounds[:-1], texts.bounds[1:])]
         counts, classes, tokens = [], [], []
         for first, last, hashed, where in _all_shingles(texts, size):
             level = shared.level(hashed)
@@ -147,16 +148,16 @@ def shingle_sets(docs: DataFrame, size: int, percent: int, chunk_bytes: int) ->
                 else:
                     classes.append(None)
                     tokens.append(None)
-        return _sets(texts.out_ids(), counts, classes, tokens)
+        return _sets(texts.out_ids(), prints, counts, classes, tokens)
 
     known = chunks.shared_keys(chunked, keys_of, buckets)
     return chunked.groupBy("chunk").cogroup(known.groupBy("chunk")).applyInArrow(
-        sets, "doc_id long, n_shingles long, class binary, tokens array<long>")
+        sets, "doc_id long, text_md5 binary, n_shingles long, class binary, tokens array<long>")
 
 
-def _sets(ids, counts, classes, tokens) -> pa.Table:
-    return pa.table({"doc_id": pa.array(ids, pa.int64()), "n_shingles": pa.array(counts, pa.int64()), "class": pa.array(classes, pa.binary()),
-                     "tokens": pa.array(tokens, pa.list_(pa.int64()))})
+def _sets(ids, prints, counts, classes, tokens) -> pa.Table:
+    return pa.table({"doc_id": pa.array(ids, pa.int64()), "text_md5": pa.array(prints, pa.binary()), "n_shingles": pa.array(counts, pa.int64()),
+                     "class": pa.array(classes, pa.binary()), "tokens": pa.array(tokens, pa.list_(pa.int64()))})
 
 
 def _similar(common: Column, n: Column, m: Column, percent: int) -> Column:
@@ -246,29 +247,45 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
     return links.unionByName(_verified(stored(pairs, "member-pairs"), classes, percent))
 
 
-def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, chunk_bytes: int = chunks.CHUNK_BYTES) -> DataFrame:
-    """doc_id, n_shingles and component_id, the smallest id reachable by links."""
+def _linked(docs: DataFrame, size: int, percent: int, chunk_bytes: int) -> tuple[DataFrame, DataFrame]:
+    """The stored sets of all rows, and for every class with links its component's smallest id and first row.
+
+    A row is an id (null last) and the MD5 of the text.
+    """
     sets = stored(shingle_sets(docs, size, percent, chunk_bytes), "shingle-sets")
-    known_id = F.coalesce("doc_id", F.lit(LAST_ID))
     candidates = sets.where(F.col("class").isNotNull())
     classes = stored(candidates.groupBy("class").agg(
-        F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens"), F.min(known_id).alias("least_id")), "classes")
+        F.first("n_shingles").alias("n"), F.first("tokens").alias("tokens"), F.min(F.coalesce("doc_id", F.lit(LAST_ID))).alias("least_id"),
+        F.min(F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_md5")).alias("row")), "classes")
     root = components(class_links(classes.select("class", "n", "tokens"), percent))
     # Members of a class without outside links are linked with each other only if their shared part alone is enough.
     tight = _similar(F.size("tokens"), F.col("n"), F.col("n"), percent)
-    linked = classes.select("class", "least_id", tight.alias("tight")).join(
+    linked = classes.select("class", "least_id", "row", tight.alias("tight")).join(
         root.select(F.col("node").alias("class"), "root"), "class", "left")
     told = linked.where(F.col("root").isNotNull() | F.col("tight")).select(
-        "class", F.coalesce("root", "class").alias("root"), "least_id")
-    smallest = told.groupBy("root").agg(F.min("least_id").alias("component"))
-    per_class = told.join(smallest, "root").select("class", "component")
-    return sets.select("doc_id", "n_shingles", "class").join(per_class, "class", "left").select(
+        "class", F.coalesce("root", "class").alias("root"), "least_id", "row")
+    smallest = told.groupBy("root").agg(F.min("least_id").alias("component"), F.min("row").alias("first"))
+    return sets, told.join(smallest, "root").select("class", "component", "first")
+
+
+def link_documents(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, chunk_bytes: int = chunks.CHUNK_BYTES) -> DataFrame:
+    """doc_id, n_shingles and component_id, the smallest id reachable by links."""
+    sets, per_class = _linked(docs, size, percent, chunk_bytes)
+    known_id = F.coalesce("doc_id", F.lit(LAST_ID))
+    return sets.select("doc_id", "n_shingles", "class").join(per_class.select("class", "component"), "class", "left").select(
         "doc_id", "n_shingles", F.nullif(F.coalesce("component", known_id), F.lit(LAST_ID)).alias("component_id"))
 
 
-def keep_one(docs: DataFrame, **options) -> DataFrame:
-    """All columns of the documents that stay: of every component the one with the smallest id; of rows equal in id and text, one."""
-    found = link_documents(docs, **options)
-    stay = found.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    joined = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi")
+def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, chunk_bytes: int = chunks.CHUNK_BYTES) -> DataFrame:
+    """All columns of the documents that stay: of every component one, of rows equal in id and text one.
+
+    The one with the smallest id stays (null last), of several with that id the one whose text has the smallest MD5. Rows are told
+    apart by id and text, so null and repeated ids neither keep nor drop each other.
+    """
+    sets, per_class = _linked(docs, size, percent, chunk_bytes)
+    placed = sets.select("doc_id", "text_md5", "class").join(per_class.select("class", "first"), "class", "left")
+    first = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_md5") == F.col("text_md5"))
+    stay = placed.where(F.col("first").isNull() | first).select(F.col("doc_id").alias("kept_id"), F.col("text_md5").alias("kept_md5")).distinct()
+    own = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+    joined = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (own == F.col("kept_md5")), "left_semi")
     return joined.dropDuplicates(["doc_id", "text"])

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from desklake.llm import decontaminate
-from test_operators import PASSAGE, by_text, rows_of
+from desklake.llm import decontaminate, jaccard_join
+from test_operators import LAST, PASSAGE, by_text, components_by_hand, rows_of
 
 
 def test_clean_judges_rows_that_share_an_id_each_by_its_text(spark):
@@ -12,3 +12,22 @@ def test_clean_judges_rows_that_share_an_id_each_by_its_text(spark):
     benchmark = spark.createDataFrame([(1, PASSAGE)], "item_id long, text string")
     kept = decontaminate.clean(docs, benchmark)
     assert by_text(rows_of(kept)) == by_text((i, text) for i, text in rows if not (text or "").startswith(PASSAGE))
+
+
+def numbered(name, count):
+    return " ".join(f"{name}{i}" for i in range(count))
+
+
+def test_keep_one_tells_rows_with_null_and_repeated_ids_apart(spark):
+    a, b, c, d = (numbered(name, 60) for name in "abcd")
+    rows = [(1, a), (None, a + " x"), (None, "alone among all the others here"),    # near copy of 1; null id without a copy
+            (None, b), (None, b + " x"), (None, b + " y"),                         # near copies without an id
+            (2, c), (3, c + " x"), (3, "three stays by this other text of its own"),  # near copy under the id of a row that stays
+            (4, d), (4, d + " x"), (5, d + " y"), (5, None), (None, None), (None, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = rows_of(jaccard_join.keep_one(docs, chunk_bytes=1000))
+    alone = [rows[i] for i in (0, 2, 6, 8, 12, 13, 14)]
+    assert all(row in kept for row in alone)
+    rest = [row for row in kept if row not in alone]
+    assert sorted((text[0], i is None) for i, text in rest) == [("b", True), ("d", False)] and (4, d) in rest or (4, d + " x") in rest
+    assert len(kept) == 9
