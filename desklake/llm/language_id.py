@@ -4,9 +4,11 @@ A text is read as UTF-8 bytes in windows of ``WINDOW``; the last one is filled w
 widths slide over the window, each filter's largest answer is kept, and a softmax over those gives the window's language. A
 document's probabilities are those of its windows, weighted by their bytes; all windows of the whole text count.
 
-Training takes a bounded, documented sample: per language about ``TRAIN_DOCS`` labelled documents, those whose ids have the smallest
-hashes (never more than twice as many in all), and of each up to ``TRAIN_WINDOWS`` windows spread over the text. Which documents may be learnt from is for the caller to say. The weights, some
-10 kB, travel with the function.
+Training takes a bounded, documented sample: per language about ``TRAIN_DOCS`` labelled documents, those with the smallest hashes of id
+and text (never more than twice as many of a language), and of each up to ``TRAIN_WINDOWS`` windows spread over the text. Rows equal in
+language, id and text are one document there, and every language is drawn and bounded by itself, so neither null or repeated ids nor
+another language can push one out. Which documents may be learnt from is for the caller to say. The weights, some 10 kB, travel
+with the function.
 
 Defined cases: null text and texts without a letter are ``und`` with score 0; a null id or label is allowed (unlabelled rows are never learnt
 from); repeated rows are judged each for itself; other columns are ignored; an empty table gives no rows, and a table without a
@@ -20,7 +22,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 WINDOW, EMBED, FILTERS, WIDTHS = 128, 8, 8, (2, 3, 4)
@@ -129,16 +131,19 @@ def byte_windows(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.n
 def fit(labelled: DataFrame, most_docs: int = TRAIN_DOCS, most_windows: int = TRAIN_WINDOWS) -> Model | None:
     """A model from rows (doc_id, text, lang): bounded by languages * most_docs * most_windows windows on the driver."""
     usable = labelled.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    named = usable.withColumn("print", F.xxhash64("doc_id", "text"))
     # Only ids and hashes take part in the choice. A threshold per language comes from a count, so no language is sorted in one task.
-    draw = F.shiftrightunsigned(F.xxhash64("doc_id"), 33)
-    counts = {row["lang"]: row["n"] for row in usable.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    draw = F.shiftrightunsigned("print", 33)
+    counts = {row["lang"]: row["n"] for row in named.select("lang", "doc_id", "print").distinct().groupBy("lang").agg(
+        F.count(F.lit(1)).alias("n")).collect()}
     share = F.lit(None).cast("double")
     for lang, count in counts.items():
         share = F.when(F.col("lang") == lang, F.lit(most_docs / count)).otherwise(share)
-    chosen = usable.where(draw <= share * float(1 << 31))
     spread = F.transform(F.sequence(F.lit(0), F.lit(most_windows - 1)), lambda i: F.substring(
         F.col("text"), (F.char_length("text") * i / most_windows).cast("int") + 1, F.lit(WINDOW)))
-    rows = chosen.select("lang", "doc_id", spread.alias("windows")).orderBy("lang", "doc_id").limit(2 * most_docs * len(counts)).collect()
+    chosen = named.where(draw <= share * float(1 << 31)).select("lang", "doc_id", "print", spread.alias("windows")).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.shiftrightunsigned("print", 33), "print", "doc_id", "windows"))
+    rows = chosen.withColumn("place", place).where(F.col("place") <= 2 * most_docs).orderBy("lang", "place").collect()
     texts = [(row["lang"], part.encode()[:WINDOW]) for row in rows for part in dict.fromkeys(row["windows"]) if part.strip()]
     if not texts:
         return None

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from desklake.llm import decontaminate, jaccard_join
+from desklake.llm import decontaminate, jaccard_join, language_id
 from test_operators import LAST, PASSAGE, by_text, components_by_hand, rows_of
 
 
@@ -31,3 +31,15 @@ def test_keep_one_tells_rows_with_null_and_repeated_ids_apart(spark):
     rest = [row for row in kept if row not in alone]
     assert sorted((text[0], i is None) for i, text in rest) == [("b", True), ("d", False)] and (4, d) in rest or (4, d + " x") in rest
     assert len(kept) == 9
+
+
+def test_no_language_pushes_another_out_of_the_sample(spark):
+    words = {"de": "der hund und die katze sind nicht mehr hier", "en": "the dog and the cat are not here any more", "fr": "le chien et le chat ne sont plus ici"}
+    rows = [(None, f"{words['de']} {i}", "de") for i in range(60)] + [(None, f"{words['de']} copy", "de")] * 60
+    rows += [(9, f"{words['en']} {i}", "en") for i in range(60)] + [(9, f"{words['en']} copy", "en")] * 60
+    rows += [(100 + i, f"{words['fr']} {i}", "fr") for i in range(10)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(labelled, most_docs=10)
+    assert model.languages == ["de", "en", "fr"]
+    told = language_id.predict(labelled, model).collect()
+    assert sum(r["lang_pred"] == lang for r, (_, _, lang) in zip(told, rows)) >= 0.9 * len(rows)
