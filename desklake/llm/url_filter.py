@@ -3,10 +3,12 @@ r"""URL filters with link-graph propagation.
 Rules name a host (with its subdomains) and a path prefix; the longest that fits a page decides. Pages without a rule get the verdict of
 their host: trust spreads from hosts with allowed pages along links, distrust from hosts with blocked pages against them
 (who links to a blocked host is suspect), both as personalised PageRank over weighted host edges. A host is blocked when
-its distrust is above ``MARGIN`` times its trust and above ``LEAST`` of all distrust; a host that neither reaches is allowed.
+its share of all distrust is above ``MARGIN`` times its share of all trust; a host that neither reaches is allowed. Both are carried in
+pages: a host's own blocked page is 1 of distrust in a table of any size. Rounds go on until what all hosts still receive of either
+kind is below a tenth of ``LEAST`` pages divided by the number of hosts, and distrust below that ``LEAST`` share counts as none.
 
-Edges are the absolute http(s) links in a page's ``href`` values, counted per pair of hosts before anything is joined, so a hub is one row
-per neighbour. Each round is one join and one map-side sum. Defined cases: a null url or one without ``://`` has an empty host and path,
+Edges are the links with a host in a page's ``href`` values (http, https, or ``//host``), counted per pair of hosts before anything is
+joined, so a hub is one row per neighbour. Each round is one join and one map-side sum. Defined cases: a null url or one without ``://`` has an empty host and path,
 fits no rule and is allowed; null html has no links; pages repeated in the table count once each; null ids are passed through; other
 columns are ignored; an empty table gives no rows.
 """
@@ -20,9 +22,9 @@ from pyspark.sql import functions as F
 
 from desklake.llm.common import ascii_lower, stored
 
-DAMPING, ROUNDS = 0.85, 8
+DAMPING = 0.85
 MARGIN, LEAST = 1.0, 1e-6
-LINK = r"""(?i)href\s*=\s*["']?\s*(https?://[^"'\s>]+)"""
+LINK = r"""(?i)href\s*=\s*["']?\s*(?:https?:)?//([^/?#"'\s>]+)"""
 
 
 @dataclass(frozen=True)
@@ -55,15 +57,15 @@ def host_edges(pages: DataFrame) -> DataFrame:
     """source, target and weight: links between different hosts, as shares of the source's links."""
     source, _ = host_and_path(F.col("url"))
     links = pages.select(source.alias("source"), F.explode(F.regexp_extract_all(F.coalesce("html", F.lit("")), F.lit(LINK), 1)).alias("link"))
-    target, _ = host_and_path(F.col("link"))
-    return links.select("source", target.alias("target")).where("source <> target and source <> '' and target <> ''").groupBy(
+    return links.select("source", ascii_lower(F.col("link")).alias("target")).where("source <> target and source <> '' and target <> ''").groupBy(
         "source", "target").agg(F.count(F.lit(1)).alias("links"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping: float = DAMPING) -> DataFrame:
-    """host, trust and distrust. ``seeds`` has host, trust and distrust, each column summing to 1 or 0.
+def propagate(edges: DataFrame, seeds: DataFrame, least: float = LEAST, damping: float = DAMPING) -> tuple[DataFrame, float]:
+    """host, trust and distrust in pages; and the distrust that counts as none. ``seeds`` has host, trust and distrust in pages.
 
-    Trust moves along the edges and distrust against them; what a host without such edges would pass on goes back to the seeds.
+    Trust moves along the edges and distrust against them. What has moved in a round is all that moves in the next, ``damping``
+    times at most, so the rounds end; their sum, divided by its total, is the PageRank in which a host without such edges gives back to the seeds.
     """
     out = edges.groupBy("source").agg(F.sum("links").alias("out"))
     into = edges.groupBy("target").agg(F.sum("links").alias("into"))
@@ -74,22 +76,24 @@ def propagate(edges: DataFrame, seeds: DataFrame, rounds: int = ROUNDS, damping:
         shares.select(F.col("target").alias("host"), F.col("source").alias("to"), F.lit(0.0).alias("along"),
                       (F.col("links") / F.col("into")).alias("against")))
     moves = stored(moves, "host-moves")
-    ranks = stored(seeds, "host-ranks")
     if moves.isEmpty():
-        return ranks
-    for _ in range(rounds):
-        sent = ranks.join(moves, "host").select(F.col("to").alias("host"), (F.col("trust") * F.col("along")).alias("trust"),
-                                                (F.col("distrust") * F.col("against")).alias("distrust"))
-        moved = sent.groupBy("host").agg(F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust"))
-        arrived = moved.agg(F.sum("trust"), F.sum("distrust")).first()
-        lost = [1 - damping * (value or 0.0) for value in arrived]
-        ranks = stored(moved.select("host", *[(F.col(c) * damping).alias(c) for c in ("trust", "distrust")]).unionByName(
-            seeds.select("host", *[(F.col(c) * share).alias(c) for c, share in zip(("trust", "distrust"), lost)])).groupBy("host").agg(
-            F.sum("trust").alias("trust"), F.sum("distrust").alias("distrust")), "host-ranks")
-    return ranks
-
-
-def judge(pages: DataFrame, rules: list[Rule], rounds: int = ROUNDS) -> DataFrame:
+        return seeds, 0.0
+    floor = least / moves.select("host").unionByName(seeds.select("host")).distinct().count()
+    kinds = ("trust", "distrust")
+    ranks = stored(seeds.select("host", *kinds, *[F.col(c).alias(f"new_{c}") for c in kinds]), "host-ranks")
+    while True:
+        sent = ranks.where("new_trust > 0 or new_distrust > 0").join(moves, "host").select(
+            F.col("to").alias("host"), (F.col("new_trust") * F.col("along") * damping).alias("new_trust"),
+            (F.col("new_distrust") * F.col("against") * damping).alias("new_distrust"))
+        both = sent.unionByName(ranks.select("host", *kinds), allowMissingColumns=True).groupBy("host")
+        now = {c: F.coalesce(F.sum(c), F.lit(0.0)) for c in (*kinds, "new_trust", "new_distrust")}
+        ranks = stored(both.agg(*[(now[c] + now[f"new_{c}"]).alias(c) for c in kinds], *[now[f"new_{c}"].alias(f"new_{c}") for c in kinds]), "host-ranks")
+        moved = ranks.agg(F.sum("new_trust"), F.sum("new_distrust")).first()
+        if max(value or 0.0 for value in moved) <= floor / 10:
+            return ranks.select("host", *kinds), floor
+
+
+def judge(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     """page_id, host, path, rule, verdict, and the host's trust and distrust."""
     host, path = host_and_path(F.col("url"))
     parsed = pages.select("page_id", host.alias("host"), path.alias("path"))
@@ -97,11 +101,12 @@ def judge(pages: DataFrame, rules: list[Rule], rounds: int = ROUNDS) -> DataFram
     counts = placed.where("host <> ''").groupBy("host").agg(
         F.count_if(F.col("fit.action") == "allow").cast("double").alias("trust"),
         F.count_if(F.col("fit.action") == "block").cast("double").alias("distrust"))
-    totals = counts.agg(F.sum("trust"), F.sum("distrust")).first()
-    seeds = stored(counts.where("trust > 0 or distrust > 0").select(
-        "host", *[(F.col(c) / F.lit(total or 1.0)).alias(c) for c, total in zip(("trust", "distrust"), totals)]), "host-seeds")
-    ranks = propagate(stored(host_edges(pages.select("url", "html")), "host-edges"), seeds, rounds)
-    bad = (F.col("distrust") > F.coalesce("trust", F.lit(0.0)) * MARGIN) & (F.col("distrust") > LEAST)
+    seeds = stored(counts.where("trust > 0 or distrust > 0"), "host-seeds")
+    pages_of, floor = propagate(stored(host_edges(pages.select("url", "html")), "host-edges"), seeds)
+    totals = pages_of.agg(F.sum("trust"), F.sum("distrust")).first()
+    ranks = pages_of.select("host", (F.col("distrust") > floor).alias("suspect"), *[
+        (F.col(c) / F.lit(total or 1.0)).alias(c) for c, total in zip(("trust", "distrust"), totals)])
+    bad = F.col("suspect") & (F.col("distrust") > F.col("trust") * MARGIN)
     return placed.join(ranks, "host", "left").select(
         "page_id", "host", "path", F.col("fit.rule").alias("rule"),
         F.coalesce(F.col("fit.action"), F.when(bad, "block").otherwise("allow")).alias("verdict"),

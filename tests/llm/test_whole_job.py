@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from desklake.llm import decontaminate, jaccard_join, language_id
+from desklake.llm import decontaminate, jaccard_join, language_id, url_filter
 from test_operators import LAST, PASSAGE, by_text, components_by_hand, rows_of
 
 
@@ -43,3 +43,15 @@ def test_no_language_pushes_another_out_of_the_sample(spark):
     assert model.languages == ["de", "en", "fr"]
     told = language_id.predict(labelled, model).collect()
     assert sum(r["lang_pred"] == lang for r, (_, _, lang) in zip(told, rows)) >= 0.9 * len(rows)
+
+
+def test_verdicts_do_not_depend_on_table_size_or_on_eight_links(spark):
+    link = '<a href="{}/x?u=http://other.org/">x</a>'
+    chain = [(i, f"http://h{i}.info/", link.format(f"{'' if i % 2 else 'HTTPS:'}//h{i + 1}.info" if i < 12 else "//bad.net")) for i in range(13)]
+    mixed = [(19, "http://bad.net/", ""), (20, "http://two.info/block/", ""), (21, "http://two.info/", link.format("//friend.org"))]
+    rules = [url_filter.Rule("block", "net", "/"), url_filter.Rule("block", "two.info", "/block/"), url_filter.Rule("allow", "org", "/")]
+    small = spark.createDataFrame(chain + mixed, "page_id long, url string, html string")
+    many = spark.range(3_000_000).selectExpr("1000 + id as page_id", "concat('http://n', id % 5, '.net/') as url", "'' as html")
+    for pages in (small, small.unionByName(many)):
+        got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, rules).where("page_id < 1000").collect()}
+        assert got == {i: "block" for i, _, _ in chain + mixed}
