@@ -200,7 +200,8 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
     # Stars: under each shingle one class is the centre, and a class is held against the centre of another group that it meets most
     # often. The first centres have the most shared shingles (originals have more than their edited copies), the next the smallest
     # set.
-    links, grouped = None, filed.withColumn("group", F.col("class"))
+    links, grouped = classes.select(F.col("class").alias("u"), F.col("class").alias("v")).where("false"), filed.withColumn("group", F.col("class"))
+    root = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     for by in CENTRES:
         seat = F.expr(by)
         centre = grouped.groupBy("token").agg(F.max_by(F.struct("class", "n", "m", "group"), F.struct(seat, "class")).alias("c"),
@@ -210,15 +211,12 @@ def class_links(classes: DataFrame, percent: int) -> DataFrame:
         met = met.where((F.col("group") != F.col("other")) & fits("n", "m", "n_v", "m_v"))
         voted = met.groupBy(F.col("class").alias("u"), "v").agg(F.count(F.lit(1)).alias("votes"))
         chosen = stored(voted.groupBy("u").agg(F.max(F.struct("votes", "v")).alias("best")).select("u", F.col("best.v").alias("v")), "stars")
-        if chosen.isEmpty():
-            break
-        found = _verified(chosen, classes, percent)
-        links = stored(found if links is None else links.unionByName(found), "star-links")
+        if chosen.isEmpty():  # no class fits the centre it meets; it can still fit another class, which the groups below find
+            continue
+        links = stored(links.unionByName(_verified(chosen, classes, percent)), "star-links")
         root = components(links)
         grouped = stored(filed.join(root.select(F.col("node").alias("class"), "root"), "class", "left").withColumn(
             "group", F.coalesce("root", "class")).drop("root"), "grouped-prefixes")
-    if links is None:
-        return _verified(filed.select(F.col("class").alias("u"), F.col("class").alias("v")).limit(0), classes, percent)
 
     # Groups, and the queries that meet another group under a shingle.
     mixed = grouped.groupBy("token").agg(F.min("group").alias("a"), F.max("group").alias("b")).where("a <> b").select("token")

@@ -55,3 +55,12 @@ def test_verdicts_do_not_depend_on_table_size_or_on_eight_links(spark):
     for pages in (small, small.unionByName(many)):
         got = {r["page_id"]: r["verdict"] for r in url_filter.judge(pages, rules).where("page_id < 1000").collect()}
         assert got == {i: "block" for i, _, _ in chain + mixed}
+
+
+def test_links_are_found_when_no_class_fits_the_centre_of_a_shingle(spark):
+    short, passage = numbered("w", 12), numbered("p", 104)
+    texts = [short, short.rsplit(" ", 1)[0], f"{short} {passage}", *[f"{passage} {numbered(name, 60)}" for name in "xyz"]]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = [tuple(row) for row in jaccard_join.link_documents(docs).collect()]
+    assert by_text(got) == by_text(components_by_hand(rows_of(docs)))
+    assert (1, 7, 0) in got
