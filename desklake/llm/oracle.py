@@ -94,4 +94,26 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
 FROM counted
 """
 
-ORACLE_SQL = {"op7_chat_format": CHAT, "op8_decontaminate": DECONTAMINATE, "op9_line_dedup": LINES, "op10_quality_rules": QUALITY}
+GAPS = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+SEARCH = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+dw AS (SELECT r, doc_id, list_filter(string_split_regex({LOWERED}, '{GAPS}'), lambda x: x <> '') AS w FROM d),
+total AS (SELECT count(*) AS docs, sum(len(w))::BIGINT AS terms FROM dw WHERE len(w) > 0),
+asked AS (
+  SELECT DISTINCT item_id, term FROM (
+    SELECT item_id, unnest(list_filter(string_split_regex({LOWERED}, '{GAPS}'), lambda x: x <> '')) AS term
+    FROM (SELECT item_id, coalesce(text, '') AS t FROM benchmark))),
+held AS (SELECT r, term, count(*) AS tf FROM (SELECT r, unnest(w) AS term FROM dw) GROUP BY r, term),
+spread AS (SELECT term, count(*) AS df FROM held GROUP BY term),
+weights AS (SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS weight FROM spread, total),
+scored AS (
+  SELECT item_id, r, sum(weight * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * len(w) * docs) // terms))))::BIGINT AS score
+  FROM asked JOIN held USING (term) JOIN weights USING (term) JOIN dw USING (r), total GROUP BY item_id, r),
+ranked AS (
+  SELECT item_id, doc_id, score, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank
+  FROM scored JOIN dw USING (r) WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+ORACLE_SQL = {"op7_chat_format": CHAT, "op8_decontaminate": DECONTAMINATE, "op9_line_dedup": LINES, "op10_quality_rules": QUALITY,
+              "op11_lexical_search": SEARCH}

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from desklake.llm import (chat_format, decontaminate, jaccard_join, language_id, line_dedup, packing, quality_rules, sharding,
-                          suffix_dedup, url_filter)
-from desklake.llm.common import table
+from desklake.llm import (chat_format, decontaminate, jaccard_join, language_id, lexical_search, line_dedup, packing, periodic_runs,
+                          quality_rules, sharding, suffix_dedup, url_filter)
+from desklake.llm.common import let, table, words
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
          url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
@@ -75,6 +75,33 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(table(spark, sf_dir, "documents")).drop("lost_chars")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def with_planted_periods(docs: DataFrame) -> DataFrame:
+    """doc_id and text; where the checksum of the id divides by ten, the words from some word on repeat with some period."""
+    checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
+    rest = F.floor(checksum / 10)
+
+    def repeated(w: Column) -> Column:
+        def from_word(a: Column) -> Column:
+            return let(1 + F.floor((F.size(w) - a) / (3 + rest % 8)), lambda p: F.transform(
+                F.sequence(F.lit(0), F.size(w) - 1),
+                lambda i: w[F.when(i >= a, a + (i - a) % p).otherwise(i).cast("int")]))
+        return F.when(F.size(w) > 0, F.array_join(let(rest % F.size(w), from_word), " ")).otherwise("")
+    return docs.select("doc_id", F.when(checksum % 10 == 0, let(words(F.col("text")), repeated)).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(with_planted_periods(table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda run: F.concat(F.concat_ws(",", run["start"], run["length"], run["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
 QUERIES = {query.__name__: query for query in (
     op1_suffix_dedup, op2_language_id, op3_jaccard_join, op4_sharding, op5_best_fit_packing, op6_url_filter, op7_chat_format,
-    op8_decontaminate, op9_line_dedup, op10_quality_rules)}
+    op8_decontaminate, op9_line_dedup, op10_quality_rules, op11_lexical_search, op13_periodic_runs)}
