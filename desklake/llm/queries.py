@@ -5,13 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from desklake.llm import (chat_format, decontaminate, jaccard_join, language_id, lexical_search, line_dedup, packing, periodic_runs,
-                          quality_rules, sharding, suffix_dedup, url_filter)
+from desklake.llm import (bpe_codec, chat_format, decontaminate, jaccard_join, language_id, lexical_search, line_dedup,
+                          packing, periodic_runs, quality_rules, sharding, suffix_dedup, url_filter)
 from desklake.llm.common import let, table, words
 
 RULES = [url_filter.Rule("block", "net", "/"), url_filter.Rule("allow", "example.net", "/en/"),
          url_filter.Rule("block", "example.com", "/de/"), url_filter.Rule("allow", "org", "/fr/")]
-VOCABULARY = "byte_bpe_50k"
+VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k", "word_bpe_49k"
 
 
 def vocabulary_files() -> tuple[str, str]:
@@ -79,6 +79,13 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_bpe_codec(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+    found = bpe_codec.encode(table(spark, sf_dir, "documents"), public_tokenizers.path(f"{WORD_VOCABULARY}.json"))
+    return found.select("doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+                        F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
 def with_planted_periods(docs: DataFrame) -> DataFrame:
     """doc_id and text; where the checksum of the id divides by ten, the words from some word on repeat with some period."""
     checksum = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary"))
@@ -104,4 +111,5 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {query.__name__: query for query in (
     op1_suffix_dedup, op2_language_id, op3_jaccard_join, op4_sharding, op5_best_fit_packing, op6_url_filter, op7_chat_format,
-    op8_decontaminate, op9_line_dedup, op10_quality_rules, op11_lexical_search, op13_periodic_runs)}
+    op8_decontaminate, op9_line_dedup, op10_quality_rules, op11_lexical_search, op12_bpe_codec,
+    op13_periodic_runs)}

@@ -228,5 +228,5 @@ def test_pipeline_keeps_what_each_stage_decides(spark):
 
 
 def test_registered(spark):
-    assert {f"op{n}" for n in range(1, 11)} <= {name.split("_")[0] for name in contract.queries()}
+    assert {f"op{n}" for n in range(1, 14)} <= {name.split("_")[0] for name in contract.queries()}
     assert hashlib and "pipeline" in contract.queries()
