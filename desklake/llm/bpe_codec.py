@@ -11,8 +11,8 @@ whole text is encoded at home; it came along if some seam lacks a simple word be
 The text travels once, in compressed blobs, and its ids once. What a task holds are one home and one bucket; a chunk that stands
 everywhere is in its bucket once for each home.
 
-Words of Latin letters are split here and remembered with their ids, which come from ``tokenizers``; other chunks, those with the
-vocabulary's special tokens, and all of a vocabulary with other rules than ``KNOWN`` go through that library whole.
+Words of Latin letters are split here and remembered with their ids, which come from the merges of the ``tokenizers`` library; other
+chunks, those with the vocabulary's special tokens, and all of a vocabulary with other rules than ``KNOWN`` go through that library whole.
 
 Defined cases: a null or empty text has no ids and decodes to an empty text; null and repeated ids are ids like any other, one row out
 for each row in; other columns are ignored; an empty table gives no rows. A text is held whole in a task.
@@ -35,13 +35,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from desklake.llm.chunks import pack, unpack
+from desklake.llm.chunks import unpack
 
-LEAST_CHUNK, MOST_CHUNK, MASK = 512, 4096, 511
+LEAST_CHUNK, MOST_CHUNK, MASK = 1024, 8192, 1023
 WINDOW = 16
 EDGE, MARGIN = 64, 16
-HOME_BYTES, BUCKET_BYTES = 8 << 20, 16 << 20
-MEMORY_WORDS = 200_000
+HOME_BYTES, BUCKET_BYTES = 16 << 20, 64 << 20
+MEMORY_WORDS = 300_000
 NONE = 0xFFFF
 #: The rules of the vocabulary for which words are split here.
 KNOWN = {
@@ -55,10 +55,32 @@ KNOWN = {
 #: Characters whose class and small letter are the same everywhere, and which never combine with a neighbour.
 USUAL = re.compile("[\t-\r -~¡-¬®-įı-ňŊ-ſ‐-―‘-•…‰‹›€]*")
 LETTERS, NUMBERS = "a-zªµºß-öø-ÿĀ-ſ", "0-9²³¹¼½¾"
-PIECES = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[\t-\r ]+|[^\t-\r {LETTERS}{NUMBERS}]+")
+PIECES = re.compile(f"[\t-\r ]*(?:'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{NUMBERS}]|[^\t-\r {LETTERS}{NUMBERS}]+)|[\t-\r ]+")
+BLANKS = "\t\n\v\f\r "
 BETWEEN_BLANKS = re.compile("(?<=[ \t\n])[^\\s]+(?=[ \t\n])")
 
 
+def byte_alphabet() -> dict[int, str]:
+    """Byte-level vocabularies write printable bytes as they are and the others, in turn, as the characters from 256 on."""
+    printable = [byte for byte in range(256) if 33 <= byte <= 126 or 161 <= byte <= 255 and byte != 173]
+    others = [byte for byte in range(256) if byte not in printable]
+    return {byte: chr(byte) for byte in printable} | {byte: chr(256 + k) for k, byte in enumerate(others)}
+
+
+class _Words(dict):
+    """Word, blanks before it included, to ids; new ones are asked from the vocabulary's merges, without its rules for whole texts."""
+
+    def __init__(self, model):
+        super().__init__()
+        self.model, self.alphabet = model, byte_alphabet()
+
+    def __missing__(self, piece: str) -> tuple[int, ...]:
+        word = piece.lstrip(BLANKS)
+        written = word if word.isascii() else word.encode().decode("latin-1").translate(self.alphabet)
+        ids = self[piece] = tuple([token.id for token in self.model.tokenize(written)]) if word else ()
+        return ids
+
+
 class Codec:
     """One vocabulary in one Python worker."""
 
@@ -73,7 +95,7 @@ class Codec:
         self.special = [token["content"] for token in rules.get("added_tokens", [])]
         self.joins_here = rules.get("decoder") is None
         self.tokens = {number: token for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items()}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.known = _Words(self.tokenizer.model)
 
     def ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -85,12 +107,9 @@ class Codec:
         return self.splits_here and USUAL.fullmatch(text) is not None and not any(token in text for token in self.special)
 
     def of_words(self, pieces: list[str]) -> list[tuple[int, ...]]:
-        known = self.known
-        if len(known) > MEMORY_WORDS:
-            known.clear()
-        for piece in set(pieces) - known.keys():
-            known[piece] = () if piece.isspace() else tuple(self.ids(piece))
-        return [known[piece] for piece in pieces]
+        if len(self.known) > MEMORY_WORDS:
+            self.known.clear()
+        return list(map(self.known.__getitem__, pieces))
 
     def whole(self, text: str) -> list[int]:
         return list(chain.from_iterable(self.of_words(PIECES.findall(text.lower())))) if self.plain(text) else self.ids(text)
@@ -101,9 +120,7 @@ class Codec:
             pieces = PIECES.findall(text.lower())
             parts = self.of_words(pieces)
             ids = list(chain.from_iterable(parts))
-            from_start = _places(pieces, parts, 0, 0, spans[0][1], 1)
-            from_end = _places(pieces[::-1], parts[::-1], len(text), len(ids), spans[1][0], -1)[::-1]
-            words = [from_start, from_end]
+            words = [_first_words(pieces, parts, spans[0][1]), _last_words(pieces, parts, len(text), len(ids), spans[1][0])]
         else:
             found = self.tokenizer.encode(text, add_special_tokens=False)
             ids = found.ids
@@ -115,20 +132,29 @@ class Codec:
         return ids, marks
 
 
-def _places(pieces: list[str], parts: list[tuple[int, ...]], place: int, token: int, limit: int, way: int) -> list[tuple[int, int, int, int]]:
-    """Words up to ``limit`` characters, forwards from the start or backwards from the end."""
-    out = []
+def _first_words(pieces: list[str], parts: list[tuple[int, ...]], limit: int) -> list[tuple[int, int, int, int]]:
+    out, place, token = [], 0, 0
     for piece, own in zip(pieces, parts):
-        if way * place > way * limit:
+        if place >= limit:
             break
-        first, last = sorted((place, place + way * len(piece)))
-        low, high = sorted((token, token + way * len(own)))
         if own:
-            out.append((first, last, low, high))
-        place, token = place + way * len(piece), token + way * len(own)
+            out.append((place + len(piece) - len(piece.lstrip(BLANKS)), place + len(piece), token, token + len(own)))
+        place, token = place + len(piece), token + len(own)
     return out
 
 
+def _last_words(pieces: list[str], parts: list[tuple[int, ...]], place: int, token: int, limit: int) -> list[tuple[int, int, int, int]]:
+    out = []
+    for k in range(len(pieces) - 1, -1, -1):
+        if place <= limit:
+            break
+        piece, own = pieces[k], parts[k]
+        if own:
+            out.append((place - len(piece.lstrip(BLANKS)), place, token - len(own), token))
+        place, token = place - len(piece), token - len(own)
+    return out[::-1]
+
+
 def _clean_words(offsets: list[tuple[int, int]], words: list[int | None]) -> list[tuple[int, int, int, int]]:
     """Words that share no character with their neighbours."""
     out: list[list[int]] = []
@@ -192,6 +218,12 @@ def _spans(kind: str, size: int) -> list[tuple[int, int]]:
     return [(0, EDGE - MARGIN), (size - EDGE if kind == "c" else EDGE, size - MARGIN)]
 
 
+def pack(values: np.ndarray) -> bytes:
+    """A compressed array with its length in bytes first; slower and smaller than that of ``chunks``."""
+    raw = np.ascontiguousarray(values).tobytes()
+    return len(raw).to_bytes(8, "little") + pa.Codec("zstd", compression_level=9).compress(raw, asbytes=True)
+
+
 def pack_texts(texts: list[str]) -> bytes:
     data = [text.encode() for text in texts]
     lengths = pack(np.array([len(d) for d in data], "<u2"))
@@ -284,10 +316,10 @@ class _Encoded:
         return int(self.lengths[k]), self.ids[self.edges[k]:self.edges[k + 1]].tolist(), self.marks[k].tolist()
 
 
-def _pack_encoded(lengths: list[int], ids: list[list[int]], marks: list[list[int]]) -> bytes:
-    flat = np.fromiter(chain.from_iterable(ids), "<u4")
+def _pack_encoded(lengths: list[int], ids: list[np.ndarray], marks: list[np.ndarray]) -> bytes:
+    flat = np.concatenate(ids)
     kind = "<u2" if not len(flat) or flat.max() < 1 << 16 else "<u4"
-    return _packed(np.array(lengths, "<u2"), np.array([len(own) for own in ids], "<u2"), flat.astype(kind), np.array(marks, "<u2").ravel())
+    return _packed(np.array(lengths, "<u2"), np.array([len(own) for own in ids], "<u2"), flat.astype(kind), np.concatenate(marks))
 
 
 def _meet(one: list, ids_one: list[int], shift: int, other: list, ids_other: list[int]) -> tuple[int, int] | None:
@@ -347,7 +379,8 @@ def encode(docs: DataFrame, vocabulary: str, home_bytes: int = HOME_BYTES, bucke
                 units = unpack_texts(blob)
                 for unit in units:
                     if unit not in known:
-                        known[unit] = own.unit(unit[1:], _spans(unit[0], len(unit) - 1))
+                        ids, marks = own.unit(unit[1:], _spans(unit[0], len(unit) - 1))
+                        known[unit] = np.array(ids, "<u4"), np.array(marks, "<u2")
                 blob = _pack_encoded([len(unit) - 1 for unit in units], [known[u][0] for u in units], [known[u][1] for u in units])
             out.append((home, bucket, recipe, blob))
         return pa.Table.from_batches([_rows(out)])

@@ -55,7 +55,7 @@ def test_chunks_follow_the_content():
     draw = random.Random(4)
     passage = "".join(draw.choices("etaoin shrdlu", k=20_000))
     one, other = bpe_codec.chunks_of(("x" * 700 + passage).encode()), bpe_codec.chunks_of(("another beginning " * 90 + passage).encode())
-    assert len(set(one) & set(other)) > 0.7 * len(one)
+    assert len(set(one) & set(other)) > 0.6 * len(one)
     for text in awkward_texts():
         chunks = bpe_codec.chunks_of(text.encode())
         assert "".join(chunks) == text
