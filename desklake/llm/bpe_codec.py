@@ -40,8 +40,8 @@ from desklake.llm.chunks import unpack
 LEAST_CHUNK, MOST_CHUNK, MASK = 1024, 8192, 1023
 WINDOW = 16
 EDGE, MARGIN = 64, 16
-HOME_BYTES, BUCKET_BYTES = 16 << 20, 64 << 20
-MEMORY_WORDS = 300_000
+HOME_BYTES, BUCKET_BYTES = 16 << 20, 48 << 20
+MEMORY_WORDS = 200_000
 NONE = 0xFFFF
 #: The rules of the vocabulary for which words are split here.
 KNOWN = {
@@ -95,6 +95,7 @@ class Codec:
         self.special = [token["content"] for token in rules.get("added_tokens", [])]
         self.joins_here = rules.get("decoder") is None
         self.tokens = {number: token for token, number in self.tokenizer.get_vocab(with_added_tokens=True).items()}
+        self.kind = "<u2" if max(self.tokens, default=0) < 1 << 16 else "<u4"
         self.known = _Words(self.tokenizer.model)
 
     def ids(self, text: str) -> list[int]:
@@ -377,11 +378,12 @@ def encode(docs: DataFrame, vocabulary: str, home_bytes: int = HOME_BYTES, bucke
         for home, bucket, recipe, blob in zip(*(rows.column(name).to_pylist() for name in SCHEMA.names)):
             if not recipe:
                 units = unpack_texts(blob)
-                for unit in units:
-                    if unit not in known:
+                names = [xxhash.xxh128_digest(unit.encode()) for unit in units]  # shorter to keep than the units
+                for name, unit in zip(names, units):
+                    if name not in known:
                         ids, marks = own.unit(unit[1:], _spans(unit[0], len(unit) - 1))
-                        known[unit] = np.array(ids, "<u4"), np.array(marks, "<u2")
-                blob = _pack_encoded([len(unit) - 1 for unit in units], [known[u][0] for u in units], [known[u][1] for u in units])
+                        known[name] = np.array(ids, own.kind), np.array(marks, "<u2")
+                blob = _pack_encoded([len(unit) - 1 for unit in units], [known[n][0] for n in names], [known[n][1] for n in names])
             out.append((home, bucket, recipe, blob))
         return pa.Table.from_batches([_rows(out)])
 
