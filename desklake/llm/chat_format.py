@@ -65,7 +65,8 @@ def format_conversations(turns: DataFrame) -> DataFrame:
         F.when(F.col("same"), F.col("text")).otherwise(escape(F.col("text"))).alias("safe_text"))
     rendered = safe.select("conv_id", F.struct(*order, render(F.col("safe_role"), F.col("safe_text")).alias("piece")).alias("turn"))
     gathered = rendered.groupBy("conv_id").agg(F.sort_array(F.collect_list("turn")).alias("turns"))
-    return gathered.select("conv_id", F.array_join(F.transform("turns", lambda turn: turn["piece"]), "").alias("formatted"))
+    whole = gathered.select("conv_id", F.array_join(F.transform("turns", lambda turn: turn["piece"]), "").alias("formatted"))
+    return whole.withColumn("spans", loss_spans(F.col("formatted")))
 
 
 def loss_spans(formatted: Column) -> Column:
@@ -82,10 +83,10 @@ def loss_spans(formatted: Column) -> Column:
 
 
 def digests(formatted: DataFrame) -> DataFrame:
-    """What the formatted texts say when they are read back."""
-    read = formatted.select("conv_id", "formatted", parse(F.col("formatted")).alias("turns"))
+    """What the formatted texts say when they are read back: the turns by the parser, what is trained on by the spans alone."""
+    read = formatted.select("conv_id", "formatted", "spans", parse(F.col("formatted")).alias("turns"))
     told = F.array_join(F.transform("turns", lambda turn: F.concat(turn["role"], F.lit("\n"), turn["text"], F.lit("\n"))), "")
-    trained = F.array_join(F.transform(F.filter("turns", lambda turn: turn["role"] == TRAINED_ROLE), lambda turn: turn["text"]), "")
+    trained = F.array_join(F.transform("spans", lambda span: unescape(F.substr("formatted", span["start"] + 1, span["length"]))), "")
     full = read.select("conv_id", "formatted", F.size("turns").cast("long").alias("n_turns"), told.alias("told"), trained.alias("trained"))
     return full.select("conv_id", "n_turns", F.sha2("told", 256).alias("turns_sha256"), F.char_length("trained").cast("long").alias("loss_chars"),
                        F.sha2("trained", 256).alias("loss_sha256"), F.char_length("formatted").cast("long").alias("formatted_chars"))

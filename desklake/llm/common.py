@@ -19,6 +19,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(frame: DataFrame, name: str) -> str:
+    """``name``, with underscores added until no column of the frame is called so in any spelling."""
+    taken = {column.lower() for column in frame.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` over ``value``, which is computed once however often the body names it."""
     return F.transform(F.array(value), body)[0]

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from desklake.llm.common import ascii_lower, grams, let, stored, words
+from desklake.llm.common import ascii_lower, fresh, grams, let, stored, words
 
 WINDOW, GRAM = 10, 5
 BROADCAST_ROWS = 200_000
@@ -116,6 +116,7 @@ def _cover(state: Column, window: Column) -> Column:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents without a hit, with all their columns. Each row goes or stays by its own text, whoever shares its id."""
+    hit_id, hit_hash = fresh(docs, "hit_id"), fresh(docs, "hit_hash")
     hit = decontaminate(docs, benchmark).where(F.col("n_hit") > 0).select(
-        F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash")).distinct()
-    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.xxhash64("text") == F.col("hit_hash")), "left_anti")
+        F.col("doc_id").alias(hit_id), F.col("text_hash").alias(hit_hash)).distinct()
+    return docs.join(hit, F.col("doc_id").eqNullSafe(F.col(hit_id)) & (F.xxhash64("text") == F.col(hit_hash)), "left_anti")

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from desklake.llm import chunks
 from desklake.llm.chunks import LAST_ID, Shared, Texts
-from desklake.llm.common import stored
+from desklake.llm.common import fresh, stored
 from desklake.llm.graph import components
 
 SHINGLE, PERCENT = 5, 75
@@ -283,7 +283,8 @@ def keep_one(docs: DataFrame, size: int = SHINGLE, percent: int = PERCENT, chunk
     sets, per_class = _linked(docs, size, percent, chunk_bytes)
     placed = sets.select("doc_id", "text_md5", "class").join(per_class.select("class", "first"), "class", "left")
     first = F.col("first.doc_id").eqNullSafe(F.col("doc_id")) & (F.col("first.text_md5") == F.col("text_md5"))
-    stay = placed.where(F.col("first").isNull() | first).select(F.col("doc_id").alias("kept_id"), F.col("text_md5").alias("kept_md5")).distinct()
+    kept_id, kept_md5 = fresh(docs, "kept_id"), fresh(docs, "kept_md5")
+    stay = placed.where(F.col("first").isNull() | first).select(F.col("doc_id").alias(kept_id), F.col("text_md5").alias(kept_md5)).distinct()
     own = F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-    joined = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("kept_id")) & (own == F.col("kept_md5")), "left_semi")
+    joined = docs.join(stay, F.col("doc_id").eqNullSafe(F.col(kept_id)) & (own == F.col(kept_md5)), "left_semi")
     return joined.dropDuplicates(["doc_id", "text"])

@@ -16,11 +16,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from desklake.llm.common import BLANKS, ascii_lower, let, stored
+from desklake.llm.common import BLANKS, ascii_lower, fresh, let, stored
 
 FANOUT = 4
 BATCH_BYTES = 256 << 20
-MOST_BATCHES = 16
 
 
 def line_keys(text: Column, least_chars: int) -> Column:
@@ -81,18 +80,19 @@ def drop_lines(docs: DataFrame, keyed: DataFrame, frequent: DataFrame, least_cha
     """All columns of ``docs`` and a struct ``lines`` of n_lines, n_dropped and kept_text, without lines whose key is in ``frequent``.
 
     Documents meet their frequent keys over doc_id; rows that share an id share the list, which is right as a frequent key goes
-    from every document. A column of the input called ``lines`` or ``frequent_keys`` or ``listed_id`` must be renamed before.
+    from every document. A column of the input called ``lines`` must be renamed before.
     """
+    frequent_keys, listed_id = fresh(docs, "frequent_keys"), fresh(docs, "listed_id")
     opened = keyed.select("doc_id", F.explode("keys").alias("key"))
     found = opened.join(frequent.select("key"), "key", "left_semi")
-    listed = found.groupBy("doc_id").agg(F.collect_set("key").alias("frequent_keys"))
-    listed = listed.select(F.col("doc_id").alias("listed_id"), "frequent_keys")
+    listed = found.groupBy("doc_id").agg(F.collect_set("key").alias(frequent_keys))
+    listed = listed.select(F.col("doc_id").alias(listed_id), frequent_keys)
     text = F.coalesce(F.col("text"), F.lit(""))
-    joined = docs.join(listed, F.col("doc_id").eqNullSafe(F.col("listed_id")), "left")
+    joined = docs.join(listed, F.col("doc_id").eqNullSafe(F.col(listed_id)), "left")
 
     def kept(line: Column) -> Column:
         bare = F.btrim(ascii_lower(line), F.lit(BLANKS))
-        return (F.char_length(bare) < least_chars) | ~F.array_contains(F.col("frequent_keys"), F.md5(bare))
+        return (F.char_length(bare) < least_chars) | ~F.array_contains(F.col(frequent_keys), F.md5(bare))
 
     def result(all_lines: Column, left: Column) -> Column:
         return F.struct(F.size(all_lines).cast("long").alias("n_lines"), (F.size(all_lines) - F.size(left)).cast("long").alias("n_dropped"),
@@ -100,13 +100,13 @@ def drop_lines(docs: DataFrame, keyed: DataFrame, frequent: DataFrame, least_cha
 
     touched = let(F.split(text, "\n"), lambda every: let(F.filter(every, kept), lambda left: result(every, left)))
     whole = F.struct(F.size(F.split(text, "\n")).cast("long").alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), text.alias("kept_text"))
-    return joined.withColumn("lines", F.when(F.col("frequent_keys").isNotNull(), touched).otherwise(whole)).drop("frequent_keys", "listed_id")
+    return joined.withColumn("lines", F.when(F.col(frequent_keys).isNotNull(), touched).otherwise(whole)).drop(frequent_keys, listed_id)
 
 
 def _frequent(docs: DataFrame, least_chars: int, least_documents: int, batch_bytes: int) -> tuple[DataFrame, DataFrame]:
     """The keys of every document, and those that enough documents hold, by way of the runs of all batches."""
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
-    batches = max(1, min(MOST_BATCHES, -(-total // batch_bytes)))
+    batches = max(1, -(-total // batch_bytes))
     batch = F.pmod(F.xxhash64("doc_id"), F.lit(batches))
     keyed = stored(_keyed(docs, least_chars).withColumn("batch", batch), "line-keys", "batch")
     runs = LineRuns()

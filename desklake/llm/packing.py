@@ -7,10 +7,10 @@ group leaves at most its last bins unfilled, so the groups cost next to nothing
 
 Ids are those of the ``tokenizers`` vocabulary file. That library makes about 1 MB/s a core here, so texts of ASCII, Latin letters and
 common punctuation go through ``tiktoken`` with the same vocabulary as ranks, which splits and merges them alike; any other
-text goes through ``tokenizers`` itself.
+text, and any with a special token of the vocabulary, goes through ``tokenizers`` itself.
 
 Defined cases: a null or empty text is the end token alone; a null id is an id like any other; repeated rows are packed each; strings of
-special tokens in a text are ordinary text; other columns are ignored; an empty table gives no rows.
+special tokens in a text are those tokens, as for ``tokenizers``; other columns are ignored; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -40,7 +40,7 @@ def encoder(vocabulary: str, ranks: str | None) -> Callable[[list[str]], Iterato
     """A function from texts to their ids. ``ranks`` is the same vocabulary as a rank file; None does without it."""
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(vocabulary)
-    plain.encode_special_tokens = True
+    special = [token.content for token in plain.get_added_tokens_decoder().values()]
     if ranks is None:
         return lambda texts: (found.ids for found in plain.encode_batch_fast(texts, add_special_tokens=False))
     import tiktoken
@@ -50,7 +50,8 @@ def encoder(vocabulary: str, ranks: str | None) -> Callable[[list[str]], Iterato
 
     def ids(texts: list[str]) -> Iterator[list[int]]:
         for text in texts:
-            yield plain.encode(text, add_special_tokens=False).ids if UNUSUAL.search(text) else fast.encode_ordinary(text)
+            whole = UNUSUAL.search(text) or any(token in text for token in special)
+            yield plain.encode(text, add_special_tokens=False).ids if whole else fast.encode_ordinary(text)
     return ids
 
 
