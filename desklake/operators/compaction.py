@@ -17,12 +17,15 @@ from pyspark.sql import functions as F
 
 from desklake import schemas
 from desklake import vocabulary as V
+from desklake.functions.clock import Clock
 from desklake.functions.numbers import six_places
 from desklake.operators.joins import is_small
 from desklake.operators.runlog import error_text, log_rows, runlog_append
 from desklake.operators.settings import Dialect, dialect_columns, distinct_dialects, export_config, is_dialect, writable
 from desklake.operators.writer import lake_rows, write_partitions
-from desklake.sources.lake import Lake, csv_stem, file_inventory, lake_read, lake_tenants
+from desklake.sources import manifest
+from desklake.sources.files import blocks
+from desklake.sources.lake import Lake, csv_stem, lake_read, lake_tenants, scan_files
 
 GROUP = ["tenant_key", "format"]
 CONSOLIDATED = "_consolidated"
@@ -88,23 +91,25 @@ def _staging(lake: Lake, day: str) -> str:
     return f"{lake.root}/compaction/day={day}"
 
 
-def compact(lake: Lake, day: str, run_ts: datetime, keys: list[str] | None = None) -> DataFrame:
+def compact(lake: Lake, day: str, run_ts: datetime, keys: list[str] | None = None, publish_now: bool = True) -> DataFrame:
     """Compact every tenant and enabled format of ``day``; one result row each, skipped ones included.
 
-    Merged files are written in the tenant's present dialect, whatever its inputs were written in.
+    Merged files are written in the tenant's present dialect, whatever its inputs were written in. Without ``publish_now`` they stay
+    staged and checked until :func:`finish_pending` or the next call, as after a crash.
     """
-    finish_pending(lake, day)
+    finish_pending(lake, day, run_ts)
     staging, spark = _staging(lake, day), lake.spark
     name = f"{day.replace('-', '')}{CONSOLIDATED}_{run_ts:%Y%m%d%H%M%S}"
     lake.files.delete(staging)
     # The day's file list is fixed first; files that arrive later are not among the inputs.
-    file_inventory(lake, day).write.parquet(f"{staging}/listing")
+    manifest.adopt(lake, day, run_ts)
+    scan_files(lake, day).write.parquet(f"{staging}/listing")
     files = spark.read.parquet(f"{staging}/listing")
     enabled = dialect_columns(export_config(lake_tenants(lake), lake.settings.read()))
     plan_day(files, enabled).write.parquet(f"{staging}/plan")
     plan = spark.read.parquet(f"{staging}/plan")
     chosen = plan.where(F.col("reason").isNull())
-    outcomes = [_compact_dialect(lake, day, name, chosen.where(is_dialect(dialect)), files, dialect, keys)
+    outcomes = [_compact_dialect(lake, day, run_ts, name, chosen.where(is_dialect(dialect)), files, dialect, keys, publish_now)
                 for dialect in distinct_dialects(chosen)]
     _results(lake, plan, outcomes).write.mode("overwrite").parquet(f"{lake.root}/results/{name}")
     results = spark.read.parquet(f"{lake.root}/results/{name}")
@@ -114,8 +119,8 @@ def compact(lake: Lake, day: str, run_ts: datetime, keys: list[str] | None = Non
     return results
 
 
-def _compact_dialect(lake: Lake, day: str, name: str, groups: DataFrame, files: DataFrame, dialect: Dialect,
-                     keys: list[str] | None) -> tuple[Dialect, str, str | None, float, DataFrame | None]:
+def _compact_dialect(lake: Lake, day: str, run_ts: datetime, name: str, groups: DataFrame, files: DataFrame, dialect: Dialect,
+                     keys: list[str] | None, publish_now: bool) -> tuple[Dialect, str, str | None, float, DataFrame | None]:
     """Stage, check and publish one dialect.
 
     A failure before publishing leaves the inputs in place; one while publishing is made good by the next call.
@@ -124,7 +129,9 @@ def _compact_dialect(lake: Lake, day: str, name: str, groups: DataFrame, files:
     folder = f"{_staging(lake, day)}/{dialect.codec if dialect.file_format == V.PARQUET else csv_stem(dialect)}"
     try:
         counts = _stage(lake, day, name, groups, files, dialect, keys, folder)
-        publish(lake, folder)
+        if not publish_now:
+            return dialect, "staged", None, round(time.time() - started, 2), counts
+        publish(lake, folder, run_ts)
         return dialect, "success", None, round(time.time() - started, 2), counts
     except Exception as error:
         return dialect, "error", error_text(error), round(time.time() - started, 2), None
@@ -148,52 +155,60 @@ def _stage(lake: Lake, day: str, name: str, groups: DataFrame, files: DataFrame,
                      counts=before.select("tenant_key", F.col("rows_before").alias("n")))
     staged = Lake(spark, folder)
     after = lake_read(staged, dialect.file_format).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows_after"))
-    made = file_inventory(staged, day).groupBy(*GROUP).agg(F.count(F.lit(1)).alias("files_after"))
-    before.join(after, GROUP, "left").join(made, GROUP, "left").write.parquet(f"{folder}/counts")
+    scan_files(staged, day).write.parquet(f"{folder}/made")
+    made = spark.read.parquet(f"{folder}/made").groupBy(*GROUP).agg(F.count(F.lit(1)).alias("files_after"))
+    files.join(inputs, [*GROUP, "run"], "left_semi").write.parquet(f"{folder}/inputs")
+    taken = spark.read.parquet(f"{folder}/inputs").groupBy(*GROUP).agg(F.count(F.lit(1)).alias("files_before"))
+    before.join(after, GROUP, "left").join(made, GROUP, "left").join(taken, GROUP, "left").write.parquet(f"{folder}/counts")
     before.unpersist()
     counts = spark.read.parquet(f"{folder}/counts")
     lost = F.col("rows_after").isNull() | (F.col("rows_after") > F.col("rows_before"))
     check = counts.agg(F.sum("rows_after").alias("rows"), F.count_if(lost).alias("wrong")).first()
     if check.wrong or (check.rows or 0) != counted.get["rows"]:
         raise ValueError(f"validation failed: {check.rows} rows staged, {counted.get['rows']} expected, {check.wrong} groups wrong")
-    inputs.select("folder").write.parquet(f"{folder}/inputs")
     lake.files.mark(f"{folder}/{CHECKED}")
     return counts
 
 
-def publish(lake: Lake, folder: str) -> None:
-    """Move the staged folders into the lake, then delete the inputs. Safe to repeat after a crash."""
-    files = lake.files
+def publish(lake: Lake, folder: str, at: Clock) -> None:
+    """Move the staged folders into the lake, then delete the input files. Safe to repeat after a crash.
+
+    The manifest is told of the new files and of what they supersede before anything is deleted, and of the deletions after them. Only
+    listed files go, with folders they leave empty; a file that came into an input folder meanwhile stays.
+    """
+    files, spark = lake.files, lake.spark
     moves = files.matches(f"{folder}/data/tenant_key=*/format=*/dialect=*/year=*/month=*/day=*/run=*")
     marker = f"{folder}/data/"
     with ThreadPoolExecutor(MOVERS) as pool:
         list(pool.map(lambda source: files.move(source, f"{lake.data}/{source.split(marker, 1)[1]}"), moves))
-        inputs = lake.spark.read.parquet(f"{folder}/inputs")
-        for block in _blocks(row.folder for row in inputs.toLocalIterator()):
+        made, inputs = spark.read.parquet(f"{folder}/made"), spark.read.parquet(f"{folder}/inputs")
+        name = made.select("run", "dialect", "format").first()
+        entry = f"{name.run}_{folder.rsplit('/', 1)[1]}" if name else CONSOLIDATED
+        manifest.record(lake, made, entry, manifest.LIVE, entry, at)
+        manifest.record(lake, inputs, f"{entry}_superseded", V.SUPERSEDED, entry, at)
+        for block in blocks(row.path for row in inputs.select("path").toLocalIterator()):
             list(pool.map(files.delete, block))
+        for block in blocks(row.folder for row in inputs.select("folder").distinct().toLocalIterator()):
+            list(pool.map(files.delete_without_files, block))
+        manifest.record(lake, inputs, f"{entry}_deleted", manifest.DELETED, entry, at)
     files.delete(f"{folder}/{CHECKED}")
 
 
-def _blocks(items, size: int = 1000):
-    block = []
-    for item in items:
-        block.append(item)
-        if len(block) == size:
-            yield block
-            block = []
-    if block:
-        yield block
-
-
 def _pending(lake: Lake, day: str) -> list[str]:
     return lake.files.matches(f"{_staging(lake, day)}/*/{CHECKED}")
 
 
-def finish_pending(lake: Lake, day: str) -> int:
-    """Publish what an interrupted compaction had staged and checked; returns how many dialects."""
+def finish_pending(lake: Lake, day: str, run_ts: datetime) -> int:
+    """Publish and log what an interrupted compaction had staged and checked; returns how many dialects."""
     checked = _pending(lake, day)
     for path in checked:
-        publish(lake, path.rsplit("/", 1)[0])
+        folder = path.rsplit("/", 1)[0]
+        publish(lake, folder, run_ts)
+        counts = lake.spark.read.parquet(f"{folder}/counts")
+        done = counts.select(F.col("tenant_key").alias("tenant_id"), F.col("format").alias("file_format"), F.lit("success").alias("status"),
+                             F.lit("recovered").alias("reason"), "rows_after", F.lit(0.0).alias("duration_seconds"), "files_after",
+                             F.col("files_before").alias("files_deleted"), (F.col("rows_before") - F.col("rows_after")).alias("duplicates_removed"))
+        _log(lake, done, run_ts, f"{day.replace('-', '')}_recovered_{folder.rsplit('/', 1)[1]}_{run_ts:%Y%m%d%H%M%S}")
     return len(checked)
 
 
@@ -224,10 +239,10 @@ def _results(lake: Lake, plan: DataFrame, outcomes: list) -> DataFrame:
 
 def _log(lake: Lake, results: DataFrame, run_ts: datetime, name: str) -> None:
     """One log row per tenant and format that was compacted or failed."""
-    events = results.where(F.col("status") != "skipped").select(
+    events = results.where(~F.col("status").isin("skipped", "staged")).select(
         "tenant_id", "file_format", F.when(F.col("status") == "success", V.SUCCESS).otherwise(V.ERROR).alias("status"),
         F.col("rows_after").alias("rows_affected"), "duration_seconds", F.col("reason").alias("error_message"),
         F.col("files_after").alias("files_created"), "files_deleted", "duplicates_removed")
     runlog_append(lake, log_rows(events, name, run_ts, "lake_compaction", view_name="lake_compaction", task_id="compact",
                                  export_type=V.COMPACTION, export_destination=V.EXPORT_DESTINATION,
-                                 store_account=V.DEFAULT_ACCOUNT, container=V.DEFAULT_CONTAINER), f"compaction_{name}")
+                                 store_account=lake.account, container=lake.container), f"compaction_{name}")

@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock
-from desklake.functions.names import lake_path
 from desklake.operators import incremental, settings as options
 from desklake.operators.joins import is_small, join_per_tenant
 from desklake.operators.runlog import error_text, log_rows, runlog_append
 from desklake.operators.settings import Dialect
 from desklake.operators.watermark import watermark_upsert
 from desklake.operators.writer import lake_write
-from desklake.sources.lake import Lake, lake_read, lake_tenants
+from desklake.sources import manifest
+from desklake.sources.lake import Lake, lake_read, lake_tenants, run_folder, scan_files
 from desklake.sources.versions import VersionedTable
 
 WRITERS = 8
@@ -69,28 +69,45 @@ def write_all(lake: Lake, rows: DataFrame, totals: DataFrame, assignments: DataF
             .select("tenant_id", F.col("format").alias("file_format"),
                     F.when(able, F.col("status")).otherwise(V.ERROR).alias("status"),
                     F.coalesce("duration_seconds", F.lit(0.0)).alias("duration_seconds"),
-                    F.when(able, F.col("error_message")).otherwise(refused).alias("error_message")))
+                    F.when(able, F.col("error_message")).otherwise(refused).alias("error_message"),
+                    F.when(able, run_folder(day, run)).alias("folder")))
 
 
-def _finish(lake: Lake, totals: DataFrame, outcomes: DataFrame, run_ts: datetime, run: str, job_id: str, stem: str) -> DataFrame:
-    """Store and log every outcome, then move the marks: data, log and mark are written in this order.
+def _files_made(lake: Lake, outcomes: DataFrame, run_ts: datetime, run: str) -> DataFrame:
+    """tenant_id, file_format and number of the files a run has written, which go into the manifest.
+
+    Only the run's own folders are listed, one per tenant and format; Spark lists many of them in parallel.
+    """
+    written = outcomes.where((F.col("status") == V.SUCCESS) & F.col("folder").isNotNull()).select("folder").collect()
+    made = scan_files(lake, folders=[f"{lake.data}/{row.folder}" for row in written]).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        if written:
+            manifest.record(lake, made, run, manifest.LIVE, run, run_ts)
+        counts = made.groupBy("tenant_id", F.col("format").alias("file_format")).agg(F.count(F.lit(1)).cast("int").alias("files_created"))
+        return lake.spark.createDataFrame(counts.collect(), counts.schema)  # a row per tenant and format
+    finally:
+        made.unpersist()
+
+
+def _finish(lake: Lake, totals: DataFrame, outcomes: DataFrame, run_ts: datetime, run: str, job_id: str) -> DataFrame:
+    """Put down the files, store and log every outcome, then move the marks: data, log and mark are written in this order.
 
     Outcomes that the run stored earlier for tenants not in ``totals`` stay, in the results and in the log.
     """
     good = F.col("status") == V.SUCCESS
-    when = F.lit(str(run_ts)).cast("timestamp_ntz")
-    results = outcomes.join(totals, "tenant_id").withColumns({
+    made = _files_made(lake, outcomes, run_ts, run)
+    results = outcomes.join(totals, "tenant_id").join(F.broadcast(made), ["tenant_id", "file_format"], "left").withColumns({
         "rows_affected": F.when(good, F.col("rows_exported")).otherwise(F.lit(0)),
-        "file_path": lake_path(F.col("tenant_id"), F.col("file_format"), when, stem)})
+        "files_created": F.coalesce("files_created", F.lit(0)), "file_path": F.when(good, F.concat(F.lit("data/"), "folder"))}).drop("folder")
     kept = _results(lake, run)
     earlier = kept.read().join(totals.select("tenant_id"), "tenant_id", "left_anti")
     kept.replace(earlier.unionByName(results))
     stored = kept.read()
     events = stored.select("tenant_id", "file_format", "status", "rows_affected", "duration_seconds", "error_message",
-                           "export_type", "file_path", F.lit(1).alias("files_created"))
+                           "export_type", "file_path", "files_created")
     runlog_append(lake, log_rows(events, run, run_ts, job_id, view_name=job_id, task_id=job_id,
-                                 export_destination=V.EXPORT_DESTINATION, store_account=V.DEFAULT_ACCOUNT,
-                                 container=V.DEFAULT_CONTAINER), f"{job_id}_{run}")
+                                 export_destination=V.EXPORT_DESTINATION, store_account=lake.account,
+                                 container=lake.container), f"{job_id}_{run}")
     done = stored.join(totals.select("tenant_id"), "tenant_id", "left_semi")
     updates = incremental.next_watermark(done.select("tenant_id", "last_exported_created_at", "rows_exported", "export_type").distinct(), done)
     lake.marks.replace(watermark_upsert(lake.marks.read(), updates, run_ts))
@@ -125,7 +142,7 @@ def _export(lake: Lake, taken: DataFrame, marks: DataFrame, run_ts: datetime, pa
             lower = marks.select("tenant_id", F.col("last_exported_created_at").alias("lower"))
             bounds.replace(totals.select("tenant_id", F.col("last_exported_created_at").alias("upper")).join(lower, "tenant_id", "left"))
         outcomes = write_all(lake, taken, totals, assignments, day, run)
-        return _finish(lake, totals, outcomes, run_ts, run, "export_tickets", "tickets")
+        return _finish(lake, totals, outcomes, run_ts, run, "export_tickets")
     finally:
         for kept in (assignments, totals, taken):
             kept.unpersist()
@@ -179,9 +196,13 @@ def export_full(lake: Lake, flat: DataFrame, run_ts: datetime, file_format: str
     try:
         status, seconds, error = _attempt(
             lambda: lake_write(taken, lake.data, Dialect(file_format), day, run, counts=_counts(totals)))
-        outcomes = totals.select("tenant_id", F.lit(file_format).alias("file_format"), F.lit(status).alias("status"),
-                                 F.lit(seconds).alias("duration_seconds"), F.lit(error).cast("string").alias("error_message"))
-        return _finish(lake, totals, outcomes, run_ts, run, "export_initial", "tickets_full")
+        options_of = Dialect(file_format)
+        placed = totals.withColumns({name: F.lit(value) for name, value in zip(options.DIALECT_COLUMNS, astuple(options_of))}
+                                    | {"date_format": F.lit(V.DEFAULT_DATE_FORMAT)}).withColumn("folder", run_folder(day, run))
+        outcomes = placed.select("tenant_id", F.lit(file_format).alias("file_format"), F.lit(status).alias("status"),
+                                 F.lit(seconds).alias("duration_seconds"), F.lit(error).cast("string").alias("error_message"),
+                                 "folder")
+        return _finish(lake, totals, outcomes, run_ts, run, "export_initial")
     finally:
         totals.unpersist()
 

@@ -2,33 +2,33 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock, ago
 from desklake.functions.names import matches_any
+from desklake.operators.bands import bands
 from desklake.operators.joins import join_per_tenant
 
 
 def incremental_slice(flat: DataFrame, marks: DataFrame, as_of: Clock, bound: DataFrame | None = None) -> DataFrame:
     """Rows to export for all tenants at once, with their export_type.
 
-    A tenant with a mark gives rows created after it; one without gives rows created or finished within the
-    first-export window. The scan filter keeps every row either rule could take, so Parquet skips the
-    row groups that are older than all marks.
+    A tenant with a mark gives rows created after it; one without gives rows created or finished within the first-export window.
+    Tenants are taken in bands by the age of their marks, each with a bound of its own at the scan, so Parquet skips the row groups
+    that are older than the band's oldest mark.
     """
     window = ago(as_of, V.FIRST_EXPORT_WINDOW)
     recent = (F.col("created_at") >= window) | (F.col("finish_time") >= window)
-    oldest = marks.select(F.min("last_exported_created_at")).scalar()
-    candidates = flat.where((F.col("created_at") > oldest) | recent)
-    limits = marks.select("tenant_id", F.col("last_exported_created_at").alias("_mark"))
-    marked = F.col("_mark").isNotNull()
-    taken = F.when(marked, F.col("created_at") > F.col("_mark")).otherwise(recent)
-    return (join_per_tenant(candidates, limits, bound=bound)
-            .where(taken)
-            .withColumn("export_type", F.when(marked, V.INCREMENTAL).otherwise(V.FULL))
-            .drop("_mark"))
+    marked = marks.where(F.col("last_exported_created_at").isNotNull()).select("tenant_id")
+    first = join_per_tenant(flat.where(recent), marked, how="left_anti", bound=bound).withColumn("export_type", F.lit(V.FULL))
+    parts = [join_per_tenant(flat.where(band.reach()), band.limits, how="inner", bound=bound)
+             .where(F.col("created_at") > F.col("_mark")).drop("_mark").withColumn("export_type", F.lit(V.INCREMENTAL))
+             for band in bands(marks, as_of)]
+    return reduce(DataFrame.unionByName, parts, first)
 
 
 def slice_totals(taken: DataFrame) -> DataFrame:

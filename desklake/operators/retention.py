@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock, ago, clock
 from desklake.functions.numbers import format_bytes
+from desklake.sources import manifest
+from desklake.sources.files import blocks
+from desklake.sources.lake import Lake
+
+DELETERS = 16
 
 
 def lifecycle_plan(inventory: DataFrame, as_of: Clock) -> DataFrame:
@@ -40,6 +48,25 @@ def file_retention(inventory: DataFrame, as_of: Clock, days: int = V.LOG_RETENTI
                          F.count_if(~old).alias("files_after"))
 
 
+def purge(lake: Lake, plan: DataFrame, at: datetime) -> int:
+    """Delete the files whose tier in ``plan`` (a lifecycle plan of the manifest's inventory) says so; returns how many.
+
+    The list is stored first and put down in the manifest last, so a call that was interrupted is made good by the next.
+    """
+    entry = f"purge_{at:%Y%m%d%H%M%S}"
+    folder = f"{lake.root}/purge/{entry}"
+    if not lake.files.exists(f"{folder}/_SUCCESS"):
+        plan.where(F.col("tier") == "delete").write.mode("overwrite").parquet(folder)
+    doomed = lake.spark.read.parquet(folder)
+    with ThreadPoolExecutor(DELETERS) as pool:
+        for block in blocks(row.path for row in doomed.select("path").toLocalIterator()):
+            list(pool.map(lake.files.delete, block))
+        for block in blocks(row.folder for row in doomed.select("folder").distinct().toLocalIterator()):
+            list(pool.map(lake.files.delete_without_files, block))
+    manifest.record(lake, doomed, entry, manifest.DELETED, entry, at)
+    return doomed.count()
+
+
 def largest_prefixes(inventory: DataFrame, top: int = 10) -> DataFrame:
     """The folders that hold most bytes."""
     prefix = F.regexp_extract("path", "^(.*)/[^/]*$", 1)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock, ago, clock, hours_between
+from desklake.operators.bands import bands
 from desklake.operators.joins import join_per_tenant
 from desklake.plans.tickets import counts_per_tenant
 
@@ -82,19 +85,20 @@ def watermark_latest(ledger: DataFrame, order: tuple[str, ...] = ("updated_at",
     return ledger.groupBy("tenant_id").agg(newest).select("tenant_id", *[F.col(f"entry.{c}").alias(c) for c in rest])
 
 
-def pending_per_tenant(tickets: DataFrame, marks: DataFrame, bound: DataFrame | None = None) -> DataFrame:
-    """Tickets created after the tenant's mark, counted."""
-    limits = marks.select("tenant_id", "last_exported_created_at")
-    late = join_per_tenant(tickets.select("id", "tenant_id", "created_at"), limits, how="inner", bound=bound)
-    return (late.where(F.col("created_at") > F.col("last_exported_created_at"))
-            .groupBy("tenant_id").agg(F.count(F.lit(1)).alias("pending")))
+def pending_per_tenant(tickets: DataFrame, marks: DataFrame, as_of: Clock, bound: DataFrame | None = None) -> DataFrame:
+    """Tickets created after the tenant's mark, counted; each band of marks bounds its own scan."""
+    source = tickets.select("id", "tenant_id", "created_at")
+    late = [join_per_tenant(source.where(band.reach()), band.limits, how="inner", bound=bound).where(F.col("created_at") > F.col("_mark"))
+            for band in bands(marks, as_of)] or [source.where(F.lit(False))]
+    return reduce(DataFrame.unionByName, [part.select("tenant_id") for part in late]).groupBy("tenant_id").agg(
+        F.count(F.lit(1)).alias("pending"))
 
 
 def watermark_status(marks: DataFrame, tenants: DataFrame, tickets: DataFrame, as_of: Clock) -> DataFrame:
     """Mark, age and pending tickets per tenant; tenants with nothing pending show zero."""
     names = tenants.select(F.col("id").alias("tenant_id"), F.col("name").alias("tenant_name"))
     return (marks.join(names, "tenant_id")
-            .join(pending_per_tenant(tickets, marks, bound=tenants), "tenant_id", "left")
+            .join(pending_per_tenant(tickets, marks, as_of, bound=tenants), "tenant_id", "left")
             .select("tenant_id", "tenant_name", "last_exported_created_at", "last_export_success_at", "rows_exported",
                     "export_type",
                     hours_between(F.col("last_export_success_at"), clock(as_of)).alias("hours_since_last_export"),

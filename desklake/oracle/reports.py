@@ -353,6 +353,12 @@ _EXPORTED = """
            MAX(s.created_at) AS last_exported_created_at
     FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id GROUP BY 1, 2"""
 
+_TWO_MONTHS = """
+        , kept AS (
+            SELECT tenant_id, 'parquet' AS format, day FROM (SELECT DISTINCT tenant_id FROM tickets),
+                   (VALUES (DATE '2001-06-02'), (DATE '2001-07-02'), (DATE '2001-08-02')) x(day)
+            UNION ALL SELECT DISTINCT s.tenant_id, f.format, DATE '2001-08-02' FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id)"""
+
 ORACLE_SQL.update({
     "dq_isolation": over("tickets", sql="""
         SELECT '0' AS tenant_key, tenant_id, COUNT(*) AS foreign_rows FROM tickets WHERE id % 97 = 0 AND tenant_id <> '0' GROUP BY 2"""),
@@ -388,8 +394,30 @@ ORACLE_SQL.update({
         FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id AND f.format = 'parquet'
         WHERE CAST(s.tenant_id AS INT) % 5 = 1 GROUP BY 1"""),
     "export_run": over("slice", "formats", sql=f"""
-        SELECT *, 'tenant_' || tenant_id || '/tickets/format=' || file_format || '/year=2001/month=08/day=02/tickets_20010802_000000.'
-                  || file_format AS file_path FROM ({_EXPORTED})"""),
+        SELECT *, 1 AS files_created FROM ({_EXPORTED})"""),
+    "logged_files": over("slice", "formats", sql=f"""
+        SELECT tenant_id, file_format, CAST(1 AS BIGINT) AS files, true AS same_count, true AS same_folder FROM ({_EXPORTED})"""),
+    "stored_candidates": over("slice", "formats", sql=f"""{_TWO_MONTHS}
+        SELECT tenant_id, format, day, COUNT(*) AS files, CASE WHEN COUNT(*) = 1 THEN 'single_file' END AS skip_reason, COUNT(*) > 1 AS compact
+        FROM kept GROUP BY 1, 2, 3"""),
+    "stored_lifecycle_plan": over("slice", "formats", sql=f"""{_TWO_MONTHS}
+        SELECT tenant_id, format, day, CAST(CASE WHEN merged THEN 1 ELSE COUNT(*) END AS BIGINT) AS files,
+               CASE WHEN day = DATE '2001-06-02' THEN 'archive' WHEN merged THEN 'hot' ELSE 'cool' END AS tier
+        FROM (SELECT k.*, day = DATE '2001-08-02' AND k.format = 'parquet' AND EXISTS (
+                  SELECT 1 FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id
+                  WHERE s.tenant_id = k.tenant_id AND f.format = 'parquet') AS merged FROM kept k)
+        GROUP BY tenant_id, format, day, merged"""),
+    "stored_file_purge": over("slice", "formats", sql=f"""{_TWO_MONTHS}
+        SELECT day AS file_day, COUNT(*) AS files_left, COUNT(*) AS files_there, (SELECT COUNT(*) FROM kept) AS files_before,
+               (SELECT COUNT(*) FROM kept WHERE day = DATE '2001-06-02') AS files_deleted
+        FROM kept WHERE day > DATE '2001-06-02' GROUP BY 1"""),
+    "compact_recovered": over("slice", "formats", sql="""
+        , present AS (
+            SELECT f.tenant_id, f.format, (SELECT COUNT(*) FROM slice s WHERE s.tenant_id = f.tenant_id) AS part,
+                   (SELECT COUNT(*) FROM tickets t WHERE t.tenant_id = f.tenant_id) AS whole
+            FROM formats f WHERE f.format = 'parquet')
+        SELECT tenant_id, format AS file_format, 'SUCCESS' AS status, whole AS rows_affected, 1 AS files_created, 2 AS files_deleted,
+               part AS duplicates_removed, TIMESTAMP '2001-08-03 01:00:00' AS refresh_timestamp FROM present WHERE part > 0"""),
     "lake_read_parquet": over("slice", "formats", "users", sql=f"SELECT * FROM ({_LAKE_ROWS}) WHERE format = 'parquet'"),
     "lake_read_csv": over("slice", "formats", "users", sql=f"SELECT * FROM ({_LAKE_ROWS}) WHERE format = 'csv'"),
     "watermark_after_export": over("slice", sql="""

@@ -16,8 +16,9 @@ from desklake.operators import (compaction, export, flat, incremental, quality,
 from desklake.plans import access, alerts, runlog, tickets
 from desklake.session import shared_dir
 from desklake.sources.fixtures import AS_OF_LOG, AS_OF_TICKETS, HelpDesk
-from desklake.sources.lake import (Lake, file_inventory as inventory_of, lake_combine as combined, lake_read,
-                                   lake_tenants as tenant_folders, register_tenants)
+from desklake.sources.lake import (Lake, lake_combine as combined, lake_read,
+                                   lake_tenants as tenant_folders, register_tenants, scan_files)
+from desklake.sources import manifest
 from desklake.sources.relational import read_flat as sorted_flat
 from desklake.streaming.export_stream import stream_export as follow_refreshes
 
@@ -565,7 +566,7 @@ def snapshot_stats(desk: HelpDesk) -> DataFrame:
 def export_run(desk: HelpDesk) -> DataFrame:
     lake = _lake(desk)
     done = export.export_run(lake, lake.snapshot.read(), RUN)
-    return done.select("tenant_id", "file_format", "status", "rows_affected", "export_type", "last_exported_created_at", "file_path")
+    return done.select("tenant_id", "file_format", "status", "rows_affected", "export_type", "last_exported_created_at", "files_created")
 
 
 @query
@@ -644,10 +645,73 @@ def file_inventory(desk: HelpDesk) -> DataFrame:
     """Folders per tenant and format after an incremental export."""
     lake = _lake(desk)
     export.export_run(lake, lake.snapshot.read(), RUN)
-    return (inventory_of(lake, RUN_DAY).groupBy("tenant_id", "format", "file_day")
+    return (manifest.inventory(lake, RUN_DAY, RUN_DAY).groupBy("tenant_id", "format", "file_day")
             .agg(F.count_distinct("folder").alias("folders"), (F.min("size_bytes") > 0).alias("all_filled")))
 
 
+@query
+def logged_files(desk: HelpDesk) -> DataFrame:
+    """What the run log says an export has made, against the files that are there."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    logged = logstore.runlog_read(lake).where(F.col("view_name") == "export_tickets")
+    there = scan_files(lake, RUN_DAY).groupBy("tenant_id", F.col("format").alias("file_format")).agg(
+        F.count(F.lit(1)).alias("files"), F.min("folder").alias("folder"))
+    return logged.join(there, ["tenant_id", "file_format"], "full").select(
+        "tenant_id", "file_format", "files", (F.col("files_created") == F.col("files")).alias("same_count"),
+        F.col("folder").endswith(F.col("file_path")).alias("same_folder"))
+
+
+def _two_months(desk: HelpDesk) -> Lake:
+    """A full export in June, one in July, and an incremental and a full one on a day of August that is compacted."""
+    lake = _lake(desk)
+    for month in (6, 7):
+        export.export_full(lake, lake.snapshot.read(), RUN.replace(month=month))
+    lake.marks.replace(desk.marks)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    export.export_full(lake, lake.snapshot.read(), RUN.replace(minute=15))
+    return lake
+
+
+@query
+def stored_candidates(desk: HelpDesk) -> DataFrame:
+    """Files to merge per tenant, format and day of a stored lake; the same day of two months stays apart."""
+    return retention.compaction_candidates(manifest.inventory(_two_months(desk))).drop("total_bytes")
+
+
+@query
+def stored_lifecycle_plan(desk: HelpDesk) -> DataFrame:
+    """Tiers of the files of a stored lake after a compaction, which leaves none of its inputs."""
+    lake = _two_months(desk)
+    compaction.compact(lake, RUN_DAY, RUN.replace(day=3))
+    plan = retention.lifecycle_plan(manifest.inventory(lake), "2001-09-02 00:00:00")
+    return plan.groupBy("tenant_id", "format", "day", "tier").agg(F.count(F.lit(1)).alias("files"))
+
+
+@query
+def stored_file_purge(desk: HelpDesk) -> DataFrame:
+    """Files of a stored lake before and after those past their age are deleted, by the manifest and by the file system."""
+    lake = _two_months(desk)
+    before, at = manifest.inventory(lake), datetime(2003, 6, 20)
+    counted = before.agg(F.count(F.lit(1)).alias("files_before")).first()[0]
+    deleted = retention.purge(lake, retention.lifecycle_plan(before, at), at)
+    listed = scan_files(lake).groupBy("file_day").agg(F.count(F.lit(1)).alias("files_there"))
+    return (manifest.inventory(lake).groupBy("file_day").agg(F.count(F.lit(1)).alias("files_left")).join(listed, "file_day", "full")
+            .withColumns({"files_before": F.lit(counted), "files_deleted": F.lit(deleted).cast("long")}))
+
+
+@query
+def compact_recovered(desk: HelpDesk) -> DataFrame:
+    """The run log of a compaction that stopped before it published and was finished by a later call."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    export.export_full(lake, lake.snapshot.read(), RUN.replace(minute=15))
+    compaction.compact(lake, RUN_DAY, RUN.replace(day=3), publish_now=False)
+    compaction.finish_pending(lake, RUN_DAY, RUN.replace(day=3, hour=1))
+    return logstore.runlog_read(lake).where(F.col("view_name") == "lake_compaction").select(
+        "tenant_id", "file_format", "status", "rows_affected", "files_created", "files_deleted", "duplicates_removed", "refresh_timestamp")
+
+
 @query
 def stream_export(desk: HelpDesk) -> DataFrame:
     """Exports that a stream of refresh signals set off, as logged."""

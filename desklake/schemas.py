@@ -50,7 +50,11 @@ WATERMARK = _schema("""tenant_id STRING, last_exported_created_at TIMESTAMP_NTZ,
 # What an export run took per tenant (created after ``lower``, NULL in a first export, up to ``upper``), and what became of it.
 EXPORT_BOUNDS = _schema("tenant_id STRING, lower TIMESTAMP_NTZ, upper TIMESTAMP_NTZ")
 EXPORT_RESULTS = _schema("""tenant_id STRING, file_format STRING, status STRING, duration_seconds DOUBLE, error_message STRING,
-    rows_exported BIGINT, last_exported_created_at TIMESTAMP_NTZ, export_type STRING, rows_affected BIGINT, file_path STRING""")
+    rows_exported BIGINT, last_exported_created_at TIMESTAMP_NTZ, export_type STRING, rows_affected BIGINT, files_created INT, file_path STRING""")
+
+# What the manifest says of a file: its state, which run brought it there, and when by that run's clock.
+MANIFEST = _schema("""path STRING, tenant_id STRING, format STRING, dialect STRING, run STRING, size_bytes BIGINT, state STRING,
+    state_by STRING, state_at TIMESTAMP_NTZ, file_day STRING, entry STRING""")
 
 SETTINGS = _schema("""tenant_id STRING, export_formats STRINGS, csv_delimiter STRING, csv_encoding STRING,
     csv_quoting STRING, csv_date_format STRING, parquet_compression STRING, parquet_engine STRING, active BOOLEAN,

@@ -2,9 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+from itertools import islice
+
 from pyspark.sql import SparkSession
 
 
+def blocks(items: Iterable, size: int = 1000) -> Iterator[list]:
+    """The items in lists of ``size``, so that a pool never holds more of them."""
+    items = iter(items)
+    while block := list(islice(items, size)):
+        yield block
+
+
 class Files:
     """Existence, listing, moving and small marker files below any Hadoop-style path."""
 
@@ -28,6 +38,13 @@ class Files:
         system, handle = self._at(path)
         return system.delete(handle, True)
 
+    def delete_without_files(self, path: str) -> bool:
+        """Delete a folder that holds nothing but marker and checksum files."""
+        system, handle = self._at(path)
+        if not system.exists(handle) or any(status.getPath().getName()[0] not in "._" for status in system.listStatus(handle)):
+            return False
+        return system.delete(handle, True)
+
     def move(self, source: str, target: str) -> None:
         """Rename a folder; the target must not exist, its parents are made."""
         system, handle = self._at(source)

@@ -28,10 +28,12 @@ EMPTY_WORDS = {"minimal": {"nullValue": "\u0001", "emptyValue": ""}, "all": {"nu
 
 @dataclass
 class Lake:
-    """A root folder with files per tenant, control tables and the run log."""
+    """A root folder with files per tenant, control tables and the run log; account and container are what the log names."""
 
     spark: SparkSession
     root: str
+    account: str | None = None
+    container: str | None = None
 
     @property
     def data(self) -> str:
@@ -41,6 +43,10 @@ class Lake:
     def log(self) -> str:
         return f"{self.root}/log"
 
+    @property
+    def manifest(self) -> str:
+        return f"{self.root}/manifest"
+
     @property
     def signals(self) -> str:
         return f"{self.root}/signals"
@@ -91,6 +97,16 @@ def dialect_folder(dialect: Dialect, date_format: Column) -> Column:
     return F.concat(F.lit(f"{csv_stem(dialect)}."), date_format)
 
 
+def run_folder(day: str, run: str) -> Column:
+    """The folder, below the data root, that one run writes for a tenant and format; for rows with the dialect columns."""
+    words = F.create_map(*[F.lit(text) for pair in DELIMITER_WORDS.items() for text in pair])
+    csv = F.concat_ws(".", F.element_at(words, F.replace("delimiter", F.lit("\\t"), F.lit("\t"))), "encoding", "quoting", "date_format")
+    dialect = F.when(F.col("format") == V.PARQUET, F.col("codec")).otherwise(csv)
+    year, month, date = day.split("-")
+    return F.concat(F.lit("tenant_key="), folder_value(F.col("tenant_id")), F.lit("/format="), "format", F.lit("/dialect="), folder_value(dialect),
+                    F.lit(f"/year={year}/month={month}/day={date}/run={run}"))
+
+
 def csv_stem(dialect: Dialect) -> str:
     """Delimiter, encoding and quoting words, the part of a CSV folder name that readers must share."""
     return ".".join([DELIMITER_WORDS[dialect.csv_options()["sep"]], dialect.encoding, dialect.quoting])
@@ -103,19 +119,19 @@ def csv_dialect(folder_name: str) -> Dialect:
     return Dialect(V.CSV, delimiter=delimiter, encoding=encoding, quoting=quoting)
 
 
-def file_inventory(lake: Lake, day: str | None = None) -> DataFrame:
-    """One row per data file with size, time and partition values; file contents are not read."""
+def scan_files(lake: Lake, day: str | None = None, folders: list[str] | None = None) -> DataFrame:
+    """One row per data file as the file system lists them, of one day or of known folders; file contents are not read."""
     year, month, date = day.split("-") if day else ("*", "*", "*")
     pattern = f"{lake.data}/tenant_key=*/format=*/dialect=*/year={year}/month={month}/day={date}"
     schema = T.StructType([
         T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
         T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType()),
         *[T.StructField(name, T.StringType()) for name in schemas.LAKE_PARTITIONS]])
-    if not lake.files.matches(pattern):
+    if not folders and (folders is not None or not lake.files.matches(pattern)):
         found = lake.spark.createDataFrame([], schema)
     else:
         found = (lake.spark.read.format("binaryFile").schema(schema).option("basePath", lake.data)
-                 .option("pathGlobFilter", "*.{parquet,csv}").load(pattern))
+                 .option("pathGlobFilter", "*.{parquet,csv}").load(folders or pattern))
     return found.select(
         "path", F.regexp_replace("path", "/[^/]*$", "").alias("folder"), F.col("length").alias("size_bytes"),
         F.col("modificationTime").cast("timestamp_ntz").alias("modified_at"),

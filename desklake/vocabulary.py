@@ -19,8 +19,6 @@ COMPACTION = "COMPACTION"
 ALL_VIEWS = "ALL_VIEWS"
 FLAT_VIEW = "bi_tickets_flat"
 EXPORT_DESTINATION = "AZURE_DATALAKE"
-DEFAULT_ACCOUNT = "stticketsdatalake"
-DEFAULT_CONTAINER = "tickets-data"
 
 # Export settings, allowed words and defaults.
 PARQUET = "parquet"

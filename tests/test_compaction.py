@@ -32,7 +32,7 @@ def test_identical_rows_collapse(spark, lake):
     assert (got.status, got.files_before, got.files_after, got.rows_before, got.rows_after, got.duplicates_removed, got.files_deleted) == (
         "success", 2, 1, 4, 3, 1, 2)
     assert sorted(r.id for r in L.lake_read(lake).collect()) == [1, 2, 3]
-    files = L.file_inventory(lake, DAY)
+    files = L.scan_files(lake, DAY)
     assert files.count() == 1 and files.first().run.startswith("20260105_consolidated")
     logged = runlog.runlog_read(lake).first()
     assert (logged.tenant_id, logged.export_type, logged.rows_affected, logged.duplicates_removed) == ("a", "COMPACTION", 3, 1)
@@ -46,7 +46,7 @@ def test_again_and_after_a_late_file(spark, lake):
     put(lake, flat(spark, ticket(3)), "3")
     assert compaction.compact(lake, DAY, NIGHT.replace(hour=4)).first().status == "success"
     assert sorted(r.id for r in L.lake_read(lake).collect()) == [1, 2, 3]
-    assert L.file_inventory(lake, DAY).count() == 1
+    assert L.scan_files(lake, DAY).count() == 1
 
 
 def test_open_tickets_need_keys(spark, lake):
@@ -64,14 +64,14 @@ def test_csv_takes_the_present_dialect(spark, lake):
     lake.settings.replace(settings(spark, ("a", ["csv"], {"csv_delimiter": "|"})))
     assert compaction.compact(lake, DAY, NIGHT).first().status == "success"
     assert rows_by(L.lake_read(lake, "csv"), "id", "title") == {1: "ç;,", 2: "ç;,"}
-    assert {r.dialect.split(".")[0] for r in L.file_inventory(lake).collect()} == {"pipe"}
+    assert {r.dialect.split(".")[0] for r in L.scan_files(lake).collect()} == {"pipe"}
 
 
 def test_only_enabled_formats(spark, lake):
     for run in "12":
         put(lake, flat(spark, ticket(int(run))), run, Dialect("csv"))
     assert rows_by(compaction.compact(lake, DAY, NIGHT), "file_format", "reason") == {"parquet": "no_files"}
-    assert L.file_inventory(lake, DAY).count() == 2
+    assert L.scan_files(lake, DAY).count() == 2
 
 
 def test_unreadable_input_keeps_everything(spark, lake):
@@ -82,7 +82,7 @@ def test_unreadable_input_keeps_everything(spark, lake):
         file.write(b"not parquet at all")
     got = compaction.compact(lake, DAY, NIGHT).first()
     assert got.status == "error" and got.files_deleted == 0
-    assert L.file_inventory(lake, DAY).count() == 2
+    assert L.scan_files(lake, DAY).count() == 2
     assert runlog.runlog_read(lake).first().status == "ERROR"
 
 
@@ -112,16 +112,16 @@ def test_interrupted_publish_is_finished_by_the_next_call(spark, lake, monkeypat
     assert {1, 2, 9} <= {r.id for r in L.lake_read(lake).collect()}
     compaction.compact(lake, DAY, NIGHT.replace(hour=5))
     assert sorted(r.id for r in L.lake_read(lake).collect()) == [1, 2, 9]
-    assert L.file_inventory(lake, DAY).count() == 1
+    assert L.scan_files(lake, DAY).count() == 1
 
 
 def test_hot_tenant_is_split_over_files_and_not_compacted_again(spark, lake):
     many = [ticket(i, title=f"title {i} " * 20) for i in range(400)] + [ticket(1000, tenant="small")]
     rows = flat(spark, *many).repartition(4)
     write_partitions(lake_rows(rows, Dialect("parquet"), DAY, "1"), lake.data, Dialect("parquet"), rows_per_file=100)
-    files = rows_by(L.file_inventory(lake).groupBy("tenant_id").count(), "tenant_id", "count")
+    files = rows_by(L.scan_files(lake).groupBy("tenant_id").count(), "tenant_id", "count")
     assert 2 <= files["a"] <= 4 and files["small"] == 1
-    listing = L.file_inventory(lake).withColumn("run", F.lit("20260105_consolidated_x"))
+    listing = L.scan_files(lake).withColumn("run", F.lit("20260105_consolidated_x"))
     enabled = spark.createDataFrame([("a", "parquet")], "tenant_id string, format string")
     assert compaction.plan_day(listing, enabled).first().reason == "single_file"
 

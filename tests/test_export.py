@@ -38,7 +38,7 @@ def test_run_writes_each_format_by_run_date(spark, lake):
 def test_nothing_new_leaves_no_trace(spark, lake):
     prepared(lake, "a", known=marks(spark, a=T0))
     assert export.export_run(lake, flat(spark, ticket(1)), RUN).count() == 0
-    assert L.lake_read(lake).count() == 0 and L.file_inventory(lake).count() == 0
+    assert L.lake_read(lake).count() == 0 and L.scan_files(lake).count() == 0
     assert runlog.runlog_read(lake).count() == 0
     assert rows_by(lake.marks.read(), "tenant_id", "last_exported_created_at") == {"a": T0}
 
@@ -141,7 +141,7 @@ def test_full_export_and_reconciliation(spark, lake):
     prepared(lake, "a", "z")
     done = export.export_full(lake, flat(spark, ticket(1), ticket(2, created=T0 - MINUTE), ticket(3, tenant="b")), RUN)
     assert [(r.tenant_id, r.rows_affected, r.export_type) for r in done.collect()] == [("a", 2, "FULL")]
-    assert done.first().file_path.endswith("tickets_full_20260105_091500.parquet")
+    assert done.first().file_path.endswith("/run=full_20260105_091500") and done.first().files_created == 1
     assert rows_by(lake.marks.read(), "tenant_id", "last_exported_created_at") == {"a": T0}
     with pytest.raises(ValueError):
         export.export_full(lake, flat(spark, ticket(1)), RUN, "json")

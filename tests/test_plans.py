@@ -1,6 +1,7 @@
 """What the physical plans must and must not contain."""
 
 import re
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as contract
 from builders import flat, marks, ticket, T0
 from conftest import SMALL
-from desklake.operators import incremental, settings as S, writer
+from desklake.operators import incremental, settings as S, watermark, writer
 from desklake.operators.flat import with_requester
 from desklake.operators.settings import Dialect
 from desklake.operators.writer import lake_rows, lake_write, write_partitions
@@ -18,7 +19,8 @@ from desklake.sources.fixtures import HelpDesk
 
 STORED = {"refresh_flat", "snapshot_stats", "export_run", "lake_read_parquet", "lake_read_csv", "watermark_after_export",
           "runlog_append", "lake_status_counts", "compact", "lake_after_compaction", "file_inventory", "stream_export",
-          "read_flat", "lake_tenants", "lake_combine", "export_replay"}
+          "read_flat", "lake_tenants", "lake_combine", "export_replay", "logged_files", "stored_candidates",
+          "stored_lifecycle_plan", "stored_file_purge", "compact_recovered"}
 
 
 def plan(frame) -> str:
@@ -53,15 +55,42 @@ def test_partitions_are_pruned(spark, lake):
     assert L.lake_read(lake, day="2026-01-06").count() == 0
 
 
-def test_incremental_scan_skips_by_the_oldest_mark(spark, lake):
-    rows = flat(spark, ticket(1), ticket(2, tenant="b"))
-    lake.snapshot.replace(rows)
-    lake.marks.replace(marks(spark, a=T0))
+def pushed(frame):
+    frame.sparkSession.conf.set("spark.sql.maxMetadataStringLength", "5000")
+    try:
+        lines = [line for line in plan(frame).splitlines() if "FileScan parquet" in line and "/snapshot/" in line]
+    finally:
+        frame.sparkSession.conf.unset("spark.sql.maxMetadataStringLength")
+    return [re.search(r"PushedFilters: \[(.*)\], ReadSchema", line)[1] for line in lines]
+
+
+def test_an_idle_tenant_does_not_widen_the_scan_of_the_others(spark, lake):
+    lake.snapshot.replace(flat(spark, ticket(1), ticket(2, tenant="b")))
+    old, young = datetime(2023, 1, 5), T0 - timedelta(hours=1)
+    lake.marks.replace(marks(spark, **{f"t{n}": young for n in range(150)}, idle=old, idle2=old + timedelta(days=1), half=T0 - timedelta(days=200)))
     frame = incremental.incremental_slice(lake.snapshot.read(), lake.marks.read(), T0)
-    text = plan(frame)
-    scan = next(line for line in text.splitlines() if "FileScan parquet" in line and "finish_time" in line)
-    assert "PushedFilters: [Or(GreaterThan(created_at,ScalarSubquery" in scan
-    assert "BroadcastHashJoin" in text
+    scans = pushed(frame)
+    assert len(scans) == 4  # tenants without a mark, and three bands
+    assert [f"GreaterThan(created_at,{young.isoformat(timespec='minutes')}" in scan and "tenant_id,[" not in scan for scan in scans].count(True) == 1
+    wide = [scan for scan in scans if f"GreaterThan(created_at,{old.isoformat(timespec='minutes')}" in scan]
+    assert len(wide) == 1 and re.search(r"In\(tenant_id, ?\[idle2?,idle2?", wide[0])
+    assert "BroadcastHashJoin" in plan(frame)
+    pending = pushed(watermark.pending_per_tenant(lake.snapshot.read(), lake.marks.read(), T0))
+    assert len(pending) == 3 and all("GreaterThan(created_at,20" in scan for scan in pending)
+
+
+def test_bands_take_what_one_rule_per_tenant_takes(spark):
+    ages = {"a": 0, "b": 20, "c": 200, "d": 2000, "e": 31}
+    known = marks(spark, **{tenant: T0 - timedelta(days=age) for tenant, age in ages.items()})
+    rows = flat(spark, *[ticket(k * 100 + n, tenant=tenant, created=T0 - timedelta(days=n * 97, hours=-1))
+                         for k, tenant in enumerate([*ages, "new"]) for n in range(30)])
+    got = {(r.id, r.export_type) for r in incremental.incremental_slice(rows, known, T0).collect()}
+    want = {(r.id, "INCREMENTAL" if r.tenant_id in ages else "FULL") for r in rows.collect()
+            if (r.created_at > T0 - timedelta(days=ages[r.tenant_id]) if r.tenant_id in ages else r.created_at >= T0 - timedelta(minutes=30))}
+    assert got == want
+    counts = {r.tenant_id: r.pending for r in watermark.pending_per_tenant(rows, known, T0).collect()}
+    assert counts == {t: n for t in ages if (n := sum(1 for i, kind in want if kind == "INCREMENTAL" and i // 100 == list(ages).index(t)))}
+    assert watermark.pending_per_tenant(rows, known.where("false"), T0).count() == 0
 
 
 def test_a_hot_tenant_is_split_and_small_ones_stay_whole(spark, lake, monkeypatch):
@@ -72,7 +101,7 @@ def test_a_hot_tenant_is_split_and_small_ones_stay_whole(spark, lake, monkeypatc
     for limit in (writer.BROADCAST_ROWS, 0):  # the second makes the list of large tenants too long to broadcast
         monkeypatch.setattr(writer, "BROADCAST_ROWS", limit)
         write_partitions(shaped, lake.data, Dialect("parquet"), rows_per_file=1000)
-        files = {r.tenant_id: r["count"] for r in L.file_inventory(lake).groupBy("tenant_id").count().collect()}
+        files = {r.tenant_id: r["count"] for r in L.scan_files(lake).groupBy("tenant_id").count().collect()}
         assert 7 <= files.pop("hot") <= 14
         assert len(files) == 10 and set(files.values()) == {1}
         assert L.lake_read(lake).count() == 20000
