@@ -7,9 +7,13 @@ from pyspark.sql import functions as F
 
 from desklake import vocabulary as V
 
-# strftime token -> date_format token; nothing else is accepted.
-DATE_TOKENS = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%M": "mm", "%S": "ss"}
-# The same six fields as they are spelled in to_char style.
+# Strftime token -> date_format token; other tokens are refused.
+DATE_TOKENS = {"%Y": "yyyy", "%y": "yy", "%m": "MM", "%b": "MMM", "%B": "MMMM", "%d": "dd", "%j": "DDD", "%H": "HH", "%I": "hh",
+               "%p": "a", "%M": "mm", "%S": "ss", "%f": "SSSSSS"}
+# Characters that mean something in a date_format pattern, and where a run of them is plain text of a strftime format.
+PATTERN_SIGNS = r"A-Za-z\[\]{}#"
+LITERALS = rf"((?:(?<=^|[^%{PATTERN_SIGNS}])|(?<=%[A-Za-z]))[{PATTERN_SIGNS}]+)"
+# Six fields as they are spelled in to_char style.
 TO_CHAR_TOKENS = {"YYYY": "yyyy", "HH24": "HH", "MI": "mm", "SS": "ss", "DD": "dd"}
 
 
@@ -32,15 +36,24 @@ def formats_text(formats: Column) -> Column:
 
 
 def date_pattern(python_or_to_char: Column) -> Column:
-    """The date_format pattern for a stored date format, in either accepted spelling."""
-    pattern = python_or_to_char
+    """The date_format pattern for a stored date format: strftime where a % stands in it, else to_char spelling.
+
+    Plain text of a strftime format is quoted, quotes are doubled and %% is a percent sign.
+    """
+    percent_sign = "\u0001"
+    strftime = F.replace(F.replace(python_or_to_char, F.lit("%%"), F.lit(percent_sign)), F.lit("'"), F.lit("''"))
+    strftime = F.regexp_replace(strftime, LITERALS, "'$1'")
     for token, field in DATE_TOKENS.items():
-        pattern = F.replace(pattern, F.lit(token), F.lit(field))
+        strftime = F.replace(strftime, F.lit(token), F.lit(field))
+    to_char = python_or_to_char
     for token, field in TO_CHAR_TOKENS.items():
-        pattern = F.replace(pattern, F.lit(token), F.lit(field))
-    return pattern
+        to_char = F.replace(to_char, F.lit(token), F.lit(field))
+    return F.when(F.contains(python_or_to_char, F.lit("%")), F.replace(strftime, F.lit(percent_sign), F.lit("%"))).otherwise(to_char)
 
 
 def valid_date_format(python_or_to_char: Column) -> Column:
-    """Only the six known fields and plain separators."""
-    return F.regexp_like(date_pattern(python_or_to_char), F.lit(r"^(?:yyyy|MM|dd|HH|mm|ss|[-/:. T_])+$"))
+    """Known strftime tokens and any plain text, or the six to_char fields and plain separators."""
+    letters = "".join(token[1] for token in DATE_TOKENS)
+    known = F.regexp_like(python_or_to_char, F.lit(rf"^(?:%[{letters}%]|[^%\x00-\x1f])*$"))
+    fields = F.regexp_like(date_pattern(python_or_to_char), F.lit(r"^(?:yyyy|MM|dd|HH|mm|ss|[-/:. T_])+$"))
+    return F.when(F.contains(python_or_to_char, F.lit("%")), known).otherwise(fields)

@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 
 
 def round_half_up(value: Column, places: int = 2) -> Column:
-    """Round half away from zero on a decimal image of ``value``; returned as double."""
-    return F.round(value.cast("decimal(38,6)"), places).cast("double")
+    """Round half away from zero; returned as double. Twelve places are kept first, as summation order moves later ones."""
+    return F.round(value.cast("decimal(38,12)"), places).cast("double")
 
 
 def percent(part: Column, whole: Column) -> Column:
-    """100 * part / whole to two places; NULL when ``whole`` is zero."""
-    return round_half_up(F.lit(100.0) * part / F.nullif(whole, F.lit(0)))
+    """100 * part / whole, counts both, to two places, halves up and without a rounding in between; NULL when ``whole`` is zero."""
+    doubled = F.nullif(whole, F.lit(0)).cast("decimal(18,0)") * 2
+    return F.floor((part.cast("decimal(18,0)") * 20_000 + whole) / doubled).cast("double") / 100
 
 
 def six_places(value: Column) -> Column:

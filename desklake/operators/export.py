@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from desklake import schemas
 from desklake import vocabulary as V
-from desklake.functions.clock import Clock
+from desklake.functions.clock import Clock, ago
 from desklake.operators import incremental, settings as options
 from desklake.operators.joins import is_small, join_per_tenant
 from desklake.operators.runlog import error_text, log_rows, runlog_append
@@ -73,7 +73,7 @@ def write_all(lake: Lake, rows: DataFrame, totals: DataFrame, assignments: DataF
                     F.when(able, run_folder(day, run)).alias("folder")))
 
 
-def _files_made(lake: Lake, outcomes: DataFrame, run_ts: datetime, run: str) -> DataFrame:
+def _files_made(lake: Lake, outcomes: DataFrame, run_ts: datetime, run: str, entry: str | None = None) -> DataFrame:
     """tenant_id, file_format and number of the files a run has written, which go into the manifest.
 
     Only the run's own folders are listed, one per tenant and format; Spark lists many of them in parallel.
@@ -82,7 +82,7 @@ def _files_made(lake: Lake, outcomes: DataFrame, run_ts: datetime, run: str) ->
     made = scan_files(lake, folders=[f"{lake.data}/{row.folder}" for row in written]).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         if written:
-            manifest.record(lake, made, run, manifest.LIVE, run, run_ts)
+            manifest.record(lake, made, entry or run, manifest.LIVE, run, run_ts)
         counts = made.groupBy("tenant_id", F.col("format").alias("file_format")).agg(F.count(F.lit(1)).cast("int").alias("files_created"))
         return lake.spark.createDataFrame(counts.collect(), counts.schema)  # a row per tenant and format
     finally:
@@ -207,14 +207,44 @@ def export_full(lake: Lake, flat: DataFrame, run_ts: datetime, file_format: str
         totals.unpersist()
 
 
-def export_replay(lake: Lake, failed: DataFrame, run_ts: datetime, file_format: str, dialect: Dialect, part: int = 1) -> DataFrame:
-    """Write the slices of one run (or a later part of it) again in a format that had failed, for the tenants in ``failed``.
+def export_replay(lake: Lake, failed: DataFrame, run_ts: datetime, file_format: str, part: int = 1) -> DataFrame:
+    """Write the slices of one run (or a later part of it) again in a format that had failed, for the tenants in ``failed``; logged.
 
-    The mark moved because another format succeeded, so the rows are taken from that format's files.
+    The mark moved because another format succeeded, so the rows are taken from the day's files of that format, within the bounds the run
+    had stored: from the run's own files or, once those are merged, from the merged ones. Each tenant gets its own dialect; one
+    without rows in these bounds is an error outcome.
     """
     day, run = _run_name(run_ts, part=part)
     other = V.PARQUET if file_format == V.CSV else V.CSV
-    rows = lake_read(lake, other, day=day, run=run)
-    mine = join_per_tenant(rows, failed.select("tenant_id").distinct(), how="left_semi")
-    lake_write(mine, lake.data, dialect, day, run)
-    return incremental.slice_totals(mine.withColumn("export_type", F.lit(V.INCREMENTAL)))
+    wanted = failed.select("tenant_id").distinct()
+    limits = _bounds(lake, run).read().select("tenant_id", F.col("lower").alias("_lower"), F.col("upper").alias("_upper"))
+    window = ago(run_ts, V.FIRST_EXPORT_WINDOW)
+    first = (F.col("created_at") >= window) | (F.col("finish_time") >= window)
+    within = F.when(F.col("_lower").isNull(), first).otherwise(F.col("created_at") > F.col("_lower")) & (F.col("created_at") <= F.col("_upper"))
+    held = join_per_tenant(lake_read(lake, other, day=day), limits.join(wanted, "tenant_id", "left_semi"), how="inner").where(within)
+    # One image of each row: the run's own where it is left, else that of the latest run.
+    rest = [name for name in schemas.FLAT.names if name not in ("tenant_id", "id")]
+    image = F.max_by(F.struct(*rest, "_lower"), F.struct(F.col("run") == run, "run")).alias("row")
+    rows = held.groupBy("tenant_id", "id").agg(image).select("tenant_id", "id", "row.*").withColumn(
+        "export_type", F.when(F.col("_lower").isNull(), V.FULL).otherwise(V.INCREMENTAL)).persist(StorageLevel.MEMORY_AND_DISK)
+    totals = incremental.slice_totals(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        config = options.export_config(totals, lake.settings.read()).withColumn("export_formats", F.array(F.lit(file_format)))
+        outcomes = write_all(lake, rows.drop("_lower"), totals, options.dialect_columns(config), day, run)
+        made = _files_made(lake, outcomes, run_ts, run, f"{run}_replay_{file_format}")
+        found = outcomes.join(totals, "tenant_id").join(F.broadcast(made), ["tenant_id", "file_format"], "left")
+        missing = F.col("status").isNull()
+        good = F.col("status") == V.SUCCESS
+        results = wanted.join(found, "tenant_id", "left").select(
+            "tenant_id", F.lit(file_format).alias("file_format"), F.coalesce("status", F.lit(V.ERROR)).alias("status"),
+            F.coalesce("duration_seconds", F.lit(0.0)).alias("duration_seconds"),
+            F.when(missing, "no rows of this run are left").otherwise(F.col("error_message")).alias("error_message"), "export_type",
+            F.when(good, F.col("rows_exported")).otherwise(0).alias("rows_affected"), F.coalesce("files_created", F.lit(0)).alias("files_created"),
+            F.when(good, F.concat(F.lit("data/"), "folder")).alias("file_path"))
+        runlog_append(lake, log_rows(results, f"{run}_replay", run_ts, "export_replay", view_name="export_replay", task_id="export_replay",
+                                     export_destination=V.EXPORT_DESTINATION, store_account=lake.account, container=lake.container),
+                      f"export_replay_{run}_{file_format}")
+        return lake.spark.createDataFrame(results.collect(), results.schema)  # a row per failed tenant
+    finally:
+        totals.unpersist()
+        rows.unpersist()

@@ -17,10 +17,16 @@ SETTINGS_TEXT = "array_to_string(list_sort(export_formats), ',') AS export_forma
 
 
 def two_places(expression: str) -> str:
-    return f"CAST(ROUND(CAST({expression} AS DECIMAL(38,6)), 2) AS DOUBLE)"
+    return f"CAST(ROUND(CAST({expression} AS DECIMAL(38,12)), 2) AS DOUBLE)"
 
 
-SHARE = two_places("100.0 * total_tickets / SUM(total_tickets) OVER ()")
+def share(part: str, whole: str) -> str:
+    """Hundredths of a percent as quotient and remainder of whole numbers."""
+    scaled, whole = f"(10000 * CAST({part} AS HUGEINT))", f"CAST({whole} AS HUGEINT)"
+    return f"CAST({scaled} // ({whole}) + CASE WHEN 2 * ({scaled} % ({whole})) >= ({whole}) THEN 1 ELSE 0 END AS DOUBLE) / 100"
+
+
+SHARE = share("total_tickets", "(SUM(total_tickets) OVER ())")
 
 ORACLE_SQL = {
     # tickets
@@ -84,7 +90,7 @@ ORACLE_SQL = {
                ROUND(AVG(duration_seconds), 6) AS avg_duration_sec
         FROM runlog WHERE {WEEK} AND view_name <> 'ALL_VIEWS' AND status = 'SUCCESS' GROUP BY 1, 2"""),
     "daily_success_rate": over("runlog", sql=f"""
-        SELECT date, total_runs, successful_runs, {two_places("100.0 * successful_runs / total_runs")} AS success_rate_percent
+        SELECT date, total_runs, successful_runs, {share("successful_runs", "total_runs")} AS success_rate_percent
         FROM (SELECT CAST(refresh_timestamp AS DATE) AS date, COUNT(*) AS total_runs,
                      COUNT(*) FILTER (status = 'SUCCESS') AS successful_runs
               FROM runlog WHERE {MONTH} AND view_name = 'ALL_VIEWS' GROUP BY 1)"""),
@@ -353,6 +359,7 @@ _EXPORTED = """
            MAX(s.created_at) AS last_exported_created_at
     FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id GROUP BY 1, 2"""
 
+_DATE_FORMATS = ["%Y-%m-%d %H:%M:%S", "%d/%m/%y", "%b %d, %Y %I:%M %p", "%B (%j) %Y", "%Y%m%dT%H%M%S.%f", "on %d at %H h", "100%% %Y", "%d.%m.%Y"]
 _TWO_MONTHS = """
         , kept AS (
             SELECT tenant_id, 'parquet' AS format, day FROM (SELECT DISTINCT tenant_id FROM tickets),
@@ -389,10 +396,22 @@ ORACLE_SQL.update({
                COUNT(*) + (SELECT COUNT(*) FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id
                            WHERE f.format = 'parquet' AND s.tenant_id = t.tenant_id) AS rows, COUNT(*) AS ids
         FROM tickets t GROUP BY t.tenant_id"""),
-    "export_replay": over("slice", "formats", sql="""
-        SELECT s.tenant_id, COUNT(*) AS rows, MAX(s.created_at) AS newest
-        FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id AND f.format = 'parquet'
-        WHERE CAST(s.tenant_id AS INT) % 5 = 1 GROUP BY 1"""),
+    "export_replay": over("slice", "tenants", sql="""
+        SELECT n.id AS tenant_id, CASE WHEN COUNT(s.id) > 0 THEN 'SUCCESS' ELSE 'ERROR' END AS status, COUNT(s.id) AS rows_affected,
+               COUNT(s.id) AS stored_rows, MAX(s.created_at) AS newest
+        FROM tenants n LEFT JOIN slice s ON s.tenant_id = n.id WHERE CAST(n.id AS INT) % 5 = 1 GROUP BY 1"""),
+    "snapshot_stats": over("tickets", sql="""
+        SELECT 'bi_tickets_flat' AS view_name, COUNT(*) AS total_rows, COUNT(*) > 0 AS is_populated, true AS has_files, true AS sized
+        FROM tickets"""),
+    "settings_stamps": over("settings", "tenants", sql="""
+        SELECT n.id AS tenant_id, 'desklake' AS updated_by, TIMESTAMP '2024-01-31' AS updated_at
+        FROM tenants n WHERE CAST(n.id AS INT) % 3 = 0"""),
+    "lake_combine_first": over("slice", "formats", sql="""
+        SELECT s.tenant_id, COUNT(*) AS rows FROM slice s JOIN formats f ON f.tenant_id = s.tenant_id AND f.format = 'parquet'
+        GROUP BY 1 ORDER BY s.tenant_id || '/' LIMIT 1"""),
+    "csv_date_formats": over("tickets", sql=" UNION ALL ".join(
+        f"SELECT id, '{text}' AS date_format, strftime(created_at, '{text}') AS shown FROM tickets WHERE id % 8 = {number}"
+        for number, text in enumerate(_DATE_FORMATS))),
     "export_run": over("slice", "formats", sql=f"""
         SELECT *, 1 AS files_created FROM ({_EXPORTED})"""),
     "logged_files": over("slice", "formats", sql=f"""

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from desklake import schemas
 from desklake.functions.clock import clock
+from desklake.functions.formats import date_pattern
 from desklake.functions.names import lake_path, slug
 from desklake.operators import (compaction, export, flat, incremental, quality, retention, runlog as logstore, settings,
                                 snapshot, watermark)
@@ -229,6 +230,22 @@ def settings_enable_csv(desk: HelpDesk) -> DataFrame:
     return _settings_text(settings.settings_enable_csv(desk.settings, _csv_changes(desk), AS_OF_LOG))
 
 
+@query
+def settings_stamps(desk: HelpDesk) -> DataFrame:
+    """Who changed which settings rows when, after CSV was switched on for some tenants."""
+    changed = settings.settings_enable_csv(desk.settings, _csv_changes(desk), AS_OF_LOG)
+    return changed.where(F.col("updated_at") == clock(AS_OF_LOG)).select("tenant_id", "updated_by", "updated_at")
+
+
+@query
+def csv_date_formats(desk: HelpDesk) -> DataFrame:
+    """Creation times as CSV files of tenants with various date formats show them."""
+    formats = ["%Y-%m-%d %H:%M:%S", "%d/%m/%y", "%b %d, %Y %I:%M %p", "%B (%j) %Y", "%Y%m%dT%H%M%S.%f", "on %d at %H h", "100%% %Y", "%d.%m.%Y"]
+    chosen = F.element_at(F.array(*map(F.lit, formats)), (F.col("id") % len(formats) + 1).cast("int"))
+    dated = desk.tickets.select("id", chosen.alias("date_format"), "created_at")
+    return dated.select("id", "date_format", F.call_function("date_format", "created_at", date_pattern(F.col("date_format"))).alias("shown"))
+
+
 @query
 def settings_enable_csv_for_all(desk: HelpDesk) -> DataFrame:
     everyone = desk.tenants.select(F.col("id").alias("tenant_id"))
@@ -546,20 +563,36 @@ def lake_combine(desk: HelpDesk) -> DataFrame:
     return combined(desk.spark, lake.data).groupBy("tenant_id").agg(F.count(F.lit(1)).alias("rows"), F.count_distinct("id").alias("ids"))
 
 
+@query
+def lake_combine_first(desk: HelpDesk) -> DataFrame:
+    """The rows of the first Parquet file of an export by name."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    return combined(desk.spark, lake.data, limit_files=1).groupBy("tenant_id").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def export_replay(desk: HelpDesk) -> DataFrame:
-    """Slices of one run written again as CSV for tenants whose CSV counts as failed."""
+    """Slices of one run written again as CSV after its files were merged, for tenants whose CSV counts as failed, as logged and as stored."""
     lake = _lake(desk)
     export.export_run(lake, lake.snapshot.read(), RUN)
+    export.export_full(lake, lake.snapshot.read(), RUN.replace(minute=15))
+    compaction.compact(lake, RUN_DAY, RUN.replace(day=3))
     failed = desk.tenants.where(F.col("id").cast("int") % 5 == 1).select(F.col("id").alias("tenant_id"))
-    export.export_replay(lake, failed, RUN, "csv", settings.Dialect("csv", delimiter="|"))
-    mine = lake_read(lake, "csv").where(F.col("dialect").startswith("pipe"))
-    return mine.groupBy("tenant_id").agg(F.count(F.lit(1)).alias("rows"), F.max("created_at").alias("newest"))
+    export.export_replay(lake, failed, RUN, "csv")
+    stored = lake_read(lake, "csv", day=RUN_DAY, run="20010802_000000").groupBy("tenant_id").agg(
+        F.count(F.lit(1)).alias("stored_rows"), F.max("created_at").alias("newest"))
+    logged = logstore.runlog_read(lake).where(F.col("view_name") == "export_replay")
+    return logged.join(stored, "tenant_id", "left").select(
+        "tenant_id", "status", "rows_affected", F.coalesce("stored_rows", F.lit(0)).alias("stored_rows"), "newest")
 
 
 @query
 def snapshot_stats(desk: HelpDesk) -> DataFrame:
-    return snapshot.snapshot_stats(_lake(desk))
+    """Bytes and files depend on the writer, so it is told that there are some and that the size text is that of the bytes."""
+    stats = snapshot.snapshot_stats(_lake(desk))
+    return stats.select("view_name", "total_rows", "is_populated", (F.col("files") > 0).alias("has_files"),
+                        ((F.col("total_bytes") > 0) & (F.length("total_size") > 3)).alias("sized"))
 
 
 @query

@@ -127,7 +127,7 @@ def scan_files(lake: Lake, day: str | None = None, folders: list[str] | None = N
         T.StructField("path", T.StringType()), T.StructField("modificationTime", T.TimestampType()),
         T.StructField("length", T.LongType()), T.StructField("content", T.BinaryType()),
         *[T.StructField(name, T.StringType()) for name in schemas.LAKE_PARTITIONS]])
-    if not folders and (folders is not None or not lake.files.matches(pattern)):
+    if not folders and (folders is not None or not lake.files.matches(f"{pattern}/run=*")):
         found = lake.spark.createDataFrame([], schema)
     else:
         found = (lake.spark.read.format("binaryFile").schema(schema).option("basePath", lake.data)

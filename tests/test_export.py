@@ -45,7 +45,7 @@ def test_nothing_new_leaves_no_trace(spark, lake):
 
 def test_unsupported_format_does_not_stop_the_other(spark, lake):
     prepared(lake, "a", "b", "c", known=marks(spark, a=T0, b=T0, c=T0), stored=settings(
-        spark, ("a", ["parquet", "json"], {}), ("b", ["json"], {}), ("c", ["csv"], {"csv_date_format": "%j"})))
+        spark, ("a", ["parquet", "json"], {}), ("b", ["json"], {}), ("c", ["csv"], {"csv_date_format": "%U"})))
     rows = flat(spark, *[ticket(i, tenant=t, created=T0 + MINUTE) for i, t in enumerate("abc")])
     done = rows_by(export.export_run(lake, rows, RUN).withColumn("k", F.concat("tenant_id", "file_format")), "k", "status", "rows_affected")
     assert done == {"aparquet": ("SUCCESS", 1), "ajson": ("ERROR", 0), "bjson": ("ERROR", 0), "ccsv": ("ERROR", 0)}
@@ -152,9 +152,10 @@ def test_replay_of_a_failed_format(spark, lake):
     rows = flat(spark, ticket(1, created=T0 + MINUTE), ticket(2, tenant="b", created=T0 + MINUTE))
     export.export_run(lake, rows, RUN)
     failed = spark.createDataFrame([("a", "csv")], "tenant_id string, file_format string")
-    replayed = export.export_replay(lake, failed, RUN, "csv", Dialect("csv"))
-    assert rows_by(replayed, "tenant_id", "rows_exported") == {"a": 1}
+    replayed = export.export_replay(lake, failed.union(failed.select(F.lit("none"), "file_format")), RUN, "csv")
+    assert rows_by(replayed, "tenant_id", "status", "rows_affected", "files_created") == {"a": ("SUCCESS", 1, 1), "none": ("ERROR", 0, 0)}
     assert {r.id for r in L.lake_read(lake, "csv").collect()} == {1}
+    assert rows_by(runlog.runlog_read(lake).where("view_name = 'export_replay'"), "tenant_id", "status") == {"a": "SUCCESS", "none": "ERROR"}
 
 
 def test_combine(spark, lake):

@@ -22,4 +22,4 @@ def test_equal(spark, connection, name):
 def test_contract(spark):
     assert contract.entry(spark).count() > 0
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(registry.queries()) - set(ORACLE_SQL) == {"snapshot_stats"}
+    assert set(registry.queries()) == set(ORACLE_SQL)
