@@ -2,7 +2,7 @@
 
 A rolling hash cuts texts into chunks, so that a passage is cut alike wherever it stands. A home is some megabytes of documents; each
 of its distinct chunks, and of the seams (the last and first ``EDGE`` characters around a cut), goes once to the bucket its hash names.
-The bucket encodes every distinct one once, whatever number of homes asked, and answers with ids and a few words near the edges.
+The bucket encodes every distinct one once, whatever number of homes asked, and answers with ids and a word near each edge.
 Back home the chunks of a document are joined: a seam replaces the ids from a word that the chunk before and the seam both have to a
 word that the seam and the chunk after both have. Words are split from left to right without looking back, so scans that meet at
 one word start agree from there on, and ``MARGIN`` characters away from an end nothing beyond it matters. Where they do not meet, the
@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from desklake.llm.chunks import unpack
 
-LEAST_CHUNK, MOST_CHUNK, MASK = 1024, 8192, 1023
+LEAST_CHUNK, MOST_CHUNK, MASK = 1536, 8192, 1023
 WINDOW = 16
 EDGE, MARGIN = 64, 16
 HOME_BYTES, BUCKET_BYTES = 16 << 20, 48 << 20
@@ -116,7 +116,7 @@ class Codec:
         return list(chain.from_iterable(self.of_words(PIECES.findall(text.lower())))) if self.plain(text) else self.ids(text)
 
     def unit(self, text: str, spans: list[tuple[int, int]]) -> tuple[list[int], list[int]]:
-        """The ids, and the last two words within each of two spans as (start, end, first id, one past the last id)."""
+        """The ids, and the last word within each of two spans as (start, end, first id, one past the last id)."""
         if self.plain(text):
             pieces = PIECES.findall(text.lower())
             parts = self.of_words(pieces)
@@ -128,8 +128,8 @@ class Codec:
             words = [_clean_words(found.offsets, found.word_ids)] * 2
         marks: list[int] = []
         for (low, high), own in zip(spans, words):
-            inside = [word for word in own if word[0] >= low and word[1] <= high][-2:]
-            marks += [*chain.from_iterable(inside), *[NONE] * (4 * (2 - len(inside)))]
+            inside = [word for word in own if word[0] >= low and word[1] <= high]
+            marks += inside[-1] if inside else [NONE] * 4
         return ids, marks
 
 
@@ -311,9 +311,9 @@ class _Encoded:
             ids = ids.view("<u4")
         self.lengths, self.ids = lengths, ids
         self.edges = np.append(0, np.cumsum(counts, dtype=np.int64))
-        self.marks = marks.reshape(-1, 2, 2, 4)
+        self.marks = marks.reshape(-1, 2, 4)
 
-    def unit(self, k: int) -> tuple[int, list[int], list[list[list[int]]]]:
+    def unit(self, k: int) -> tuple[int, list[int], list[list[int]]]:
         return int(self.lengths[k]), self.ids[self.edges[k]:self.edges[k + 1]].tolist(), self.marks[k].tolist()
 
 
@@ -323,13 +323,11 @@ def _pack_encoded(lengths: list[int], ids: list[np.ndarray], marks: list[np.ndar
     return _packed(np.array(lengths, "<u2"), np.array([len(own) for own in ids], "<u2"), flat.astype(kind), np.concatenate(marks))
 
 
-def _meet(one: list, ids_one: list[int], shift: int, other: list, ids_other: list[int]) -> tuple[int, int] | None:
-    """The first id of a word that two units share, in both; ``shift`` is where the second starts in the first."""
-    for start, end, first, last in reversed(one):
-        for s, e, f, l in reversed(other):
-            if start != NONE and s != NONE and (start - shift, end - shift) == (s, e) and ids_one[first:last] == ids_other[f:l]:
-                return first, f
-    return None
+def _meet(one: list[int], ids_one: list[int], shift: int, other: list[int], ids_other: list[int]) -> tuple[int, int] | None:
+    """The first id of a word that two units share, in both, if they do; ``shift`` is where the second starts in the first."""
+    (start, end, first, last), (s, e, f, l) = one, other
+    same = start != NONE and s != NONE and (start - shift, end - shift) == (s, e) and ids_one[first:last] == ids_other[f:l]
+    return (first, f) if same else None
 
 
 def joined(units: list[tuple[int, list[int], list]]) -> list[int] | None:
