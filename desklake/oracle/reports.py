@@ -387,6 +387,20 @@ ORACLE_SQL.update({
         SELECT tenant_id, COUNT(*) AS rows, MAX(refresh_timestamp) AS newest
         FROM runlog WHERE tenant_id IN (SELECT id FROM tenants) GROUP BY 1"""),
     "refresh_flat": ORACLE_SQL["tickets_flat"],
+    "refresh_months": over("tickets", "users", sql="""
+        , t AS (SELECT *, date_trunc('month', created_at) AS month, created_at >= TIMESTAMP '2001-05-01' AND finish_time IS NULL AS open
+                FROM tickets)
+        SELECT v.*, (SELECT COUNT(*) FROM t WHERE month = DATE '1996-03-01') AS retitled_rows,
+               (SELECT COUNT(*) FROM t JOIN users u ON u.id = t.requester_id WHERE u.id = 2) AS renamed_rows
+        FROM (
+            SELECT CAST(1 AS BIGINT) AS version, COUNT(DISTINCT month) AS months, COUNT(DISTINCT month) AS months_rewritten, COUNT(*) AS total_rows
+            FROM t WHERE created_at < TIMESTAMP '2001-06-01'
+            UNION ALL
+            SELECT 2, COUNT(DISTINCT month), COUNT(DISTINCT month) FILTER (WHERE open OR created_at >= TIMESTAMP '2001-06-01'), COUNT(*) FROM t
+            UNION ALL
+            SELECT 3, COUNT(DISTINCT month), COUNT(DISTINCT month) FILTER (WHERE open OR month = DATE '1996-03-01'
+                   OR (requester_id = 2 AND EXISTS (SELECT 1 FROM users WHERE id = 2))), COUNT(*) FROM t) v
+        WHERE v.total_rows > 0"""),
     "read_flat": over("measured", "users", sql="""
         SELECT m.tenant_id, m.id, m.created_at, m.sla_status, u.name AS requester_name
         FROM measured m LEFT JOIN users u ON u.id = m.requester_id"""),

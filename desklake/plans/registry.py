@@ -543,6 +543,25 @@ def refresh_flat(desk: HelpDesk) -> DataFrame:
     return _lake(desk).snapshot.read()
 
 
+@query
+def refresh_months(desk: HelpDesk) -> DataFrame:
+    """Versions of the wide view after three refreshes: without the newest months, with them, and with the texts of one
+    old month and the name of one requester changed. Tickets before May 2001 count as finished."""
+    lake = Lake(desk.spark, shared_dir(desk.spark, "lake"))
+    created, finished = F.col("created_at"), F.col("finish_time")
+    settled = desk.tickets.withColumn(
+        "finish_time", F.when(created < clock("2001-05-01"), F.coalesce(finished, F.timestamp_add("DAY", F.lit(1), created))).otherwise(finished))
+    retitled = F.when(F.trunc(created, "month") == "1996-03-01", F.concat("title", F.lit("!"))).otherwise(F.col("title"))
+    renamed = F.when(F.col("id") == 2, F.concat("name", F.lit(" II"))).otherwise(F.col("name"))
+    snapshot.refresh_flat(lake, settled.where(created < clock("2001-06-01")), desk.users, RUN.replace(month=6), "refresh_1")
+    snapshot.refresh_flat(lake, settled, desk.users, AS_OF_TICKETS, "refresh_2")
+    snapshot.refresh_flat(lake, settled.withColumn("title", retitled), desk.users.withColumn("name", renamed), AS_OF_TICKETS, "refresh_3")
+    stored = lake.snapshot.read()
+    return lake.snapshot.versions().withColumns({
+        "retitled_rows": stored.select(F.count_if(F.endswith("title", F.lit("!")))).scalar(),
+        "renamed_rows": stored.select(F.count_if(F.endswith("requester_name", F.lit(" II")))).scalar()})
+
+
 @query
 def read_flat(desk: HelpDesk) -> DataFrame:
     """Every row of the stored wide view in its export order, with the columns that identify it."""

@@ -38,6 +38,9 @@ FLAT = _schema("""id BIGINT, tenant_id STRING, title STRING, coverage_time INT,
 LAKE_PARTITIONS = ["tenant_key", "format", "dialect", "year", "month", "day", "run"]
 LAKE = T.StructType(FLAT.fields + [T.StructField(name, T.StringType()) for name in LAKE_PARTITIONS])
 
+# Which folder holds a month of the stored wide view, and what its tickets were when that was written.
+MONTHS = _schema("month STRING, folder STRING, rows BIGINT, open_rows BIGINT, print STRING")
+
 RUN_LOG = _schema("""id BIGINT, refresh_timestamp TIMESTAMP_NTZ, view_name STRING, status STRING,
     rows_affected BIGINT, duration_seconds MONEY, error_message STRING, job_id STRING, task_id STRING,
     run_ts TIMESTAMP_NTZ, created_at TIMESTAMP_NTZ, tenant_id STRING, export_type STRING, files_created INT,

@@ -15,6 +15,7 @@ from desklake import vocabulary as V
 from desklake.functions.formats import date_pattern
 from desklake.operators.settings import Dialect
 from desklake.sources.files import Files
+from desklake.sources.monthly import MonthlyTable
 from desklake.sources.versions import VersionedTable
 
 # Names of delimiters in folder names.
@@ -56,8 +57,8 @@ class Lake:
         return Files(self.spark)
 
     @cached_property
-    def snapshot(self) -> VersionedTable:
-        return VersionedTable(self.spark, f"{self.root}/snapshot", schemas.FLAT)
+    def snapshot(self) -> MonthlyTable:
+        return MonthlyTable(self.spark, f"{self.root}/snapshot", schemas.FLAT)
 
     @cached_property
     def marks(self) -> VersionedTable:

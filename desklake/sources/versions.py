@@ -42,10 +42,13 @@ class VersionedTable:
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(folder)
 
+    def next_folder(self) -> str:
+        taken = [int(name.removeprefix("v=")) for name in Files(self.spark).folders(self.path) if name.startswith("v=")]
+        return f"{self.path}/v={max(taken, default=0) + 1:010d}"
+
     def stage(self, frame: DataFrame) -> str:
         """Write the next version without committing it."""
-        taken = [int(name.removeprefix("v=")) for name in Files(self.spark).folders(self.path) if name.startswith("v=")]
-        folder = f"{self.path}/v={max(taken, default=0) + 1:010d}"
+        folder = self.next_folder()
         schemas.evolve(frame, self.schema).write.mode("errorifexists").parquet(folder)
         return folder
 

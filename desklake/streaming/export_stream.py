@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from desklake import schemas
 from desklake.operators.export import export_run
 from desklake.sources.lake import Lake
 
@@ -28,7 +27,7 @@ def stream_export(lake: Lake, checkpoint: str, available_now: bool = True, every
     def export_newest(signals: DataFrame, _batch: int) -> None:
         newest = signals.agg(F.max_by(F.struct("as_of", "folder"), F.struct("as_of", "folder")).alias("s")).select("s.*").first()
         if newest.folder is not None:
-            flat = lake.spark.read.schema(schemas.FLAT).parquet(newest.folder)
+            flat = lake.snapshot.read(newest.folder)
             export_run(lake, flat, newest.as_of)
 
     writer = refresh_signals(lake).writeStream.foreachBatch(export_newest).option("checkpointLocation", checkpoint)
