@@ -170,8 +170,8 @@ def settings_violations(settings: DataFrame) -> DataFrame:
 # --- writer options -----------------------------------------------------------------------------
 
 # How stored words map to Spark writer options.
-SPARK_ENCODINGS = {"utf-8": "UTF-8", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1"}
-WRITABLE_QUOTING = ("minimal", "all")
+SPARK_ENCODINGS = {"utf-8": "UTF-8", "utf-8-sig": "UTF-8", "latin1": "ISO-8859-1", "iso-8859-1": "ISO-8859-1"}
+WRITABLE_QUOTING = ("minimal", "all", "nonnumeric")
 SPARK_CODECS = {"snappy": "snappy", "gzip": "gzip", "lz4": "lz4_raw", "zstd": "zstd", "none": "uncompressed"}
 
 
@@ -195,6 +195,11 @@ class Dialect:
             return self.csv_options()
         raise ValueError(f"Format not supported: {self.file_format}")
 
+    @property
+    def as_lines(self) -> bool:
+        """Whether rows must be formed as lines of text, as the CSV writer knows neither a byte-order mark nor quoting by type."""
+        return self.file_format == V.CSV and (self.encoding == "utf-8-sig" or self.quoting == "nonnumeric")
+
     def csv_options(self) -> dict[str, str]:
         delimiter = "\t" if self.delimiter in ("\t", "\\t") else self.delimiter
         if delimiter not in V.ALLOWED_DELIMITERS:

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.formats import date_pattern
+from desklake.operators.csv_lines import write_lines
 from desklake.operators.joins import BROADCAST_ROWS, salted_join
 from desklake.operators.settings import Dialect
 from desklake.sources.lake import dialect_folder
@@ -64,9 +65,15 @@ def spread(rows: DataFrame, rows_per_file: int, counts: DataFrame | None = None)
 
 
 def write_partitions(rows: DataFrame, folder: str, dialect: Dialect, rows_per_file: int = ROWS_PER_FILE,
-                     counts: DataFrame | None = None) -> None:
-    """Write rows that carry their partition values; a repeated run replaces exactly its own folders."""
+                     counts: DataFrame | None = None, under: str = "year=*/month=*/day=*/run=*") -> None:
+    """Write rows that carry their partition values; a repeated run replaces exactly its own folders.
+
+    ``under`` names the folders below a tenant's dialect that the rows go to, where the caller knows them.
+    """
     options = dialect.writer_options()
+    if dialect.as_lines:
+        write_lines(rows, folder, dialect, rows_per_file, counts, under)
+        return
     (spread(rows, rows_per_file, counts)
      .sortWithinPartitions(*schemas.LAKE_PARTITIONS, "created_at", "id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 2 * rows_per_file)
@@ -76,4 +83,6 @@ def write_partitions(rows: DataFrame, folder: str, dialect: Dialect, rows_per_fi
 def lake_write(rows: DataFrame, folder: str, dialect: Dialect, day: str, run: str, date_format: Column | None = None,
                counts: DataFrame | None = None) -> None:
     dialect.writer_options()  # refuse unsupported words before any job starts
-    write_partitions(lake_rows(rows, dialect, day, run, date_format), folder, dialect, counts=counts)
+    year, month, date = day.split("-")
+    write_partitions(lake_rows(rows, dialect, day, run, date_format), folder, dialect, counts=counts,
+                     under=f"year={year}/month={month}/day={date}/run={run}")

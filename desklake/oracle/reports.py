@@ -482,6 +482,21 @@ ORACLE_SQL.update({
                CASE WHEN part > 0 AND whole > 0 THEN whole ELSE 0 END AS rows_after,
                CASE WHEN part > 0 AND whole > 0 THEN part ELSE 0 END AS duplicates_removed
         FROM present"""),
+    "compact_mismatch": over("slice", "formats", sql="""
+        , present AS (
+            SELECT n.id AS tenant_id, f.format, (SELECT COUNT(*) FROM slice s WHERE s.tenant_id = n.id) AS part,
+                   (SELECT COUNT(*) FROM tickets t WHERE t.tenant_id = n.id AND f.format = 'parquet') AS whole
+            FROM tenants n JOIN formats f ON f.tenant_id = n.id)
+        SELECT tenant_id, format AS file_format, whole AS rows_expected, CASE WHEN tenant_id IN ('6', '12') THEN 0 ELSE whole END AS rows_staged,
+               tenant_id NOT IN ('6', '12') AS matches
+        FROM present WHERE part > 0 AND whole > 0"""),
+    "lake_read_dialects": over("measured", "users", sql="""
+        SELECT m.id, m.tenant_id, CASE (CAST(m.tenant_id AS INT) % 12) // 3 WHEN 0 THEN 'utf-8' WHEN 1 THEN 'utf-8-sig'
+                    WHEN 2 THEN 'latin1' ELSE 'iso-8859-1' END AS encoding,
+               CASE CAST(m.tenant_id AS INT) % 3 WHEN 0 THEN 'minimal' WHEN 1 THEN 'all' ELSE 'nonnumeric' END AS quoting,
+               CASE WHEN m.id % 7 <> 0 THEN md5(m.title || ' "ã" ;,|' || chr(9) || chr(13) || chr(10) || CAST(m.id AS VARCHAR)) END AS title_md5,
+               m.created_at, m.finish_time, m.duration_minutes, u.name AS requester_name
+        FROM measured m LEFT JOIN users u ON u.id = m.requester_id"""),
     "lake_after_compaction": over("tickets", "formats", sql="""
         SELECT t.tenant_id AS tenant_key,
                COUNT(*) * CASE WHEN f.tenant_id IS NULL THEN 2 ELSE 1 END AS rows, COUNT(*) AS ids,

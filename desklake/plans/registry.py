@@ -9,11 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from desklake import schemas
+from desklake import vocabulary as V
 from desklake.functions.clock import clock
 from desklake.functions.formats import date_pattern
 from desklake.functions.names import lake_path, slug
 from desklake.operators import (compaction, export, flat, incremental, quality, retention, runlog as logstore, settings,
                                 snapshot, watermark)
+from desklake.operators.writer import lake_write
 from desklake.plans import access, alerts, runlog, tickets
 from desklake.session import shared_dir
 from desklake.sources.fixtures import AS_OF_LOG, AS_OF_TICKETS, HelpDesk
@@ -639,6 +641,35 @@ def lake_read_csv(desk: HelpDesk) -> DataFrame:
                                          "requester_name", "created_day_name", "format", "year", "month", "day", "run")
 
 
+@query
+def lake_read_dialects(desk: HelpDesk) -> DataFrame:
+    """Tickets with awkward titles as read back from CSV files of every allowed encoding and quoting, delimiters in turn."""
+    lake = Lake(desk.spark, shared_dir(desk.spark, "lake"))
+    title = F.when(F.col("id") % 7 != 0, F.concat("title", F.lit(' "ã" ;,|\t\r\n'), F.col("id").cast("string")))
+    rows = _flat(desk).withColumn("title", title)
+    words = [(encoding, quoting) for encoding in V.ALLOWED_ENCODINGS for quoting in settings.WRITABLE_QUOTING]
+    for number, (encoding, quoting) in enumerate(words):
+        dialect = settings.Dialect("csv", V.ALLOWED_DELIMITERS[number % len(V.ALLOWED_DELIMITERS)], encoding, quoting)
+        mine = rows.where(F.pmod(F.col("tenant_id").cast("int"), F.lit(len(words))) == number)
+        lake_write(mine, lake.data, dialect, RUN_DAY, f"dialect_{number}")
+    return lake_read(lake, "csv").select(
+        "id", "tenant_id", F.split("dialect", r"\.")[1].alias("encoding"), F.split("dialect", r"\.")[2].alias("quoting"),
+        F.md5("title").alias("title_md5"), "created_at", "finish_time", "duration_minutes", "requester_name")
+
+
+@query
+def compact_mismatch(desk: HelpDesk) -> DataFrame:
+    """Staged merged files against what they should hold, after the staged files of two tenants were lost."""
+    lake = _lake(desk)
+    export.export_run(lake, lake.snapshot.read(), RUN)
+    export.export_full(lake, lake.snapshot.read(), RUN.replace(minute=15))
+    compaction.compact(lake, RUN_DAY, RUN.replace(day=3), publish_now=False)
+    for tenant in ("6", "12"):
+        for folder in lake.files.matches(f"{lake.root}/compaction/*/*/data/tenant_key={tenant}"):
+            lake.files.delete(folder)
+    return compaction.staged_check(lake, RUN_DAY)
+
+
 @query
 def watermark_after_export(desk: HelpDesk) -> DataFrame:
     """Stored marks after two runs, of which the second finds nothing new for tenants with a mark."""

@@ -24,7 +24,8 @@ DELIMITER_WORDS = {",": "comma", ";": "semicolon", "|": "pipe", "\t": "tab"}
 # The reader hands an unquoted empty field over as the null word and a quoted one as the empty word; two
 # different words keep NULL and "" apart. With every field quoted the file itself cannot tell them apart,
 # and both are read as NULL.
-EMPTY_WORDS = {"minimal": {"nullValue": "\u0001", "emptyValue": ""}, "all": {"nullValue": "", "emptyValue": ""}}
+EMPTY_WORDS = {"minimal": {"nullValue": "\u0001", "emptyValue": ""}, "nonnumeric": {"nullValue": "\u0001", "emptyValue": ""},
+               "all": {"nullValue": "", "emptyValue": ""}}
 
 
 @dataclass

@@ -86,6 +86,43 @@ def test_unreadable_input_keeps_everything(spark, lake):
     assert runlog.runlog_read(lake).first().status == "ERROR"
 
 
+@pytest.mark.parametrize("harm", ["lost", "twice", "other"])
+@pytest.mark.parametrize("dialect", [Dialect("parquet"), Dialect("csv")])
+def test_staged_rows_that_differ_keep_the_inputs(spark, lake, monkeypatch, harm, dialect):
+    for run in "12":
+        put(lake, flat(spark, ticket(int(run)), ticket(9)), run, dialect)
+    lake.settings.replace(settings(spark, ("a", [dialect.file_format], {})))
+    write = compaction.write_partitions
+    harmed = {"lost": lambda rows: rows.where("id <> 9"), "twice": lambda rows: rows.unionAll(rows.where("id = 1")),
+              "other": lambda rows: rows.withColumn("id", F.when(F.col("id") == 9, 8).otherwise(F.col("id")).cast("bigint"))}[harm]
+    monkeypatch.setattr(compaction, "write_partitions", lambda rows, *args, **more: write(harmed(rows), *args, **more))
+    got = compaction.compact(lake, DAY, NIGHT).first()
+    assert got.status == "error" and got.reason.startswith("validation failed") and got.files_deleted == 0
+    assert L.scan_files(lake, DAY).count() == 2
+    monkeypatch.setattr(compaction, "write_partitions", write)
+    assert compaction.compact(lake, DAY, NIGHT.replace(hour=5)).first().rows_after == 3
+
+
+def test_staged_files_are_checked_again(spark, lake):
+    for run in "12":
+        put(lake, flat(spark, ticket(int(run)), ticket(9), ticket(int(run) + 20, tenant="b")), run)
+    compaction.compact(lake, DAY, NIGHT, publish_now=False)
+    rows = compaction.staged_check(lake, DAY)
+    assert rows_by(rows, "tenant_id", "rows_expected", "rows_staged", "matches") == {"a": (3, 3, True), "b": (2, 2, True)}
+    lake.files.delete(lake.files.matches(f"{lake.root}/compaction/*/*/data/tenant_key=b")[0])
+    assert rows_by(compaction.staged_check(lake, DAY), "tenant_id", "rows_staged", "matches") == {"a": (3, True), "b": (0, False)}
+
+
+@pytest.mark.parametrize("keys", [None, ["id"]])
+def test_fingerprint_does_not_depend_on_order_or_copies(spark, lake, keys):
+    rows = [ticket(i, title=None if i % 3 else "", requester=i) for i in range(30)]
+    put(lake, flat(spark, *rows), "1")
+    put(lake, flat(spark, *reversed(rows)), "2")
+    want = compaction.expected_rows(L.lake_read(lake), "parquet", keys).first()
+    once = compaction.staged_rows(L.lake_read(lake, run="2"), "parquet", keys).first()
+    assert (want.rows_before, want.rows_expected, want.print_expected) == (60, 30, once.print_after) and once.rows_after == 30
+
+
 @pytest.mark.parametrize("moment", ["before_move", "after_move"])
 def test_interrupted_publish_is_finished_by_the_next_call(spark, lake, monkeypatch, moment):
     for run in "12":

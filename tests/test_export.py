@@ -1,3 +1,4 @@
+import re
 from datetime import datetime
 
 import pytest
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 from builders import MINUTE, T0, flat, marks, rows_by, settings, ticket, users
 from desklake.operators import export, runlog, snapshot
 from desklake.operators.settings import Dialect
-from desklake.operators.writer import lake_write
+from desklake.operators.writer import lake_rows, lake_write, write_partitions
 from desklake.sources import lake as L
 
 RUN = datetime(2026, 1, 5, 9, 15, 0)
@@ -116,7 +117,10 @@ def test_parquet_codecs(spark, lake, codec):
 
 @pytest.mark.parametrize("dialect,pattern", [
     (Dialect("csv"), "%Y-%m-%d %H:%M:%S"), (Dialect("csv", delimiter=";", encoding="iso-8859-1"), "%d/%m/%Y %H:%M:%S"),
-    (Dialect("csv", delimiter="|", encoding="latin1"), "YYYY-MM-DD HH24:MI:SS"), (Dialect("csv", delimiter="\t", quoting="all"), "%Y-%m-%d %H:%M:%S")])
+    (Dialect("csv", delimiter="|", encoding="latin1"), "YYYY-MM-DD HH24:MI:SS"), (Dialect("csv", delimiter="\t", quoting="all"), "%Y-%m-%d %H:%M:%S"),
+    (Dialect("csv", encoding="utf-8-sig"), "%d/%m/%y %H:%M:%S"), (Dialect("csv", delimiter="|", encoding="utf-8-sig", quoting="all"), "%Y-%m-%d %H:%M:%S"),
+    (Dialect("csv", delimiter=";", quoting="nonnumeric"), "%Y-%m-%d %H:%M:%S"), (Dialect("csv", delimiter="\t", encoding="utf-8-sig", quoting="nonnumeric"), "%Y-%m-%d %H:%M:%S"),
+    (Dialect("csv", encoding="latin1", quoting="nonnumeric"), "%Y-%m-%d %H:%M:%S")])
 def test_csv_round_trip(spark, lake, dialect, pattern):
     titles = ["ação;x", "a,b", 'say "hi"', "two\nlines", " padded ", "tab\there", "back\\slash", "pipe|x"]
     rows = flat(spark, *[ticket(i, title=t) for i, t in enumerate(titles)])
@@ -125,9 +129,43 @@ def test_csv_round_trip(spark, lake, dialect, pattern):
     assert sorted(back.collect(), key=str) == sorted(rows.collect(), key=str)
 
 
-def test_csv_keeps_null_and_empty_apart(spark, lake):
+def first_bytes(lake):
+    return {open(path.removeprefix("file:"), "rb").read() for path in lake.files.matches(f"{lake.data}/*/*/*/*/*/*/*/*.csv")}
+
+
+def test_lines_start_with_header_and_mark(spark, lake):
+    rows = flat(spark, *[ticket(i, tenant=f"t{i % 5}:x", title=f"ç {i}") for i in range(4000)], ticket(9000, tenant="", title=None))
+    dialect = Dialect("csv", encoding="utf-8-sig", quoting="nonnumeric")
+    write_partitions(lake_rows(rows, dialect, "2026-01-05", "r"), lake.data, dialect, rows_per_file=100)
+    contents = first_bytes(lake)
+    assert len(contents) == 41 and all(text.startswith(b'\xef\xbb\xbf"id","tenant_id","title"') for text in contents)
+    assert all(text.count(b'"tenant_id"') == 1 for text in contents)
+    back = L.lake_read(lake, "csv")
+    assert sorted(back.select(*rows.columns).collect(), key=str) == sorted(rows.collect(), key=str)
+    first = min(contents, key=len).decode("utf-8-sig").split("\n")[1]
+    assert first.startswith('9000,"",,60,"agent","2026-01-04 10:00:00",,"Active",60.0,')
+
+
+def test_lines_are_sorted_once(spark, lake):
+    rows = flat(spark, *[ticket(i, tenant=f"t{i % 3}") for i in range(50)])
+    lake_write(rows, lake.data, Dialect("csv", quoting="nonnumeric"), "2026-01-05", "r")
+    store = spark._jsparkSession.sharedState().statusStore()
+    plans = [store.executionsList().apply(i).physicalPlanDescription() for i in range(store.executionsCount())]
+    written = [text for text in plans if "InsertIntoHadoopFsRelationCommand" in text and "Text" in text][-1]
+    above = re.split("ShuffleQueryStage|AQEShuffleRead|Exchange", written[written.index("WriteFiles"):])[0]
+    assert len(re.findall(r"\bSort \(", above)) == 1, "one sort between the shuffle and the files"
+
+
+def test_latin1_lines_replace_what_they_lack(spark, lake):
+    lake_write(flat(spark, ticket(1, title="ação 漢")), lake.data, Dialect("csv", encoding="latin1", quoting="nonnumeric"), "2026-01-05", "r")
+    assert "ação ?".encode("latin1") in first_bytes(lake).pop()
+    assert rows_by(L.lake_read(lake, "csv"), "id", "title") == {1: "ação ?"}
+
+
+@pytest.mark.parametrize("dialect", [Dialect("csv", delimiter=";"), Dialect("csv", encoding="utf-8-sig"), Dialect("csv", quoting="nonnumeric")])
+def test_csv_keeps_null_and_empty_apart(spark, lake, dialect):
     rows = flat(spark, ticket(1, title=None), ticket(2, title=""))
-    lake_write(rows, lake.data, Dialect("csv", delimiter=";"), "2026-01-05", "r")
+    lake_write(rows, lake.data, dialect, "2026-01-05", "r")
     assert rows_by(L.lake_read(lake, "csv"), "id", "title") == {1: None, 2: ""}
 
 

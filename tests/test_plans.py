@@ -20,7 +20,8 @@ from desklake.sources.fixtures import HelpDesk
 STORED = {"refresh_flat", "snapshot_stats", "export_run", "lake_read_parquet", "lake_read_csv", "watermark_after_export",
           "runlog_append", "lake_status_counts", "compact", "lake_after_compaction", "file_inventory", "stream_export",
           "read_flat", "lake_tenants", "lake_combine", "export_replay", "logged_files", "stored_candidates",
-          "stored_lifecycle_plan", "stored_file_purge", "compact_recovered", "lake_combine_first", "refresh_months"}
+          "stored_lifecycle_plan", "stored_file_purge", "compact_recovered", "lake_combine_first", "refresh_months",
+          "lake_read_dialects", "compact_mismatch"}
 
 
 def plan(frame) -> str:

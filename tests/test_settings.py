@@ -58,7 +58,7 @@ def test_writer_options():
 
 @pytest.mark.parametrize("dialect", [
     S.Dialect("json"), S.Dialect("parquet", codec="brotli"), S.Dialect("csv", delimiter="#"),
-    S.Dialect("csv", encoding="utf-8-sig"), S.Dialect("csv", quoting="nonnumeric")])
+    S.Dialect("csv", encoding="utf-16"), S.Dialect("csv", quoting="none")])
 def test_unsupported_words_are_refused(dialect):
     with pytest.raises(ValueError, match="not supported"):
         dialect.writer_options()
