@@ -41,6 +41,7 @@ LEAST_CHUNK, MOST_CHUNK, MASK = 1536, 8192, 1023
 WINDOW = 16
 EDGE, MARGIN = 64, 16
 HOME_BYTES, BUCKET_BYTES = 16 << 20, 48 << 20
+MOST_TASKS = 20_000
 MEMORY_WORDS = 200_000
 NONE = 0xFFFF
 #: The rules of the vocabulary for which words are split here.
@@ -371,19 +372,22 @@ def encode(docs: DataFrame, vocabulary: str, home_bytes: int = HOME_BYTES, bucke
         if home.ids:
             yield home.rows(number)
 
-    def answer(rows: pa.Table) -> pa.Table:
-        own, known, out = codec(vocabulary), {}, []
-        for home, bucket, recipe, blob in zip(*(rows.column(name).to_pylist() for name in SCHEMA.names)):
-            if not recipe:
-                units = unpack_texts(blob)
-                names = [xxhash.xxh128_digest(unit.encode()) for unit in units]  # shorter to keep than the units
-                for name, unit in zip(names, units):
-                    if name not in known:
-                        ids, marks = own.unit(unit[1:], _spans(unit[0], len(unit) - 1))
-                        known[name] = np.array(ids, own.kind), np.array(marks, "<u2")
-                blob = _pack_encoded([len(unit) - 1 for unit in units], [known[n][0] for n in names], [known[n][1] for n in names])
-            out.append((home, bucket, recipe, blob))
-        return pa.Table.from_batches([_rows(out)])
+    def answer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, known, present = codec(vocabulary), {}, None
+        for batch in batches:
+            for home, bucket, recipe, blob in zip(*(batch.column(name) for name in SCHEMA.names)):
+                home, bucket, recipe, blob = home.as_py(), bucket.as_py(), recipe.as_py(), blob.as_py()
+                if not recipe:
+                    if bucket != present:
+                        known, present = {}, bucket
+                    units = unpack_texts(blob)
+                    names = [xxhash.xxh128_digest(unit.encode()) for unit in units]  # shorter to keep than the units
+                    for name, unit in zip(names, units):
+                        if name not in known:
+                            ids, marks = own.unit(unit[1:], _spans(unit[0], len(unit) - 1))
+                            known[name] = np.array(ids, own.kind), np.array(marks, "<u2")
+                    blob = _pack_encoded([len(unit) - 1 for unit in units], [known[n][0] for n in names], [known[n][1] for n in names])
+                yield _rows([(home, bucket, recipe, blob)])
 
     def assemble(rows: pa.Table) -> pa.Table:
         own = codec(vocabulary)
@@ -406,5 +410,8 @@ def encode(docs: DataFrame, vocabulary: str, home_bytes: int = HOME_BYTES, bucke
         return pa.table([pa.array(ids, mask=~known), pa.array(out_ids, pa.binary()), pa.array(out_texts, pa.string())], names=["doc_id", "ids", "decoded"])
 
     sent = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(send, COLUMNS)
-    answered = sent.groupBy("bucket").applyInArrow(answer, COLUMNS)
+    # A task takes one bucket, or at great size several in turn; hashed to tasks, some would take three and others none.
+    tasks = min(buckets, MOST_TASKS)
+    dealt = sent.repartitionById(tasks, F.pmod("bucket", F.lit(tasks)).cast("int")).sortWithinPartitions("bucket")
+    answered = dealt.mapInArrow(answer, COLUMNS)
     return answered.groupBy("home").applyInArrow(assemble, "doc_id long, ids binary, decoded string")
