@@ -20,10 +20,10 @@ from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock
 from desklake.functions.numbers import six_places
-from desklake.operators.joins import is_small
+from desklake.operators.joins import TENANT_TASKS, is_small
 from desklake.operators.runlog import error_text, log_rows, runlog_append
 from desklake.operators.settings import Dialect, dialect_columns, distinct_dialects, export_config, is_dialect, writable
-from desklake.operators.writer import lake_rows, write_partitions
+from desklake.operators.writer import ROWS_PER_FILE, gathered, lake_rows, write_partitions
 from desklake.sources import manifest
 from desklake.sources.files import blocks
 from desklake.sources.lake import Lake, csv_stem, lake_read, lake_tenants, scan_files
@@ -52,12 +52,12 @@ def plan_day(files: DataFrame, enabled: DataFrame) -> DataFrame:
 def deduplicate(rows: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """One row per distinct row of a tenant and format; or per ``keys``, the latest run winning.
 
-    Both are aggregates, so copies are folded before the shuffle however many there are. Whole rows are
-    compared without the dialect and run they were written in.
+    Both are aggregates, so copies are folded before the shuffle however many there are; rows that come :func:`gathered`
+    are folded where they are. Whole rows are compared without the dialect and run they were written in.
     """
     content = [*GROUP, *schemas.FLAT.names]
     if keys is None:
-        return rows.select(*content).distinct()
+        return rows.select(*content, *[name for name in rows.columns if name == "_slice"]).distinct()
     identity = [*GROUP, *keys]
     rest = [c for c in content if c not in identity]
     latest = F.max_by(F.struct(*rest), F.struct("run", F.xxhash64(*content))).alias("row")
@@ -65,7 +65,8 @@ def deduplicate(rows: DataFrame, keys: list[str] | None = None) -> DataFrame:
 
 
 def _print(seed: int, columns: list[str]) -> Column:
-    return F.xxhash64(F.lit(seed), *columns, *[F.col(name).isNull() for name in columns])
+    # Structs hash like their fields in turn, but in methods of their own, which the compiler does not refuse for their length.
+    return F.xxhash64(F.lit(seed), F.struct(*columns), F.struct(*[F.col(name).isNull().alias(name) for name in columns]))
 
 
 def _told_by(file_format: str, keys: list[str] | None) -> list[str]:
@@ -78,9 +79,12 @@ def expected_rows(rows: DataFrame, file_format: str, keys: list[str] | None = No
 
     Only hashes are shuffled, 128 bits a row. It depends on the input alone, not on how often a task ran.
     """
-    identity = schemas.FLAT.names if keys is None else list(keys)
-    hashed = rows.select(*GROUP, _print(1, identity).alias("a"), _print(2, identity).alias("b"), _print(3, _told_by(file_format, keys)).alias("told"))
-    distinct = hashed.groupBy(*GROUP, "a", "b", "told").agg(F.count(F.lit(1)).alias("n"))
+    identity, told = schemas.FLAT.names if keys is None else list(keys), _told_by(file_format, keys)
+    prints = {"a": _print(1, identity), "b": _print(2, identity), "told": _print(3, told)}
+    if told == identity:  # the third is as good as the first
+        del prints["a"]
+    hashed = rows.select(*GROUP, *[value.alias(name) for name, value in prints.items()])
+    distinct = hashed.groupBy(*GROUP, *prints).agg(F.count(F.lit(1)).alias("n"))
     return distinct.groupBy(*GROUP).agg(F.sum("n").alias("rows_before"), F.count(F.lit(1)).alias("rows_expected"),
                                         F.sum(F.col("told").cast("decimal(20,0)")).cast("string").alias("print_expected"))
 
@@ -189,14 +193,18 @@ def _stage(lake: Lake, day: str, name: str, groups: DataFrame, files: DataFrame,
     spark = lake.spark
     # One row per tenant, format and run of the day: broadcast when few, as they mostly are.
     listed = files.select("folder", *GROUP, "run").distinct()
-    hint = F.broadcast if is_small(listed) else (lambda frame: frame)
+    few = is_small(listed)
+    hint = F.broadcast if few else (lambda frame: frame)
     formats = hint(groups.select(F.col("tenant_id").alias("tenant_key"), "format", F.col("date_format").alias("_date_format")))
     inputs = listed.join(formats, GROUP, "left_semi")
     rows = lake_read(lake, dialect.file_format, day=day).join(hint(inputs.select(*GROUP, "run")), [*GROUP, "run"], "left_semi")
-    merged = deduplicate(rows, keys).join(formats, GROUP)
+    before = expected_rows(rows, dialect.file_format, keys).coalesce(TENANT_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
+    sizes = before.select("tenant_key", F.col("rows_before").alias("n"))
+    # Where most rows stay, one shuffle gathers them for folding and writing; where most are copies, they are folded before it.
+    once = few and keys is None and not dialect.as_lines and before.select(F.sum("rows_expected") * 2 > F.sum("rows_before")).first()[0]
+    merged = deduplicate(gathered(rows, ROWS_PER_FILE, sizes) if once else rows, keys).join(formats, GROUP)
     shaped = lake_rows(merged, dialect, day, name, F.col("_date_format"), folder_of="tenant_key")
-    before = expected_rows(rows, dialect.file_format, keys).persist(StorageLevel.MEMORY_AND_DISK)
-    write_partitions(shaped, f"{folder}/data", dialect, counts=before.select("tenant_key", F.col("rows_before").alias("n")))
+    write_partitions(shaped, f"{folder}/data", dialect, counts=sizes, ready=bool(once))
     staged = Lake(spark, folder)
     after = staged_rows(lake_read(staged, dialect.file_format), dialect.file_format, keys)
     scan_files(staged, day).write.parquet(f"{folder}/made")

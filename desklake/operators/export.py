@@ -16,7 +16,7 @@ from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock, ago
 from desklake.operators import incremental, settings as options
-from desklake.operators.joins import is_small, join_per_tenant
+from desklake.operators.joins import TENANT_TASKS, is_small, join_per_tenant
 from desklake.operators.runlog import error_text, log_rows, runlog_append
 from desklake.operators.settings import Dialect
 from desklake.operators.watermark import watermark_upsert
@@ -131,9 +131,9 @@ def _export(lake: Lake, taken: DataFrame, marks: DataFrame, run_ts: datetime, pa
     """Write one slice under the name of its run and part, whose bounds are stored before any data."""
     day, run = _run_name(run_ts, part=part)
     taken = taken.persist(StorageLevel.MEMORY_AND_DISK)
-    totals = incremental.slice_totals(taken).persist(StorageLevel.MEMORY_AND_DISK)
+    totals = incremental.slice_totals(taken).coalesce(TENANT_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
     config = options.export_config(totals, lake.settings.read())
-    assignments = options.dialect_columns(config).persist(StorageLevel.MEMORY_AND_DISK)
+    assignments = options.dialect_columns(config).coalesce(TENANT_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
     bounds = _bounds(lake, run)
     try:
         if totals.isEmpty() and part > 1:
@@ -192,7 +192,7 @@ def export_full(lake: Lake, flat: DataFrame, run_ts: datetime, file_format: str
     Dialect(file_format).writer_options()
     day, run = _run_name(run_ts, "full_")
     taken = incremental.full_slice(flat, lake_tenants(lake))
-    totals = incremental.slice_totals(taken).persist(StorageLevel.MEMORY_AND_DISK)
+    totals = incremental.slice_totals(taken).coalesce(TENANT_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         status, seconds, error = _attempt(
             lambda: lake_write(taken, lake.data, Dialect(file_format), day, run, counts=_counts(totals)))
@@ -227,7 +227,7 @@ def export_replay(lake: Lake, failed: DataFrame, run_ts: datetime, file_format:
     image = F.max_by(F.struct(*rest, "_lower"), F.struct(F.col("run") == run, "run")).alias("row")
     rows = held.groupBy("tenant_id", "id").agg(image).select("tenant_id", "id", "row.*").withColumn(
         "export_type", F.when(F.col("_lower").isNull(), V.FULL).otherwise(V.INCREMENTAL)).persist(StorageLevel.MEMORY_AND_DISK)
-    totals = incremental.slice_totals(rows).persist(StorageLevel.MEMORY_AND_DISK)
+    totals = incremental.slice_totals(rows).coalesce(TENANT_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
     try:
         config = options.export_config(totals, lake.settings.read()).withColumn("export_formats", F.array(F.lit(file_format)))
         outcomes = write_all(lake, rows.drop("_lower"), totals, options.dialect_columns(config), day, run)

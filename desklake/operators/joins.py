@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 200_000
 SALTS = 64
+TENANT_TASKS = 16  # tasks over kept frames of a row per tenant, which later jobs read again and again
 
 
 def is_small(frame: DataFrame, rows: int = BROADCAST_ROWS) -> bool:

@@ -13,7 +13,7 @@ from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock, clock
 from desklake.functions.numbers import format_bytes
-from desklake.operators.flat import tickets_flat
+from desklake.operators.flat import with_calendar, with_measures, with_requester
 from desklake.operators.runlog import log_rows, runlog_append
 from desklake.sources.lake import Lake
 from desklake.sources.versions import VersionedTable
@@ -22,6 +22,7 @@ EDITION = 1  # raised when a stored column is computed in another way, so that e
 ROWS_PER_SLICE = 5_000_000
 KEEP_VERSIONS = 8
 NO_MONTH = "none"
+PRINT = "_print"  # a stored column beside those of the view: the fingerprint of the ticket a row was made from
 
 
 def require_tables(tables: dict[str, VersionedTable]) -> None:
@@ -50,13 +51,28 @@ def _first_day(month: int) -> str:
     return f"{month // 12:04d}-{month % 12 + 1:02d}-01"
 
 
-def month_prints(tickets: DataFrame) -> DataFrame:
-    """Rows, open tickets and an order-free fingerprint of the tickets of each month; combines on the map side."""
+def ticket_print() -> Column:
     columns = [F.col(name) for name in schemas.TICKETS.names]
-    row = F.xxhash64(F.lit(EDITION), *columns, *[column.isNull() for column in columns])
-    return tickets.groupBy(month_key(F.col("created_at")).alias("month")).agg(
+    return F.xxhash64(F.lit(EDITION), *columns, *[column.isNull() for column in columns])
+
+
+def month_prints(tickets: DataFrame, month: Column | None = None, row: Column | None = None) -> DataFrame:
+    """Rows, open tickets and an order-free fingerprint of the tickets of each month; combines on the map side."""
+    return tickets.groupBy((month_key(F.col("created_at")) if month is None else month).alias("month")).agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("finish_time").isNull()).alias("open_rows"),
-        F.sum(row.cast("decimal(20,0)")).cast("string").alias("print"))
+        F.sum((ticket_print() if row is None else row).cast("decimal(20,0)")).cast("string").alias("print"))
+
+
+def month_sizes(tickets: DataFrame) -> DataFrame:
+    """Rows of each month, for which a source is read by one column."""
+    return tickets.groupBy(month_key(F.col("created_at")).alias("month")).agg(F.count(F.lit(1)).alias("rows"))
+
+
+def stored_prints(lake: Lake, folder: str, months: set[str]) -> DataFrame:
+    """The same as :func:`month_prints`, from the rows that a version's folder holds of ``months``."""
+    rows = lake.spark.read.schema(f"finish_time timestamp_ntz, {PRINT} bigint, month string").option("basePath", folder).parquet(
+        *[f"{folder}/month={month}" for month in sorted(months)])
+    return month_prints(rows, F.col("month"), F.col(PRINT))
 
 
 def renamed_months(tickets: DataFrame, names: DataFrame, before: DataFrame) -> set[str]:
@@ -69,14 +85,14 @@ def renamed_months(tickets: DataFrame, names: DataFrame, before: DataFrame) -> s
     return {row.month for row in hit.select(month_key(F.col("created_at")).alias("month")).distinct().toLocalIterator()}
 
 
-def clustered(flat: DataFrame, months: DataFrame) -> DataFrame:
+def clustered(tickets: DataFrame, months: DataFrame) -> DataFrame:
     """Rows with their month, those of a month and tenant together and in time order, so row-group statistics serve tenant and time filters.
 
     A month is cut into as many slices of tenants as its counted rows call for; the rebalance splits a slice that one
     tenant fills and joins small ones by measured size. ``months`` has one row per month.
     """
     slices = months.select("month", F.ceil(F.col("rows") / ROWS_PER_SLICE).alias("slices"))
-    return (flat.withColumn("month", month_key(F.col("created_at"))).join(F.broadcast(slices), "month")
+    return (tickets.withColumn("month", month_key(F.col("created_at"))).join(F.broadcast(slices), "month")
             .withColumn("slice", F.pmod(F.xxhash64("tenant_id"), "slices"))
             .hint("rebalance", "month", "slice").sortWithinPartitions("month", "tenant_id", "created_at", "id"))
 
@@ -96,19 +112,23 @@ def refresh_flat(lake: Lake, tickets: DataFrame, users: DataFrame, as_of: Clock,
     # The names are stored first and joined as stored, so that a change meanwhile is found by the next refresh.
     users.select("id", "name").write.parquet(f"{folder}/users")
     names = spark.read.schema(schemas.USERS).parquet(f"{folder}/users")
-    found = {row.month: row for row in month_prints(tickets).toLocalIterator()}
     known = {} if full else {row.month: row for row in table.months(before).toLocalIterator()}
+    # With nothing to compare every month is written, so the source need not be read for fingerprints first: they are stored with the rows.
+    found = {row.month: row for row in (month_prints if known else month_sizes)(tickets).toLocalIterator()}
     stale = {month for month, row in found.items()
-             if row.open_rows or month not in known or (known[month].rows, known[month].print) != (row.rows, row.print)}
+             if not known or row.open_rows or month not in known or (known[month].rows, known[month].print) != (row.rows, row.print)}
     if known:
         stale |= renamed_months(tickets, names, spark.read.schema(schemas.USERS).parquet(f"{before}/users")) & set(found)
     written = set()
     if stale:
-        flat = tickets_flat(tickets.where(in_months(F.col("created_at"), stale)), names, as_of)
+        source = tickets.where(in_months(F.col("created_at"), stale)).withColumn(PRINT, ticket_print())
         counts = spark.createDataFrame([(month, found[month].rows) for month in sorted(stale)], "month string, rows bigint")
-        written = table.stage_months(folder, clustered(flat, counts))
+        # The columns that follow from a ticket are made after the shuffle, which carries the ticket alone.
+        rows = clustered(with_requester(source, names), counts)
+        written = table.stage_months(folder, with_calendar(with_measures(rows, as_of)), PRINT)
+    prints = found if known or not written else {row.month: row for row in stored_prints(lake, folder, written).toLocalIterator()}
     version = folder.rsplit("/", 1)[1]
-    parts = [(month, f"{version}/month={month}" if month in stale else known[month].folder, row.rows, row.open_rows, row.print)
+    parts = [(month, f"{version}/month={month}" if month in stale else known[month].folder, row.rows, prints[month].open_rows, prints[month].print)
              for month, row in sorted(found.items()) if month in written or month not in stale]
     months = spark.createDataFrame(parts, schemas.MONTHS)
     rows = sum(part[2] for part in parts)

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -12,7 +10,7 @@ from pyspark.sql import types as T
 from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.formats import date_pattern
-from desklake.operators.csv_lines import write_lines
+from desklake.operators.csv_lines import write_lines, write_tasks
 from desklake.operators.joins import BROADCAST_ROWS, salted_join
 from desklake.operators.settings import Dialect
 from desklake.sources.lake import dialect_folder
@@ -37,7 +35,12 @@ def lake_rows(rows: DataFrame, dialect: Dialect, day: str, run: str, date_format
 
 
 def spread(rows: DataFrame, rows_per_file: int, counts: DataFrame | None = None) -> DataFrame:
-    """Rows gathered so that a small tenant is in one task and a large one in as many as it needs files.
+    """Rows of the lake's layout, gathered for :func:`write_partitions`."""
+    return gathered(rows, rows_per_file, counts).select(*schemas.LAKE.names)
+
+
+def gathered(rows: DataFrame, rows_per_file: int, counts: DataFrame | None = None) -> DataFrame:
+    """Rows gathered, by tenant and a column ``_slice``, so that a small tenant is in one task and a large one in as many as it needs files.
 
     The number of files of a tenant follows from its row count, ``counts`` if given (an upper bound will do),
     so a tenant of any size is divided evenly and its neighbours are not cut up with it.
@@ -60,21 +63,22 @@ def spread(rows: DataFrame, rows_per_file: int, counts: DataFrame | None = None)
             files = F.coalesce("_files", F.lit(1))
     finally:
         counts.unpersist()
-    tasks = max(2 * math.ceil(total / rows_per_file), min(rows.sparkSession.sparkContext.defaultParallelism, tenants), 1)
-    return rows.repartition(tasks, "tenant_key", F.pmod(F.xxhash64("id"), files)).select(*schemas.LAKE.names)
+    sliced = rows.withColumn("_slice", F.pmod(F.xxhash64("id"), files)).drop("_files")
+    return sliced.repartition(write_tasks(rows, total, tenants, rows_per_file), "tenant_key", "_slice")
 
 
 def write_partitions(rows: DataFrame, folder: str, dialect: Dialect, rows_per_file: int = ROWS_PER_FILE,
-                     counts: DataFrame | None = None, under: str = "year=*/month=*/day=*/run=*") -> None:
+                     counts: DataFrame | None = None, under: str = "year=*/month=*/day=*/run=*", ready: bool = False) -> None:
     """Write rows that carry their partition values; a repeated run replaces exactly its own folders.
 
-    ``under`` names the folders below a tenant's dialect that the rows go to, where the caller knows them.
+    ``under`` names the folders below a tenant's dialect that the rows go to, where the caller knows them. ``ready`` rows
+    are :func:`gathered` already and are not shuffled again, save those that are formed as lines.
     """
     options = dialect.writer_options()
     if dialect.as_lines:
         write_lines(rows, folder, dialect, rows_per_file, counts, under)
         return
-    (spread(rows, rows_per_file, counts)
+    ((rows.select(*schemas.LAKE.names) if ready else spread(rows, rows_per_file, counts))
      .sortWithinPartitions(*schemas.LAKE_PARTITIONS, "created_at", "id")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("maxRecordsPerFile", 2 * rows_per_file)
      .options(**options).partitionBy(*schemas.LAKE_PARTITIONS).format(dialect.file_format).save(folder))

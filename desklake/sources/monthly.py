@@ -44,10 +44,10 @@ class MonthlyTable(VersionedTable):
             return self.spark.createDataFrame([], self.schema)
         return self.spark.read.schema(self.schema).parquet(*folders)
 
-    def stage_months(self, folder: str, frame: DataFrame) -> set[str]:
+    def stage_months(self, folder: str, frame: DataFrame, *beside: str) -> set[str]:
         """Write the rows of rewritten months, given with their key in a column ``month``, into a new version's folder;
-        returns the keys that had rows."""
-        frame.select("month", *self.schema.names).write.mode("append").partitionBy("month").parquet(folder)
+        returns the keys that had rows. Columns ``beside`` the table's are stored too, but not read with it."""
+        frame.select("month", *self.schema.names, *beside).write.mode("append").partitionBy("month").parquet(folder)
         return {name.removeprefix("month=") for name in Files(self.spark).folders(folder) if name.startswith("month=")}
 
     def commit_months(self, folder: str, months: DataFrame) -> None:

@@ -170,3 +170,24 @@ def test_tiers_by_age(spark):
     moved = files.withColumn("modified_at", F.timestamp_add("DAY", -F.abs("age"), F.lit(str(as_of)).cast("timestamp_ntz")))
     assert rows_by(retention.lifecycle_plan(moved, as_of), "age", "tier") == {
         30: "hot", 31: "cool", 90: "cool", 91: "archive", 730: "archive", 731: "delete", -7: "hot", -8: "delete"}
+
+
+@pytest.mark.parametrize("copies", [1, 5])
+def test_rows_are_shuffled_once_where_most_stay(spark, lake, monkeypatch, copies):
+    """Folding and writing share a shuffle by tenant and file; many copies are folded before the shuffle."""
+    for run in range(copies):
+        put(lake, flat(spark, *[ticket(i, title=None) for i in range(40)], ticket(50, tenant="b")), f"{run}")
+    put(lake, flat(spark, *[ticket(i) for i in range(10, 20)], ticket(51, tenant="b")), "last")
+    seen, write = [], compaction.write_partitions
+
+    def noted(rows, *args, **more):
+        seen.append((rows._jdf.queryExecution().executedPlan().toString(), more["ready"]))
+        write(rows, *args, **more)
+
+    monkeypatch.setattr(compaction, "write_partitions", noted)
+    assert rows_by(compaction.compact(lake, DAY, NIGHT), "tenant_id", "status", "rows_before", "rows_after") == {
+        "a": ("success", 40 * copies + 10, 50), "b": ("success", copies + 1, 2)}
+    (text, ready), = seen
+    wide = [line for line in text.splitlines() if "Exchange hashpartitioning(tenant_key" in line and "_slice" in line]
+    assert ready == (copies == 1) == (len(wide) == 1)
+    assert L.lake_read(lake).count() == 52 and L.scan_files(lake).count() == 2

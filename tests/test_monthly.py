@@ -107,3 +107,22 @@ def test_registered_table_prunes_months(spark, lake):
     assert [row.id for row in spark.table("monthly_view").where("created_year_month IS NULL").collect()] == [3]
     spark.sql("DROP TABLE monthly_view")
     assert lake.snapshot.read().count() == 3
+
+
+def test_a_first_refresh_reads_the_source_once_in_full(spark, lake, monkeypatch):
+    rows, people = [closed(1, MAY), closed(2, MAY, title=None), ticket(3, created=JULY), closed(4, None)], users(spark)
+    source, real = tickets(spark, *rows), snapshot.month_prints
+    want = sorted(real(source).collect())
+
+    def from_stored_rows_alone(frame, *more):
+        assert set(frame.columns) == {"finish_time", "_print", "month"}, "the source was read for fingerprints"
+        return real(frame, *more)
+
+    monkeypatch.setattr(snapshot, "month_prints", from_stored_rows_alone)
+    snapshot.refresh_flat(lake, source, people, AS_OF, "r1")
+    stored = lake.snapshot.months().select("month", "rows", "open_rows", "print")
+    assert sorted(stored.collect()) == want and same_as_view(spark, lake, rows, people, AS_OF)
+    # The next refresh compares the source with them.
+    monkeypatch.setattr(snapshot, "month_prints", real)
+    snapshot.refresh_flat(lake, source, people, AS_OF + MINUTE, "r2")
+    assert versions(lake)[-1] == (2, 3, 1, 4)
