@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from desklake import schemas
 from desklake import vocabulary as V
@@ -646,12 +648,18 @@ def lake_read_dialects(desk: HelpDesk) -> DataFrame:
     """Tickets with awkward titles as read back from CSV files of every allowed encoding and quoting, delimiters in turn."""
     lake = Lake(desk.spark, shared_dir(desk.spark, "lake"))
     title = F.when(F.col("id") % 7 != 0, F.concat("title", F.lit(' "ã" ;,|\t\r\n'), F.col("id").cast("string")))
-    rows = _flat(desk).withColumn("title", title)
     words = [(encoding, quoting) for encoding in V.ALLOWED_ENCODINGS for quoting in settings.WRITABLE_QUOTING]
-    for number, (encoding, quoting) in enumerate(words):
+    rows = _flat(desk).withColumns({"title": title, "number": F.pmod(F.col("tenant_id").cast("int"), F.lit(len(words)))})
+    # The view is made once and stored by dialect, so that each write reads the rows of its own tenants alone.
+    rows.write.partitionBy("number").parquet(f"{lake.root}/by_dialect")
+    stored = desk.spark.read.schema(T.StructType([*schemas.FLAT.fields, T.StructField("number", T.IntegerType())])).parquet(f"{lake.root}/by_dialect")
+
+    def write(number: int, encoding: str, quoting: str) -> None:
         dialect = settings.Dialect("csv", V.ALLOWED_DELIMITERS[number % len(V.ALLOWED_DELIMITERS)], encoding, quoting)
-        mine = rows.where(F.pmod(F.col("tenant_id").cast("int"), F.lit(len(words))) == number)
-        lake_write(mine, lake.data, dialect, RUN_DAY, f"dialect_{number}")
+        lake_write(stored.where(F.col("number") == number).drop("number"), lake.data, dialect, RUN_DAY, f"dialect_{number}")
+
+    with ThreadPoolExecutor(export.WRITERS) as pool:  # a dialect has few tenants, so one alone leaves cores idle
+        list(pool.map(write, range(len(words)), *zip(*words)))
     return lake_read(lake, "csv").select(
         "id", "tenant_id", F.split("dialect", r"\.")[1].alias("encoding"), F.split("dialect", r"\.")[2].alias("quoting"),
         F.md5("title").alias("title_md5"), "created_at", "finish_time", "duration_minutes", "requester_name")

@@ -143,3 +143,12 @@ def test_dialects_stay_few(spark):
     assigned = S.dialect_columns(S.export_config(stored.select("tenant_id"), stored))
     found = S.distinct_dialects(assigned)
     assert len([d for d in found if d.file_format == "csv"]) == 3 and len([d for d in found if d.file_format == "parquet"]) == 1
+
+
+def test_stored_dialects_are_read_by_their_own_rows(spark, monkeypatch):
+    """The view of the dialect query is made once; each write scans the stored rows of its tenants."""
+    seen = []
+    monkeypatch.setattr(registry, "lake_write", lambda rows, *args: (seen.append(plan(rows)), lake_write(rows, *args)))
+    desk = HelpDesk(spark, SMALL)
+    assert registry.lake_read_dialects(desk).count() == desk.tickets.count()
+    assert len(seen) > 8 and all("lineitem" not in text and re.search(r"PartitionFilters: \[[^\]]*number", text) for text in seen)
