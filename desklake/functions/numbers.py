@@ -17,6 +17,14 @@ def percent(part: Column, whole: Column) -> Column:
     return F.floor((part.cast("decimal(18,0)") * 20_000 + whole) / doubled).cast("double") / 100
 
 
+def exact_sum(value: Column) -> Column:
+    """The sum of bigints as text, beyond the range of one; three sums of some of the bits each, as decimals made per row take far longer."""
+    bits, low = 22, F.lit((1 << 22) - 1)
+    parts = [F.shiftright(value, 2 * bits), F.shiftright(value, bits).bitwiseAND(low), value.bitwiseAND(low)]
+    high, middle, least = [F.sum(part).cast("decimal(20,0)") for part in parts]
+    return (high * F.lit(1 << 2 * bits) + middle * F.lit(1 << bits) + least).cast("string")
+
+
 def six_places(value: Column) -> Column:
     """Averages and deviations to six places, since summation order follows partitioning."""
     return F.round(value.cast("double"), 6)

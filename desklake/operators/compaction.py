@@ -15,11 +15,12 @@ from functools import reduce
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock
-from desklake.functions.numbers import six_places
+from desklake.functions.numbers import exact_sum, six_places
 from desklake.operators.joins import TENANT_TASKS, is_small
 from desklake.operators.runlog import error_text, log_rows, runlog_append
 from desklake.operators.settings import Dialect, dialect_columns, distinct_dialects, export_config, is_dialect, writable
@@ -32,6 +33,7 @@ GROUP = ["tenant_key", "format"]
 CONSOLIDATED = "_consolidated"
 CHECKED = "_CHECKED"
 MOVERS = 16
+DIALECTS = 8
 
 
 def plan_day(files: DataFrame, enabled: DataFrame) -> DataFrame:
@@ -57,7 +59,11 @@ def deduplicate(rows: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """
     content = [*GROUP, *schemas.FLAT.names]
     if keys is None:
-        return rows.select(*content, *[name for name in rows.columns if name == "_slice"]).distinct()
+        # Packed, a row is copied as one value by both steps of the aggregate. Floats stay outside, or each step would build the struct anew.
+        apart = [*GROUP, *[f.name for f in schemas.FLAT.fields if isinstance(f.dataType, T.DoubleType)]]
+        slices = [name for name in rows.columns if name == "_slice"]
+        packed = rows.select(*apart, *slices, F.struct(*[name for name in content if name not in apart]).alias("row")).distinct()
+        return packed.select("*", "row.*").select(*content, *slices)
     identity = [*GROUP, *keys]
     rest = [c for c in content if c not in identity]
     latest = F.max_by(F.struct(*rest), F.struct("run", F.xxhash64(*content))).alias("row")
@@ -86,13 +92,13 @@ def expected_rows(rows: DataFrame, file_format: str, keys: list[str] | None = No
     hashed = rows.select(*GROUP, *[value.alias(name) for name, value in prints.items()])
     distinct = hashed.groupBy(*GROUP, *prints).agg(F.count(F.lit(1)).alias("n"))
     return distinct.groupBy(*GROUP).agg(F.sum("n").alias("rows_before"), F.count(F.lit(1)).alias("rows_expected"),
-                                        F.sum(F.col("told").cast("decimal(20,0)")).cast("string").alias("print_expected"))
+                                        exact_sum(F.col("told")).alias("print_expected"))
 
 
 def staged_rows(rows: DataFrame, file_format: str, keys: list[str] | None = None) -> DataFrame:
     """Per tenant and format: rows of merged files and their fingerprint, copies included."""
-    told = _print(3, _told_by(file_format, keys)).cast("decimal(20,0)")
-    return rows.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows_after"), F.sum(told).cast("string").alias("print_after"))
+    told = rows.select(*GROUP, _print(3, _told_by(file_format, keys)).alias("told"))
+    return told.groupBy(*GROUP).agg(F.count(F.lit(1)).alias("rows_after"), exact_sum(F.col("told")).alias("print_after"))
 
 
 def _matches() -> Column:
@@ -159,8 +165,10 @@ def compact(lake: Lake, day: str, run_ts: datetime, keys: list[str] | None = Non
     plan_day(files, enabled).write.parquet(f"{staging}/plan")
     plan = spark.read.parquet(f"{staging}/plan")
     chosen = plan.where(F.col("reason").isNull())
-    outcomes = [_compact_dialect(lake, day, run_ts, name, chosen.where(is_dialect(dialect)), files, dialect, keys, publish_now)
-                for dialect in distinct_dialects(chosen)]
+    # Dialects share no folder; a small one need not wait for a large one, and uses the cores that the large one's last tasks leave.
+    with ThreadPoolExecutor(DIALECTS) as pool:
+        outcomes = list(pool.map(lambda dialect: _compact_dialect(
+            lake, day, run_ts, name, chosen.where(is_dialect(dialect)), files, dialect, keys, publish_now), distinct_dialects(chosen)))
     _results(lake, plan, outcomes).write.mode("overwrite").parquet(f"{lake.root}/results/{name}")
     results = spark.read.parquet(f"{lake.root}/results/{name}")
     if not _pending(lake, day):

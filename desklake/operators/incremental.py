@@ -32,9 +32,14 @@ def incremental_slice(flat: DataFrame, marks: DataFrame, as_of: Clock, bound: Da
 
 
 def slice_totals(taken: DataFrame) -> DataFrame:
-    """Per tenant of a slice: rows, newest creation and export type. Tenants without news do not appear."""
-    return taken.groupBy("tenant_id").agg(
-        F.count(F.lit(1)).alias("rows_exported"), F.max("created_at").alias("last_exported_created_at"),
+    """Per tenant of a slice: rows, newest creation and export type. Tenants without news do not appear.
+
+    The type is a key of a first fold, as the greatest of texts would have all rows sorted by tenant.
+    """
+    by_type = taken.groupBy("tenant_id", "export_type").agg(
+        F.count(F.lit(1)).alias("rows_exported"), F.max("created_at").alias("last_exported_created_at"))
+    return by_type.groupBy("tenant_id").agg(
+        F.sum("rows_exported").alias("rows_exported"), F.max("last_exported_created_at").alias("last_exported_created_at"),
         F.max("export_type").alias("export_type"))
 
 

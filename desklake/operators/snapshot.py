@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from desklake import schemas
 from desklake import vocabulary as V
 from desklake.functions.clock import Clock, clock
-from desklake.functions.numbers import format_bytes
+from desklake.functions.numbers import exact_sum, format_bytes
 from desklake.operators.flat import with_calendar, with_measures, with_requester
 from desklake.operators.runlog import log_rows, runlog_append
 from desklake.sources.lake import Lake
@@ -58,9 +58,11 @@ def ticket_print() -> Column:
 
 def month_prints(tickets: DataFrame, month: Column | None = None, row: Column | None = None) -> DataFrame:
     """Rows, open tickets and an order-free fingerprint of the tickets of each month; combines on the map side."""
-    return tickets.groupBy((month_key(F.col("created_at")) if month is None else month).alias("month")).agg(
+    told = tickets.select((month_key(F.col("created_at")) if month is None else month).alias("month"), "finish_time",
+                          (ticket_print() if row is None else row).alias("row"))
+    return told.groupBy("month").agg(
         F.count(F.lit(1)).alias("rows"), F.count_if(F.col("finish_time").isNull()).alias("open_rows"),
-        F.sum((ticket_print() if row is None else row).cast("decimal(20,0)")).cast("string").alias("print"))
+        exact_sum(F.col("row")).alias("print"))
 
 
 def month_sizes(tickets: DataFrame) -> DataFrame:

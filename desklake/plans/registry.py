@@ -534,10 +534,12 @@ RUN_DAY = "2001-08-02"
 def _lake(desk: HelpDesk) -> Lake:
     """A lake with the snapshot, marks, settings and folders of every tenant."""
     lake = Lake(desk.spark, shared_dir(desk.spark, "lake"))
-    snapshot.refresh_flat(lake, desk.tickets, desk.users, AS_OF_TICKETS, "refresh_1")
-    lake.marks.replace(desk.marks)
-    lake.settings.replace(desk.settings)
-    register_tenants(lake, desk.tenants.select(F.col("id").alias("tenant_id")))
+    steps = [lambda: snapshot.refresh_flat(lake, desk.tickets, desk.users, AS_OF_TICKETS, "refresh_1"),
+             lambda: lake.marks.replace(desk.marks), lambda: lake.settings.replace(desk.settings),
+             lambda: register_tenants(lake, desk.tenants.select(F.col("id").alias("tenant_id")))]
+    with ThreadPoolExecutor(len(steps)) as pool:  # none needs another's result; the small ones fill cores that the refresh leaves idle
+        for step in [pool.submit(step) for step in steps]:
+            step.result()
     return lake
 
 

@@ -4,8 +4,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from builders import MINUTE, T0, flat, rows_by, ticket, tickets, users
+from desklake.functions.clock import padded_name
 from desklake.functions.names import matches_any, slug
-from desklake.functions.numbers import format_bytes
+from desklake.functions.numbers import exact_sum, format_bytes
 from desklake.operators.flat import FLAT_COLUMNS
 from desklake.plans import tickets as reports
 
@@ -72,3 +73,17 @@ def test_name_search_and_slug(spark):
                                        (10485248, "10 MB"), (5 * 1024 ** 4, "5120 GB")])
 def test_size_text(spark, size, text):
     assert spark.range(1).select(format_bytes(F.lit(size).cast("bigint"))).first()[0] == text
+
+
+def test_names_of_days_and_months(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'1999-12-20', DATE'2001-01-10')) AS day").select(F.col("day").cast("timestamp_ntz").alias("at"))
+    days = days.unionAll(spark.createDataFrame([(None,)], "at timestamp_ntz"))
+    for pattern in ("EEEE", "MMMM"):
+        assert days.where(~padded_name(F.col("at"), pattern).eqNullSafe(F.rpad(F.date_format("at", pattern), 9, " "))).count() == 0
+
+
+def test_sums_beyond_a_bigint(spark):
+    values = [2 ** 63 - 1, 2 ** 63 - 1, -(2 ** 63), -(2 ** 63), -(2 ** 63), -1, 1, 0, 4194303, 4194304, -4194305]
+    frame = spark.createDataFrame([(v,) for v in [*values, None]], "v bigint")
+    assert frame.agg(exact_sum(F.col("v"))).first()[0] == str(sum(values))
+    assert frame.where("v > 4194304").agg(exact_sum(F.col("v"))).first()[0] == str(2 ** 64 - 2)

@@ -101,3 +101,13 @@ def test_runs_one_after_another_export_everything_once(spark, created, clocks):
             seen += got
             known[tenant] = max([r[2] for r in fresh], default=known[tenant])
     assert sorted(seen) == [r[0] for r in rows]
+
+
+def test_totals_are_folded_without_sorting_the_rows(spark):
+    rows = spark.createDataFrame([("a", T0, "FULL"), ("a", T0 + MINUTE, "INCREMENTAL"), ("b", None, "FULL"), (None, T0, None)],
+                                 "tenant_id string, created_at timestamp_ntz, export_type string")
+    totals = incremental.slice_totals(rows)
+    assert rows_by(totals, "tenant_id", "rows_exported", "last_exported_created_at", "export_type") == {
+        "a": (2, T0 + MINUTE, "INCREMENTAL"), "b": (1, None, "FULL"), None: (1, T0, None)}
+    first_step = totals._jdf.queryExecution().executedPlan().toString().rsplit("Exchange", 1)[1]
+    assert "HashAggregate" in first_step and "Sort" not in first_step

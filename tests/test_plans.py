@@ -152,3 +152,14 @@ def test_stored_dialects_are_read_by_their_own_rows(spark, monkeypatch):
     desk = HelpDesk(spark, SMALL)
     assert registry.lake_read_dialects(desk).count() == desk.tickets.count()
     assert len(seen) > 8 and all("lineitem" not in text and re.search(r"PartitionFilters: \[[^\]]*number", text) for text in seen)
+
+
+def test_tickets_join_both_customers_and_users_after_one_shuffle(spark):
+    desk, limit = HelpDesk(spark, SMALL), spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = plan(with_requester(desk.tickets, desk.users))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+    # Orders by their key and by customer, line items by order, customers and users.
+    assert joined.count("Exchange hashpartitioning") == 5
