@@ -9,12 +9,12 @@ from datetime import datetime
 from functools import reduce
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from desklake import schemas
 from desklake import vocabulary as V
-from desklake.functions.clock import Clock, ago
+from desklake.functions.clock import Clock, ago, clock
 from desklake.operators import incremental, settings as options
 from desklake.operators.joins import TENANT_TASKS, is_small, join_per_tenant
 from desklake.operators.runlog import error_text, log_rows, runlog_append
@@ -221,16 +221,25 @@ def export_replay(lake: Lake, failed: DataFrame, run_ts: datetime, file_format:
     window = ago(run_ts, V.FIRST_EXPORT_WINDOW)
     first = (F.col("created_at") >= window) | (F.col("finish_time") >= window)
     within = F.when(F.col("_lower").isNull(), first).otherwise(F.col("created_at") > F.col("_lower")) & (F.col("created_at") <= F.col("_upper"))
-    held = join_per_tenant(lake_read(lake, other, day=day), limits.join(wanted, "tenant_id", "left_semi"), how="inner").where(within)
+    limits = limits.join(wanted, "tenant_id", "left_semi").coalesce(TENANT_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
+    # Plain bounds that a scan can push down: merged files hold the whole day, of which the slices may be a small part.
+    oldest, unmarked = limits.agg(F.min("_lower"), F.count_if(F.col("_lower").isNull()) > 0).first()
+    reach = [F.col("created_at") > clock(oldest)] * (oldest is not None) + [first] * bool(unmarked)
+    held = join_per_tenant(lake_read(lake, other, day=day).where(reduce(Column.__or__, reach, F.lit(False))), limits, how="inner").where(within)
     # One image of each row: the run's own where it is left, else that of the latest run.
     rest = [name for name in schemas.FLAT.names if name not in ("tenant_id", "id")]
     image = F.max_by(F.struct(*rest, "_lower"), F.struct(F.col("run") == run, "run")).alias("row")
-    rows = held.groupBy("tenant_id", "id").agg(image).select("tenant_id", "id", "row.*").withColumn(
-        "export_type", F.when(F.col("_lower").isNull(), V.FULL).otherwise(V.INCREMENTAL)).persist(StorageLevel.MEMORY_AND_DISK)
-    totals = incremental.slice_totals(rows).coalesce(TENANT_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
+    taken = held.groupBy("tenant_id", "id").agg(image).select("tenant_id", "id", "row.*").withColumn(
+        "export_type", F.when(F.col("_lower").isNull(), V.FULL).otherwise(V.INCREMENTAL)).select(*schemas.FLAT.names, "export_type")
+    # Stored, not kept in memory: a write into the lake makes Spark drop what it keeps of frames that read the lake, to compute it again.
+    stage = f"{lake.root}/replay/{run}_{file_format}"
+    totals = None
     try:
+        taken.write.mode("overwrite").parquet(stage)
+        rows = lake.spark.read.schema(taken.schema).parquet(stage)
+        totals = incremental.slice_totals(rows).coalesce(TENANT_TASKS).persist(StorageLevel.MEMORY_AND_DISK)
         config = options.export_config(totals, lake.settings.read()).withColumn("export_formats", F.array(F.lit(file_format)))
-        outcomes = write_all(lake, rows.drop("_lower"), totals, options.dialect_columns(config), day, run)
+        outcomes = write_all(lake, rows, totals, options.dialect_columns(config), day, run)
         made = _files_made(lake, outcomes, run_ts, run, f"{run}_replay_{file_format}")
         found = outcomes.join(totals, "tenant_id").join(F.broadcast(made), ["tenant_id", "file_format"], "left")
         missing = F.col("status").isNull()
@@ -246,5 +255,7 @@ def export_replay(lake: Lake, failed: DataFrame, run_ts: datetime, file_format:
                       f"export_replay_{run}_{file_format}")
         return lake.spark.createDataFrame(results.collect(), results.schema)  # a row per failed tenant
     finally:
-        totals.unpersist()
-        rows.unpersist()
+        if totals is not None:
+            totals.unpersist()
+        limits.unpersist()
+        lake.files.delete(stage)

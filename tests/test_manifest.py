@@ -98,6 +98,24 @@ def test_a_replay_after_compaction_stays_within_the_stored_bounds(spark, lake):
     assert {(r.id, r.dialect.split(".")[0]) for r in replayed.collect()} == {(2, "tab"), (3, "tab")}
 
 
+def test_a_replay_is_read_from_the_lake_once(spark, lake, monkeypatch):
+    prepared(lake, "a")
+    lake.marks.replace(marks(spark, a=T0))
+    export.export_run(lake, flat(spark, ticket(1), ticket(2, created=T0 + MINUTE), ticket(3, created=T0 + 2 * MINUTE)), RUN)
+    real = export.write_all
+
+    def then_without_source(*args):
+        outcomes = real(*args)
+        for folder in lake.files.matches(f"{lake.data}/tenant_key=*/format=parquet"):
+            lake.files.delete(folder)
+        return outcomes
+
+    monkeypatch.setattr(export, "write_all", then_without_source)
+    again = export.export_replay(lake, spark.createDataFrame([("a",)], "tenant_id string"), RUN, "csv")
+    assert rows_by(again, "tenant_id", "status", "rows_affected") == {"a": ("SUCCESS", 2)}
+    assert lake.files.folders(f"{lake.root}/replay") == []
+
+
 FORMATS = ["%Y-%m-%d %H:%M:%S", "%d %b %Y %H:%M:%S", "%B %d %Y, %I:%M:%S %p", "%Y-%j %H.%M.%S.%f", "at 'noon' %Y%m%dT%H%M%S", "%y#%m[%d]{%H}%M%S",
            "%%%Y%%%m%d%H%M%S", "YYYY-MM-DD HH24:MI:SS"]
 
